@@ -78,8 +78,12 @@ def _over_year(function: Callable[..., DataFrame], *names: str) -> Query:
 # ---- cleaning ------------------------------------------------------------------------------------
 
 
-def _dimensions(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {n: cleanse.clean_dimension(raw_feed(spark, sf, n), n) for n in load.DIMENSIONS}
+def _dimensions(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFrame]:
+    """Cleaned dimensions as tables, loaded before the facts that refer to them."""
+    names = names or tuple(load.DIMENSIONS)
+    root = scratch_path(spark, "star")
+    load.load_dimensions({n: raw_feed(spark, sf, n) for n in names}, root)
+    return {n: warehouse.read_table(spark, root, n) for n in names}
 
 
 def _clean_dimension(feed: str) -> Query:
@@ -119,7 +123,7 @@ def _valid_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 def _valid_products(spark: SparkSession, sf: str) -> DataFrame:
     facts = raw_feed(spark, sf, "transactions").select("transaction_id", "product_id", "quantity")
-    return keep_known(facts, _dimensions(spark, sf)["products"], "product_id")
+    return keep_known(facts, _dimensions(spark, sf, "products")["products"], "product_id")
 
 
 def _null_orphans(key: str, owner: str, *also: str) -> Query:
@@ -127,13 +131,13 @@ def _null_orphans(key: str, owner: str, *also: str) -> Query:
         facts = raw_feed(spark, sf, "transactions").select(
             "transaction_id", *also, key, F.col(key).alias(f"raw_{key}")
         )
-        return null_unknown(facts, _dimensions(spark, sf)[owner], key, F.col("transaction_id"))
+        return null_unknown(facts, _dimensions(spark, sf, owner)[owner], key, F.col("transaction_id"))
 
     return run
 
 
 def _line_totals(raw: DataFrame) -> DataFrame:
-    typed = cleanse.accepted(cleanse.type_transactions(raw))
+    typed = cleanse.type_transactions(raw)
     total = numbers.line_total(F.col("unit_price"), F.col("quantity"), F.col("discount_pct"))
     return typed.select("transaction_id", total.alias("line_total"))
 
@@ -144,7 +148,7 @@ def _price_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _channel_from_store(spark: SparkSession, sf: str) -> DataFrame:
-    typed = cleanse.accepted(cleanse.type_transactions(raw_feed(spark, sf, "transactions")))
+    typed = cleanse.type_transactions(raw_feed(spark, sf, "transactions"))
     repaired = conform.conform_references(typed, **_dimensions(spark, sf))
     return conform.derive_channel(repaired).select("transaction_id", "store_id", "channel")
 

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 
 def parse_iso_date(col: Column) -> Column:
-    return F.try_to_date(col, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` and nothing else: the cast alone would also take a bare year or a timestamp.
+
+    The cast reads the text several times faster than a pattern parser does.
+    """
+    return F.when(col.rlike(r"^\d{4}-\d{2}-\d{2}$"), col.try_cast("date"))
 
 
 def parse_mixed_date(col: Column) -> Column:
     """ISO dates stay ISO; slashed dates are day first and fall back to month first."""
     return F.coalesce(
-        F.try_to_date(col, "yyyy-MM-dd"),
+        parse_iso_date(col),
         F.try_to_date(col, "d/M/yyyy"),
         F.try_to_date(col, "M/d/yyyy"),
     )

@@ -27,12 +27,14 @@ def _typed(raw: DataFrame, table: Table, cleaned: dict[str, Column]) -> DataFram
     values = {
         f.name: cleaned.get(f.name, F.col(f.name).try_cast(f.dataType)) for f in table.stored
     }
+    # Text always reads, so it is only measured; everything else fits if it reads.
     reasons = [F.when(F.col(table.key).isNull(), F.lit(f"{table.key}: missing"))]
     for name, value in values.items():
-        reasons.append(F.when(F.col(name).isNotNull() & value.isNull(), F.lit(f"{name}: unreadable")))
         if name in table.lengths:
-            too_long = F.length(value) > table.lengths[name]
-            reasons.append(F.when(too_long, F.lit(f"{name}: too long")))
+            wrong, reason = F.length(value) > table.lengths[name], "too long"
+        else:
+            wrong, reason = F.col(name).isNotNull() & value.isNull(), "unreadable"
+        reasons.append(F.when(wrong, F.lit(f"{name}: {reason}")))
     return raw.select(
         *[value.alias(name) for name, value in values.items()],
         ORDINAL,
@@ -92,6 +94,17 @@ def accepted(typed: DataFrame, strict: bool = False) -> DataFrame:
     return typed.where(passes).drop(REJECT)
 
 
+def first_accepted(typed: DataFrame, key: str, strict: bool = False) -> DataFrame:
+    """The first acceptable row of each key; in strict mode a rejected copy surfaces and fails the job.
+
+    The verdict takes part in the order and is filtered on after the dedupe. Filtering before it
+    would make the optimizer copy the whole verdict, parsers and all, into the filter.
+    """
+    good = F.col(REJECT).isNull()
+    first = keep_first(typed, key, [good.asc() if strict else good.desc(), ORDINAL])
+    return accepted(first, strict).drop(ORDINAL)
+
+
 def rejected(typed: DataFrame, feed: str) -> DataFrame:
     """(feed, row_key, reason) of every row that may not be loaded."""
     return typed.where(F.col(REJECT).isNotNull()).select(
@@ -101,5 +114,4 @@ def rejected(typed: DataFrame, feed: str) -> DataFrame:
 
 def clean_dimension(raw: DataFrame, feed: str, strict: bool = False) -> DataFrame:
     """Typed, accepted rows of a dimension feed, the first of each key."""
-    rows = accepted(TYPERS[feed](raw), strict)
-    return keep_first(rows, STAR[feed].key, [ORDINAL]).drop(ORDINAL)
+    return first_accepted(TYPERS[feed](raw), STAR[feed].key, strict)

@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwise.functions.numbers import FALLBACK_PRICE, MONEY, parse_price
-from tillwise.operators.cleanse import accepted, type_transactions
-from tillwise.operators.dedupe import keep_first
+from tillwise.operators.cleanse import first_accepted, type_transactions
 from tillwise.operators.joins import keep_known, null_unknown
-from tillwise.sources.feeds import ORDINAL
 
 
 def conform_references(
@@ -26,8 +24,8 @@ def clean_transactions(
     raw: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame, strict: bool = False
 ) -> DataFrame:
     """The fact rows to load. Dedupe comes last, so the first copy with a known product survives."""
-    facts = conform_references(accepted(type_transactions(raw), strict), customers, products, stores)
-    return keep_first(facts, "transaction_id", [ORDINAL]).drop(ORDINAL)
+    facts = conform_references(type_transactions(raw), customers, products, stores)
+    return first_accepted(facts, "transaction_id", strict)
 
 
 def derive_channel(facts: DataFrame) -> DataFrame:

@@ -23,7 +23,8 @@ def read_feeds(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
 
 
 def load_dimensions(feeds: dict[str, DataFrame], root: str, strict: bool = False) -> None:
-    for name in DIMENSIONS:
+    """Clean and write the dimensions among ``feeds``."""
+    for name in [n for n in DIMENSIONS if n in feeds]:
         if strict and name != "customers":
             _refuse_duplicates(name, feeds[name])
         write_table(clean_dimension(feeds[name], name, strict), root, name)

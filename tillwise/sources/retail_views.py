@@ -7,8 +7,11 @@ a checker can run the same texts elsewhere to get the same inputs.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.operators.conform import append_extracts
 from tillwise.schemas import STAR
@@ -158,8 +161,19 @@ FROM {{lineitem}} LEFT JOIN {{orders}} ON l_orderkey = o_orderkey""",
 }
 
 
+@lru_cache(maxsize=1024)
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    # Reading a schema from parquet footers is a job of its own; once per table is enough.
+    return spark.read.parquet(path).schema
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
+
+
 def _run(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
-    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in TABLES if "{" + t + "}" in text}
+    used = {t: _table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 
