@@ -32,21 +32,21 @@ def keep_known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 def null_unknown(facts: DataFrame, dimension: DataFrame, key: str, spread_by: Column) -> DataFrame:
     """Keep every row; a key the dimension lacks becomes null.
 
-    Null keys match nothing, yet a shuffle would send them all to one task. A second join column
-    that is constant for real keys and spreads null ones by ``spread_by`` prevents that. A hot real
-    key is left to adaptive skew-join, which can split the fact side of a left join.
+    Null keys match nothing, yet a shuffle would send them all to one task. So where the dimension
+    is too big to broadcast, null keys are replaced by many different ones; a leading letter keeps
+    these apart from real keys. A hot real key is left to adaptive skew-join, which can split the
+    fact side of a left join.
     """
     columns = facts.columns
     known = dimension.select(F.col(key).alias("_known")).where("_known IS NOT NULL").distinct()
     if fits_broadcast(dimension.select(key)):
         joined = facts.join(known, F.col(key) == F.col("_known"), "left")
     else:
-        spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(spread_by), F.lit(_NULL_SPREAD)) + 1)
-        spread = F.coalesce(spread, F.lit(0)).cast("int")
-        joined = facts.withColumn("_spread", spread).join(
-            known.withColumn("_at", F.lit(0)),
-            (F.col(key) == F.col("_known")) & (F.col("_spread") == F.col("_at")),
-            "left",
+        spread = F.pmod(F.xxhash64(spread_by), F.lit(_NULL_SPREAD)).cast("string")
+        real = F.concat(F.lit("k"), F.col(key).cast("string"))
+        tagged = known.withColumn("_match", F.concat(F.lit("k"), F.col("_known").cast("string")))
+        joined = facts.withColumn("_match", F.coalesce(real, F.concat(F.lit("n"), spread))).join(
+            tagged, "_match", "left"
         )
     kept = [F.col("_known").alias(c) if c == key else F.col(c) for c in columns]
     return joined.select(kept)

@@ -27,17 +27,20 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """
     values = df.select(F.col(column).cast("double").alias("x")).where("x IS NOT NULL")
     half = F.when(F.col("lo") == F.col("hi"), 0.5).otherwise(0.0)
-    bounds = (
+    bound = (
         values.agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
         .where("lo IS NOT NULL")
-        .select((F.col("lo") - half).alias("lo"), (F.col("hi") + half).alias("hi"))
+        .select(F.struct((F.col("lo") - half).alias("lo"), (F.col("hi") + half).alias("hi")))
+        .scalar()
+    )
+    numbered = df.sparkSession.range(1, bins + 1).select(
+        F.col("id").cast("int").alias("bin"), bound["lo"].alias("lo"), bound["hi"].alias("hi")
+    )
+    edges = numbered.where("lo IS NOT NULL").select(
+        "bin",
+        _edge("lo", "hi", F.col("bin") - 1, bins).alias("lower_edge"),
+        _edge("lo", "hi", F.col("bin"), bins).alias("upper_edge"),
     )
-    edges = bounds.select(
-        "lo", "hi", F.explode(F.sequence(F.lit(1), F.lit(bins))).alias("bin")
-    ).select("bin", _edge("lo", "hi", F.col("bin") - 1, bins).alias("lower_edge"),
-             _edge("lo", "hi", F.col("bin"), bins).alias("upper_edge"))
-
-    bound = bounds.select(F.struct("lo", "hi")).scalar()
     per_value = values.groupBy("x").agg(F.count(F.lit(1)).alias("n"))
     placed = per_value.select("x", "n", bound["lo"].alias("lo"), bound["hi"].alias("hi"))
     guess = F.floor((F.col("x") - F.col("lo")) / (F.col("hi") - F.col("lo")) * bins).cast("int") + 1
