@@ -219,7 +219,7 @@ def _stage(spark: SparkSession, sf: str, feeds: list[str], max_rows_per_file: in
 def _csv(feed: str) -> Query:
     def run(spark: SparkSession, sf: str) -> DataFrame:
         raw_dir = _stage(spark, sf, [feed])
-        return load.read_feed(spark, feed, f"{raw_dir}/{feed}").drop(ORDINAL)
+        return load.read_feed(spark, feed, f"{raw_dir}/{feed}").select(STAR[feed].columns)
 
     return run
 

@@ -26,6 +26,7 @@ STORES = """store_id,store_name,region,postcode,store_size_sqft,num_staff,manage
 S1,North,NW England,N1,2000,10,,12/03/2018,False
 S2,South,Atlantis,N2,2001,11,Jo,2019-12-26,True
 S3,East,Scotland,N3,2002,12,Jo,05/13/2019,True
+S4,West,Wales,N4,2003,13,Jo,2019-01-01,True,one too many
 """
 HEAD = ("transaction_id,transaction_date,customer_id,product_id,store_id,quantity,unit_price,discount_pct,"
         "total_value,payment_method,channel\n")
@@ -92,9 +93,10 @@ def test_lenient_load(spark, raw_dir, tmp_path):
     feeds = load.read_feeds(spark, raw_dir)
     assert rows(load.all_rejected(feeds), "feed", "row_key", "reason") == [
         ("customers", "C3", "signup_date: unreadable"), ("products", "P3", "sell_price: unreadable"),
+        ("stores", "S4", "row: malformed"),
         ("transactions", "T4", "transaction_date: unreadable"), ("transactions", "T6", "total_value: unreadable")]
     assert rows(load.load_audit(feeds, loaded), "feed", "raw_rows", "loaded_rows", "dropped") == [
-        ("customers", "5", "3", "2"), ("products", "4", "3", "1"), ("stores", "3", "3", "0"),
+        ("customers", "5", "3", "2"), ("products", "4", "3", "1"), ("stores", "4", "3", "1"),
         ("transactions", "9", "5", "4")]
 
 

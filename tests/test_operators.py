@@ -131,3 +131,16 @@ def test_duplicate_and_missing_keys(spark):
     df = spark.createDataFrame([("S1",), ("S1",), (None,), (None,), ("S2",)], "store_id string")
     assert rows(quality.duplicate_keys({"stores": df})) == [("stores", "S1", 2)]
     assert rows(quality.missing_keys({"stores": df})) == [("stores", 2)]
+
+
+def test_price_lookup_takes_the_last_row_and_falls_back(spark, no_broadcast):
+    from tillwise.operators.conform import look_up_price
+    from tillwise.sources.feeds import ORDINAL
+
+    products = spark.createDataFrame(
+        [("P1", "£1.00", 1), ("P1", "2.00", 2), ("P2", "n/k", 3), ("P3", None, 4)],
+        f"product_id string, sell_price string, {ORDINAL} int")
+    sold = spark.createDataFrame(
+        [(1, "P1"), (2, "P2"), (3, "P3"), (4, "P9"), (5, None)], "transaction_id int, product_id string")
+    got = {r.transaction_id: str(r.unit_price) for r in look_up_price(sold, products).collect()}
+    assert got == {1: "2.00", 2: "9.99", 3: "9.99", 4: "9.99", 5: "9.99"}

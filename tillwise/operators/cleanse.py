@@ -17,7 +17,7 @@ from tillwise.functions.numbers import impute_cost, parse_price
 from tillwise.functions.text import strip, title_case
 from tillwise.operators.dedupe import keep_first
 from tillwise.schemas import STAR, Table
-from tillwise.sources.feeds import ORDINAL
+from tillwise.sources.feeds import MALFORMED, ORDINAL
 
 REJECT = "_reject"
 
@@ -29,6 +29,8 @@ def _typed(raw: DataFrame, table: Table, cleaned: dict[str, Column]) -> DataFram
     }
     # Text always reads, so it is only measured; everything else fits if it reads.
     reasons = [F.when(F.col(table.key).isNull(), F.lit(f"{table.key}: missing"))]
+    if MALFORMED in raw.columns:
+        reasons.insert(0, F.when(F.col(MALFORMED), F.lit("row: malformed")))
     for name, value in values.items():
         if name in table.lengths:
             wrong, reason = F.length(value) > table.lengths[name], "too long"

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.numbers import FALLBACK_PRICE, MONEY, parse_price
 from tillwise.operators.cleanse import first_accepted, type_transactions
-from tillwise.operators.joins import keep_known, null_unknown
+from tillwise.operators.dedupe import keep_first
+from tillwise.operators.joins import keep_known, look_up, null_unknown
+from tillwise.sources.feeds import ORDINAL
 
 
 def conform_references(
@@ -35,11 +37,15 @@ def derive_channel(facts: DataFrame) -> DataFrame:
 
 
 def look_up_price(facts: DataFrame, raw_products: DataFrame) -> DataFrame:
-    """Add unit_price from the product feed; the fallback price where product or price is unusable."""
-    prices = raw_products.select("product_id", parse_price(F.col("sell_price")).alias("_price"))
+    """Add unit_price from the product feed; the fallback price where product or price is unusable.
+
+    Should the feed list a product twice, its last row counts.
+    """
+    last = keep_first(raw_products, "product_id", [F.col(ORDINAL).desc()])
+    prices = last.select("product_id", parse_price(F.col("sell_price")).alias("_price"))
     price = F.coalesce("_price", F.lit(FALLBACK_PRICE).cast(MONEY)).alias("unit_price")
     kept = [c for c in facts.columns if c != "unit_price"]
-    return facts.join(prices, "product_id", "left").select(*kept, price)
+    return look_up(facts.select(kept), prices, "product_id", F.col("transaction_id")).select(*kept, price)
 
 
 def append_extracts(base: DataFrame, *extracts: DataFrame) -> DataFrame:

@@ -29,27 +29,29 @@ def keep_known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return facts.join(dimension.select(key), key, "left_semi").select(facts.columns)
 
 
-def null_unknown(facts: DataFrame, dimension: DataFrame, key: str, spread_by: Column) -> DataFrame:
-    """Keep every row; a key the dimension lacks becomes null.
+def look_up(facts: DataFrame, side: DataFrame, key: str, spread_by: Column) -> DataFrame:
+    """Left join: all fact columns, then the columns of ``side`` but its key, which must be unique.
 
-    Null keys match nothing, yet a shuffle would send them all to one task. So where the dimension
-    is too big to broadcast, null keys are replaced by many different ones; a leading letter keeps
-    these apart from real keys. A hot real key is left to adaptive skew-join, which can split the
-    fact side of a left join.
+    Null keys match nothing, yet a shuffle would send them all to one task. So where ``side`` is too
+    big to broadcast, null keys are replaced by many different ones; a leading letter keeps these
+    apart from real keys. A hot real key is left to adaptive skew-join, which can split the fact
+    side of a left join.
     """
-    columns = facts.columns
-    known = dimension.select(F.col(key).alias("_known")).where("_known IS NOT NULL").distinct()
-    if fits_broadcast(dimension.select(key)):
-        joined = facts.join(known, F.col(key) == F.col("_known"), "left")
-    else:
-        spread = F.pmod(F.xxhash64(spread_by), F.lit(_NULL_SPREAD)).cast("string")
-        real = F.concat(F.lit("k"), F.col(key).cast("string"))
-        tagged = known.withColumn("_match", F.concat(F.lit("k"), F.col("_known").cast("string")))
-        joined = facts.withColumn("_match", F.coalesce(real, F.concat(F.lit("n"), spread))).join(
-            tagged, "_match", "left"
-        )
-    kept = [F.col("_known").alias(c) if c == key else F.col(c) for c in columns]
-    return joined.select(kept)
+    side = side.where(F.col(key).isNotNull())
+    if fits_broadcast(side):
+        return facts.join(side, key, "left").select(*facts.columns, *[c for c in side.columns if c != key])
+    spread = F.pmod(F.xxhash64(spread_by), F.lit(_NULL_SPREAD)).cast("string")
+    real = F.concat(F.lit("k"), F.col(key).cast("string"))
+    tagged = side.withColumn("_match", real).drop(key)
+    spread_facts = facts.withColumn("_match", F.coalesce(real, F.concat(F.lit("n"), spread)))
+    return spread_facts.join(tagged, "_match", "left").drop("_match")
+
+
+def null_unknown(facts: DataFrame, dimension: DataFrame, key: str, spread_by: Column) -> DataFrame:
+    """Keep every row; a key the dimension lacks becomes null."""
+    known = dimension.select(key, F.col(key).alias("_known")).distinct()
+    found = look_up(facts, known, key, spread_by)
+    return found.select([F.col("_known").alias(c) if c == key else F.col(c) for c in facts.columns])
 
 
 def sum_by_labels(

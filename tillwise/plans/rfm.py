@@ -56,9 +56,14 @@ def coverage(transactions: DataFrame, customers: DataFrame) -> DataFrame:
 
 
 def customer_details(transactions: DataFrame, customers: DataFrame) -> DataFrame:
-    """First known value of each detail per buying customer."""
-    rows = purchases(transactions, customers).groupBy("customer_id")
-    return rows.agg(*[F.first(c, ignorenulls=True).alias(c) for c in DETAILS])
+    """First known value of each detail per buying customer.
+
+    The buyers are reduced to their ids before they meet the customers, so no fact row carries
+    details through a shuffle.
+    """
+    buyers = _per_customer(transactions).select("customer_id")
+    rows = customers.select("customer_id", *DETAILS).join(buyers, "customer_id", "left_semi")
+    return rows.groupBy("customer_id").agg(*[F.first(c, ignorenulls=True).alias(c) for c in DETAILS])
 
 
 def _per_customer(transactions: DataFrame) -> DataFrame:

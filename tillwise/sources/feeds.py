@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.functions.text import null_if_token
 from tillwise.schemas import STAR, Table
@@ -11,6 +12,10 @@ from tillwise.schemas import STAR, Table
 # Where a row stood in the feed; keep-first operators order by it.
 ORDINAL = "_ordinal"
 
+# Whether the row had too few or too many cells.
+MALFORMED = "_malformed"
+_CORRUPT = "_corrupt_record"
+
 # Quotes are doubled inside a quoted cell, as spreadsheets and pandas write them.
 CSV_OPTIONS = {
     "header": "true",
@@ -18,9 +23,19 @@ CSV_OPTIONS = {
     "quote": '"',
     "escape": '"',
     "mode": "PERMISSIVE",
+    "columnNameOfCorruptRecord": _CORRUPT,
 }
 
 
+def csv_schema(table: Table) -> T.StructType:
+    """The feed columns plus the one that receives the text of a malformed row."""
+    return T.StructType([*table.raw, T.StructField(_CORRUPT, T.StringType())])
+
+
+def is_malformed() -> Column:
+    return F.col(_CORRUPT).isNotNull()
+
+
 def in_path_order(path: Column) -> Column:
     """Sort key for part files: by length first, or part-100000 would come before part-99999."""
     return F.struct(F.length(path), path)
@@ -32,7 +47,7 @@ def normalise(raw: DataFrame, table: Table) -> DataFrame:
 
 
 def read_feed(spark: SparkSession, feed: str, path: str, multiline: bool = False) -> DataFrame:
-    """Read one feed (a file or a directory of files) as text columns plus its ordinal.
+    """Read one feed (a file or a directory of files) as text columns, ordinal and malformed mark.
 
     Rows are numbered by file name, position of the split in the file, and row within the split.
     ``monotonically_increasing_id`` alone would follow the scan's packing of splits into tasks,
@@ -40,14 +55,15 @@ def read_feed(spark: SparkSession, feed: str, path: str, multiline: bool = False
     task per file.
     """
     table = STAR[feed]
-    reader = spark.read.schema(table.raw).options(**CSV_OPTIONS)
+    reader = spark.read.schema(csv_schema(table)).options(**CSV_OPTIONS)
     raw = reader.option("multiLine", str(multiline).lower()).csv(path)
     ordinal = F.struct(
         in_path_order(F.col("_metadata.file_path")),
         F.col("_metadata.file_block_start"),
         F.monotonically_increasing_id(),
     )
-    return normalise(raw.select(*table.columns, ordinal.alias(ORDINAL)), table)
+    rows = raw.select(*table.columns, ordinal.alias(ORDINAL), is_malformed().alias(MALFORMED))
+    return normalise(rows, table)
 
 
 def write_feed(df: DataFrame, path: str, max_rows_per_file: int = 0) -> None:
@@ -56,9 +72,9 @@ def write_feed(df: DataFrame, path: str, max_rows_per_file: int = 0) -> None:
     ``max_rows_per_file`` of 0 means one file per task.
     """
     (
-        df.drop(ORDINAL)
+        df.drop(ORDINAL, MALFORMED)
         .write.mode("overwrite")
-        .options(**{k: v for k, v in CSV_OPTIONS.items() if k != "mode"})
+        .options(**{k: CSV_OPTIONS[k] for k in ("header", "encoding", "quote", "escape")})
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .option("maxRecordsPerFile", max_rows_per_file)

@@ -9,24 +9,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
+@lru_cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tillwise-")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """This application's folder under ``spark.checkpoint.dir``.
 
     A machine-local folder is only taken where nothing is set and the session is local anyway.
     """
+    context = spark.sparkContext
     root = spark.conf.get(_SETTING, None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tillwise-")
-        spark.conf.set(_SETTING, root)
-    return f"{root.rstrip('/')}/tillwise/{spark.sparkContext.applicationId}"
+        root = _local_root(context.applicationId)
+    return f"{root.rstrip('/')}/tillwise/{context.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -7,7 +7,14 @@ from pyspark.sql import functions as F
 
 from tillwise.functions.text import null_if_token
 from tillwise.schemas import STAR
-from tillwise.sources.feeds import CSV_OPTIONS, ORDINAL, in_path_order
+from tillwise.sources.feeds import (
+    CSV_OPTIONS,
+    MALFORMED,
+    ORDINAL,
+    csv_schema,
+    in_path_order,
+    is_malformed,
+)
 
 _FILE, _START = "_feed_file", "_split_start"
 
@@ -27,13 +34,14 @@ def land_feed(
     resumed by the next one without losing or repeating a file.
     """
     raw = (
-        spark.readStream.schema(STAR[feed].raw)
+        spark.readStream.schema(csv_schema(STAR[feed]))
         .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(raw_dir)
     )
     rows = raw.select(
         *[null_if_token(F.col(c)).alias(c) for c in STAR[feed].columns],
+        is_malformed().alias(MALFORMED),
         F.col("_metadata.file_path").alias(_FILE),
         F.col("_metadata.file_block_start").alias(_START),
     )
@@ -49,12 +57,12 @@ def land_feed(
 
 
 def landed(spark: SparkSession, feed: str, landing: str) -> DataFrame:
-    """Everything landed so far, like ``read_feed``: text columns plus ordinal in file order.
+    """Everything landed so far, like ``read_feed``: text columns, malformed mark, ordinal.
 
     Rows of one split were written by one task in order, so their place in the parquet files is
     their place in the split.
     """
-    schema = STAR[feed].raw.add(_FILE, "string").add(_START, "long")
+    schema = STAR[feed].raw.add(MALFORMED, "boolean").add(_FILE, "string").add(_START, "long")
     rows = spark.read.schema(schema).parquet(landing)
     ordinal = F.struct(
         in_path_order(F.col(_FILE)),
@@ -62,4 +70,4 @@ def landed(spark: SparkSession, feed: str, landing: str) -> DataFrame:
         in_path_order(F.col("_metadata.file_path")),
         F.col("_metadata.row_index"),
     )
-    return rows.select(*STAR[feed].columns, ordinal.alias(ORDINAL))
+    return rows.select(*STAR[feed].columns, MALFORMED, ordinal.alias(ORDINAL))
