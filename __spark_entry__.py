@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -25,6 +26,12 @@ from tillwise.sources.retail_views import CUSTOMER_EXTRACTS, raw_feed, untouched
 from tillwise.sources.scratch import scratch_path
 from tillwise.streaming import incremental
 
+_SPEC = importlib.util.find_spec("tillwise.llm")
+if _SPEC is not None and _SPEC.origin:  # the subpackage may be left out
+    from tillwise.llm import registry as llm
+else:
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _YEAR = 1997
@@ -299,6 +306,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return core_queries() | (llm.QUERIES if llm else {})
+
+
+def core_queries() -> dict[str, Query]:
     return {
         # sales reports
         "business_summary": _over_views(sales.business_summary, "transactions"),
@@ -403,4 +414,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (llm.SQL if llm else {})
