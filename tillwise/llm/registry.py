@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillwise.llm import decontaminate, langid, mixing, sharding, simhash
+from tillwise.llm import decontaminate, langid, minhash, mixing, ngrams, pii, sharding, simhash, toxicity
 
 QUERIES = {
+    "op1_crf_pii": pii.op1_crf_pii,
     "op2_ring_shards": sharding.op2_ring_shards,
     "op3_prefix_decontaminate": decontaminate.op3_prefix_decontaminate,
+    "op4_backoff_scores": ngrams.op4_backoff_scores,
     "op6_tree_mix": mixing.op6_tree_mix,
     "op7_simhash_trie": simhash.op7_simhash_trie,
     "op8_ppm_language": langid.op8_ppm_language,
+    "op9_fm_toxicity": toxicity.op9_fm_toxicity,
+    "op10_minhash_prints": minhash.op10_minhash_prints,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -30,18 +30,23 @@ def text_crc(text: Column) -> Column:
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
-def token_pieces(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
-    """Words between ASCII blanks, in lists of about ``size`` bytes; no word is cut."""
+def pieces(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """``data`` in parts of about ``size`` bytes, cut at ASCII blanks."""
     start = 0
     while start < len(data):
         stop = start + size
         if stop < len(data):
             blank = _SPACE.search(data, stop)
             stop = blank.start() if blank else len(data)
-        yield data[start:stop].split()
+        yield data[start:stop]
         start = stop
 
 
+def token_pieces(data: bytes) -> Iterator[list[bytes]]:
+    """Words between ASCII blanks, in lists of bounded size; no word is cut."""
+    return (piece.split() for piece in pieces(data))
+
+
 def lowered(text: str | None) -> bytes:
     """UTF-8 with only A-Z lower-cased; an unset text is empty."""
     return (text or "").encode("utf-8", "surrogatepass").lower()
