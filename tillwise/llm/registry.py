@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillwise.llm import decontaminate, langid, minhash, mixing, ngrams, pii, sharding, simhash, toxicity
+from tillwise.llm import decontaminate, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_crf_pii": pii.op1_crf_pii,
     "op2_ring_shards": sharding.op2_ring_shards,
     "op3_prefix_decontaminate": decontaminate.op3_prefix_decontaminate,
     "op4_backoff_scores": ngrams.op4_backoff_scores,
+    "op5_suffix_line_dedup": linededup.op5_suffix_line_dedup,
     "op6_tree_mix": mixing.op6_tree_mix,
     "op7_simhash_trie": simhash.op7_simhash_trie,
     "op8_ppm_language": langid.op8_ppm_language,
@@ -18,4 +19,4 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-SQL = {"op3_prefix_decontaminate": decontaminate.SQL}
+SQL = {"op3_prefix_decontaminate": decontaminate.SQL, "op5_suffix_line_dedup": linededup.SQL}
