@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from tillwise.functions.numbers import ratio
 from tillwise.operators import quality, ranking
 from tillwise.operators.dedupe import keep_first
 from tillwise.operators.joins import fits_broadcast, keep_known, null_unknown, sum_by_labels
@@ -120,11 +121,52 @@ def test_shares(spark):
     assert [str(r[0]) for r in df.orderBy("k").select(share_of_total("v")).collect()] == ["33.3", "66.7"]
 
 
-def test_near_duplicates_lists_people_not_ids(spark):
+def test_near_duplicates_lists_every_id(spark):
     people = [(f"C{i}", "ann o'neil" if i % 2 else "ANN O'NEIL", "07", "PC") for i in range(40)]
-    people += [("D1", "Bob", "08", "PC"), ("C7", "ann o'neil", "07", "PC")]
+    people += [("D1", "Bob", "08", "PC"), ("C7", "ann o'neil", "07", "PC"), (None, "Ann O'Neil", "07", "PC")]
+    # a name alone is not a person; one of phone and postcode is enough
+    people += [("E1", "Cy", None, None), ("E2", "Cy", None, None), ("F1", "Di", None, "PD"), ("F2", "di", None, "PD")]
     df = spark.createDataFrame(people, "customer_id string, full_name string, phone string, postcode string")
-    assert rows(quality.near_duplicates(df)) == [("Ann O'Neil", "07", "PC", 40, "C0", "C9")]
+    found = quality.near_duplicates(df).select("full_name", "phone", "postcode", "customer_id", "ids").collect()
+    want = {("Ann O'Neil", "07", "PC", f"C{i}", 40) for i in range(40)}
+    want |= {("Di", None, "PD", "F1", 2), ("Di", None, "PD", "F2", 2)}
+    assert len(found) == 42 and {tuple(r) for r in found} == want
+
+
+@pytest.mark.parametrize("kind", ["decimal(10,4)", "double"])
+def test_ranks_use_all_digits(spark, kind):
+    df = spark.sql(f"""SELECT k, CAST(v AS {kind}) AS v FROM VALUES
+        ('a', '0.124'), ('b', '0.121'), ('c', '0.1229'), ('d', '0.5') AS t(k, v)""")
+    ranked = ranking.first_rank(df, "k", "v")
+    assert {r.k: r["rank"] for r in ranked.collect()} == {"b": 1, "c": 2, "a": 3, "d": 4}
+    assert dict(ranked.dtypes)["v"] == kind
+    tenth = spark.range(10).select(F.format_string("%02d", "id").alias("k"), (F.col("id") / 1000).cast(kind).alias("v"))
+    cuts = ranking.rank_cuts(tenth, "k", ["v"])
+    got = tenth.select("k", ranking.bucket_by_cuts("v", "k", cuts["v"]).alias("b")).orderBy("k").collect()
+    assert [r.b for r in got] == [1, 1, 2, 2, 3, 3, 4, 4, 5, 5]
+
+
+def test_measures_without_a_common_type_are_refused(spark):
+    df = spark.sql("SELECT 'a' AS k, CAST(1 AS DECIMAL(38,0)) AS x, CAST(1 AS DECIMAL(38,20)) AS y")
+    with pytest.raises(TypeError, match="one by one"):
+        ranking.rank_cuts(df, "k", ["x", "y"])
+
+
+@pytest.mark.parametrize("size", ["decimal(10,2)", "decimal(22,2)", "decimal(32,2)", "decimal(38,2)"])
+def test_ratio_rounds_the_true_quotient(spark, size):
+    df = spark.sql(f"""SELECT CAST(n AS {size}) AS n, CAST(d AS {size}) AS d FROM VALUES
+        ('12.34', '100'), ('-12.35', '100'), ('12.35', '-100'), ('12.3499', '100'), ('1', '0'), ('0', '3') AS t(n, d)""")
+    exact = spark.sql(f"SELECT CAST('1234999.97' AS {size}) * 1 AS n, CAST('10000000' AS {size}) AS d")
+    share = ratio(F.col("n") * F.lit(100), F.col("d"), 1).alias("r")
+    assert [str(r.r) for r in df.select(share).collect()] == ["12.3", "-12.4", "-12.4", "12.4", "None", "0.0"]
+    assert [str(r.r) for r in exact.select(share).collect()] == ["12.3"]
+    assert df.select(share).dtypes == [("r", "decimal(28,1)")]
+
+
+def test_sizes_as_settings_spell_them():
+    from tillwise.operators.joins import _bytes
+
+    assert [_bytes(s) for s in ("-1", "10485760b", "256k", "10MB", "1g", "64")] == [-1, 10485760, 262144, 10 << 20, 1 << 30, 64]
 
 
 def test_duplicate_and_missing_keys(spark):

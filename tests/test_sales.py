@@ -105,3 +105,47 @@ def test_year_slicer_prunes_months_and_reaches_the_scan(spark, tables, tmp_path)
     assert re.search(r"PushedFilters: \[[^\]]*\(transaction_date", plan)
     read = plan[plan.index("ReadSchema"):]
     assert "payment_method" not in read and "store_id" not in read
+
+
+REPORTS = {
+    "business_summary": lambda tx, p, s: sales.business_summary(tx),
+    "monthly_trend": lambda tx, p, s: sales.monthly_trend(tx),
+    "revenue_by_category": lambda tx, p, s: sales.revenue_by_category(tx, p),
+    "top_products": lambda tx, p, s: sales.top_products(tx, p),
+    "revenue_by_region": lambda tx, p, s: sales.revenue_by_region(tx, s),
+    "channel_split": lambda tx, p, s: sales.channel_split(tx),
+    "returns_by_category": lambda tx, p, s: sales.returns_by_category(tx, p),
+    "payment_breakdown": lambda tx, p, s: sales.payment_breakdown(tx),
+    "stock_status": lambda tx, p, s: dashboards.stock_status(p),
+    "channel_share": lambda tx, p, s: dashboards.channel_share(tx),
+}
+
+
+@pytest.mark.parametrize("name", REPORTS)
+def test_size_of_a_dimension_changes_neither_types_nor_values(spark, tables, name):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before, found = spark.conf.get(key), []
+    for threshold in (before, "-1"):
+        spark.conf.set(key, threshold)
+        report = REPORTS[name](*tables)
+        found.append((report.dtypes, got(report)))
+    spark.conf.set(key, before)
+    assert found[0] == found[1]
+
+
+def test_share_of_large_totals_is_rounded_once(spark, no_broadcast):
+    tx = spark.sql("""SELECT t.*, CAST(v AS DECIMAL(12,2)) AS total_value FROM VALUES
+        ('T1', 'P1', 1, '1234999997.00'), ('T2', 'P2', 1, '8765000003.00') AS t(transaction_id, product_id, quantity, v)""")
+    products = spark.sql("SELECT * FROM VALUES ('P1', 'Home'), ('P2', 'Food') AS t(product_id, category)")
+    found = {r.category: str(r.revenue_pct) for r in sales.revenue_by_category(tx, products).collect()}
+    assert found == {"Home": "12.3", "Food": "87.7"}
+
+
+def test_headline_facts_need_the_order_header_once(spark):
+    from tillwise.sources.retail_views import view
+
+    sf = "/root/testdata/sf0.001"
+    tx, lines = view(spark, sf, "transactions"), view(spark, sf, "lines")
+    scored = spark.createDataFrame([("Lost",)], "segment string")
+    plan = plan_of(dashboards.headline_facts(tx, view(spark, sf, "products"), view(spark, sf, "stores"), scored, lines))
+    assert len(re.findall(r"orders\.parquet", plan)) == 1

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,13 +27,24 @@ def line_total(price: Column, quantity: Column, discount: Column) -> Column:
     return F.round(price * quantity * (F.lit(1).cast("decimal(1,0)") - discount), 2)
 
 
+# Digits behind the point that a ratio's operands may have, as the factor that makes them whole numbers.
+_WHOLE = Decimal(10**6)
+_WIDE = "decimal(38,0)"
+
+
 def ratio(numerator: Column, denominator: Column, digits: int) -> Column:
-    """Decimal division rounded half away from zero, as a database rounds NUMERIC; null over zero.
+    """Exact decimal division rounded half away from zero, as a database rounds NUMERIC; null over zero.
 
-    Dividing the decimal sum keeps ten or more digits, so the final rounding sees the true tie;
-    ``avg`` would already have rounded to six.
+    Decimal division keeps as few as six digits when its operands are declared wide, and rounding these
+    again can cross a tie. So both are made whole numbers (up to six decimals) and divided with
+    remainder. The result is DECIMAL(28, digits) whatever the declared width of the operands.
     """
-    return F.round(numerator / F.nullif(denominator, F.lit(0)), digits)
+    above = F.abs(numerator * F.lit(_WHOLE)).cast(_WIDE)
+    below = F.abs(F.nullif(denominator, F.lit(0)) * F.lit(_WHOLE)).cast(_WIDE)
+    doubled = above * F.lit(Decimal(2 * 10**digits)) + below
+    size = F.call_function("div", doubled, below * F.lit(Decimal(2))).cast("decimal(19,0)")
+    scaled = (size * F.lit(Decimal(1).scaleb(-digits))).cast(f"decimal(28,{digits})")
+    return F.when((numerator < 0) != (denominator < 0), -scaled).otherwise(scaled)
 
 
 def round_half_even(col: Column, digits: int) -> Column:

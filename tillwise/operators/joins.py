@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +14,18 @@ def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate is within the session's broadcast threshold.
 
     This is the test Spark itself applies to a join side, asked early so that the plan for a large
-    side can be a different one. Where the estimate cannot be read the answer is no.
+    side can be a different one. A client that has no plans at hand (Spark Connect) gets no.
     """
-    try:
-        spark = df.sparkSession
-        to_bytes = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
-        threshold = to_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-        estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:
+    if not hasattr(df, "_jdf"):
         return False
-    return 0 <= estimate <= threshold
+    threshold = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return 0 <= int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= threshold
+
+
+def _bytes(setting: str) -> int:
+    """A size as Spark's settings spell it: 10485760, 10485760b, 256k, 10MB."""
+    number, unit = re.fullmatch(r"(-?\d+)([bkmgtp]?)b?", setting.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".find(unit) if unit in tuple("kmgtp") else int(number)
 
 
 def keep_known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
@@ -48,8 +52,8 @@ def look_up(facts: DataFrame, side: DataFrame, key: str, spread_by: Column) -> D
 
 
 def null_unknown(facts: DataFrame, dimension: DataFrame, key: str, spread_by: Column) -> DataFrame:
-    """Keep every row; a key the dimension lacks becomes null."""
-    known = dimension.select(key, F.col(key).alias("_known")).distinct()
+    """Keep every row; a key the dimension lacks becomes null. ``key`` must be unique in the dimension."""
+    known = dimension.select(key, F.col(key).alias("_known"))
     found = look_up(facts, known, key, spread_by)
     return found.select([F.col("_known").alias(c) if c == key else F.col(c) for c in facts.columns])
 
@@ -66,10 +70,12 @@ def sum_by_labels(
     ``measures`` must be sums or counts, so that partial results can be added up. A small dimension
     is joined first and the rows aggregate straight to the few labels. A large one is joined only
     after the facts are summed per key: rows of a hot key merge before the shuffle and the join
-    moves at most one row per key, never the facts.
+    moves at most one row per key, never the facts. Types and values are the same either way.
     """
     side = dimension.select(key, *labels)
     if fits_broadcast(side):
         return facts.join(side, key).groupBy(*labels).agg(*[m.alias(n) for n, m in measures.items()])
     per_key = facts.where(F.col(key).isNotNull()).groupBy(key).agg(*[m.alias(n) for n, m in measures.items()])
-    return per_key.join(side, key).groupBy(*labels).agg(*[F.sum(n).alias(n) for n in measures])
+    # a sum of sums is declared wider; the total is the same as over the rows and fits their type
+    types = dict(per_key.dtypes)
+    return per_key.join(side, key).groupBy(*labels).agg(*[F.sum(n).cast(types[n]).alias(n) for n in measures])

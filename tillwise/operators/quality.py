@@ -44,16 +44,18 @@ def missing_keys(tables: dict[str, DataFrame]) -> DataFrame:
 def orphans(facts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
     """(foreign_key, orphan, row_count): referenced keys no dimension row has.
 
-    The facts are counted per key before the anti join, so it moves one row per key.
+    One scan of the facts counts all keys, so the anti join moves one row per key.
     """
-    found = []
-    for key, owner in FOREIGN_KEYS.items():
-        per_key = facts.where(F.col(key).isNotNull()).groupBy(key).agg(_rows().alias("row_count"))
-        lost = per_key.join(dimensions[owner].select(key), key, "left_anti")
-        found.append(lost.select(
-            F.lit(key).alias("foreign_key"), F.col(key).cast("string").alias("orphan"), "row_count"
-        ))
-    return _stack(found)
+    cells = [F.struct(F.lit(k).alias("foreign_key"), F.col(k).cast("string").alias("orphan")) for k in FOREIGN_KEYS]
+    per_key = (
+        facts.select(F.inline(F.array(*cells))).where("orphan IS NOT NULL")
+        .groupBy("foreign_key", "orphan").agg(_rows().alias("row_count"))
+    )
+    known = _stack([
+        dimensions[owner].select(F.lit(key).alias("foreign_key"), F.col(key).cast("string").alias("orphan"))
+        for key, owner in FOREIGN_KEYS.items()
+    ])
+    return per_key.join(known, ["foreign_key", "orphan"], "left_anti")
 
 
 def too_long(feeds: dict[str, DataFrame]) -> DataFrame:
@@ -141,22 +143,20 @@ def defects(feeds: dict[str, DataFrame]) -> DataFrame:
 
 
 def near_duplicates(customers: DataFrame) -> DataFrame:
-    """People that appear under several ids: same name, phone and postcode.
+    """People that appear under several ids: same name, phone and postcode, of which one may be missing.
 
-    One row per person with the number of ids and the smallest and largest; the ids themselves are
-    not gathered, since a blank phone could put any number of them into one group.
+    One row for each person and id. Customers without phone and postcode share nothing but a name and are
+    left out. Ids are counted and joined back, not gathered, since a group may have any number of them.
     """
     person = ["full_name", "phone", "postcode"]
-    return (
-        customers.withColumn("full_name", title_case(F.col("full_name")))
-        .groupBy(*person)
-        .agg(
-            F.count_distinct("customer_id").alias("ids"),
-            F.min("customer_id").alias("first_id"),
-            F.max("customer_id").alias("last_id"),
-        )
-        .where("ids > 1")
+    ids = (
+        customers.where("customer_id IS NOT NULL AND (phone IS NOT NULL OR postcode IS NOT NULL)")
+        .select(title_case(F.col("full_name")).alias("full_name"), "phone", "postcode", "customer_id")
+        .distinct()
     )
+    several = ids.groupBy(*person).agg(_rows().alias("ids")).where("ids > 1")
+    same = [F.col(f"i.{c}").eqNullSafe(F.col(f"s.{c}")) for c in person]
+    return ids.alias("i").join(several.alias("s"), same).select("i.*", "s.ids")
 
 
 def sold_before_opening(facts: DataFrame, stores: DataFrame) -> DataFrame:

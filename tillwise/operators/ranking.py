@@ -9,10 +9,27 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.sources.scratch import materialise
 
 
+def _common_type(kinds: list[T.DataType]) -> T.DataType:
+    """A type that holds every value of each measure and orders it alike."""
+    if len({k.simpleString() for k in kinds}) == 1:
+        return kinds[0]
+    if all(isinstance(k, (T.IntegralType, T.DecimalType)) for k in kinds):
+        digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+        exact = [(k.precision, k.scale) if isinstance(k, T.DecimalType) else (digits[type(k)], 0) for k in kinds]
+        scale = max(s for _, s in exact)
+        whole = max(p - s for p, s in exact)
+        if whole + scale <= 38:
+            return T.DecimalType(whole + scale, scale)
+    if all(isinstance(k, (T.FloatType, T.DoubleType, T.ByteType, T.ShortType, T.IntegerType)) for k in kinds):
+        return T.DoubleType()
+    raise TypeError(f"no type holds {', '.join(k.simpleString() for k in kinds)} without loss: rank them one by one")
+
+
 def sorted_positions(df: DataFrame, id_col: str, measures: list[str]) -> DataFrame:
     """Sort every measure by (value, id) in one range shuffle and freeze each row's position.
 
@@ -20,7 +37,8 @@ def sorted_positions(df: DataFrame, id_col: str, measures: list[str]) -> DataFra
     The sort keys are unique, so ties in the measure, however many, are split between tasks. The
     result is a written table, because range boundaries are sampled anew on every run.
     """
-    pairs = ", ".join(f"'{m}', CAST({m} AS DECIMAL(38,2))" for m in measures)
+    common = _common_type([df.schema[m].dataType for m in measures])
+    pairs = ", ".join(f"'{m}', CAST({m} AS {common.simpleString()})" for m in measures)
     long = df.selectExpr(f"{id_col} AS id", f"stack({len(measures)}, {pairs}) AS (measure, value)")
     ordered = long.select("measure", "value", "id").orderBy("measure", "value", "id")
     return materialise(ordered.withColumn("pos", F.monotonically_increasing_id()), "positions")

@@ -109,9 +109,13 @@ def product_page(transactions: DataFrame, products: DataFrame, year: int | None
 
 
 def headline_facts(
-    transactions: DataFrame, products: DataFrame, stores: DataFrame, rfm: DataFrame
+    transactions: DataFrame, products: DataFrame, stores: DataFrame, rfm: DataFrame, lines: DataFrame | None = None
 ) -> DataFrame:
-    """(fact, label, amount): best month, category and region by revenue; customers to win back."""
+    """(fact, label, amount): best month, category and region by revenue; customers to win back.
+
+    ``lines`` are the transactions without date and customer, where these cost a join to attach.
+    """
+    lines = transactions if lines is None else lines
 
     def best(fact: str, report: DataFrame, label: str, amount: str) -> DataFrame:
         top = report.orderBy(F.col(amount).desc(), F.col(label).asc()).limit(1)
@@ -131,7 +135,7 @@ def headline_facts(
     ]
     return reduce(DataFrame.unionByName, [
         best("peak_month", sales.monthly_trend(transactions), "month", "monthly_revenue"),
-        best("top_category", sales.revenue_by_category(transactions, products), "category", "total_revenue"),
-        best("top_region", sales.revenue_by_region(transactions, stores), "region", "total_revenue"),
+        best("top_category", sales.revenue_by_category(lines, products), "category", "total_revenue"),
+        best("top_region", sales.revenue_by_region(lines, stores), "region", "total_revenue"),
         *sizes,
     ])
