@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillwise.functions.dates import parse_iso_date, parse_mixed_date
 from tillwise.functions.lookups import harmonise_region
@@ -22,11 +23,17 @@ from tillwise.sources.feeds import MALFORMED, ORDINAL
 REJECT = "_reject"
 
 
+def _cast(field: T.StructField) -> Column:
+    """The cell as its declared type. Whole numbers may end in .0, as exports of columns with gaps have them."""
+    cell = F.col(field.name)
+    if isinstance(field.dataType, T.IntegerType):
+        cell = F.regexp_replace(cell, r"^([+-]?\d+)\.0+$", "$1")
+    return cell.try_cast(field.dataType)
+
+
 def _typed(raw: DataFrame, table: Table, cleaned: dict[str, Column]) -> DataFrame:
     """Declared columns, ordinal and verdict. Columns not in ``cleaned`` are cast to their type."""
-    values = {
-        f.name: cleaned.get(f.name, F.col(f.name).try_cast(f.dataType)) for f in table.stored
-    }
+    values = {f.name: cleaned.get(f.name, _cast(f)) for f in table.stored}
     # Text always reads, so it is only measured; everything else fits if it reads.
     reasons = [F.when(F.col(table.key).isNull(), F.lit(f"{table.key}: missing"))]
     if MALFORMED in raw.columns:
@@ -114,6 +121,19 @@ def rejected(typed: DataFrame, feed: str) -> DataFrame:
     )
 
 
+def judged(typed: DataFrame, key: str, also: Column | None = None) -> DataFrame:
+    """``typed`` with the reason of every row that is not to be loaded, repeated keys included.
+
+    ``also`` gives a reason beyond the row's own cells, or null. The first row by ordinal without a reason is
+    the one to load; it is found by a minimum per key, so a key that many rows share stays spread. Reads
+    ``typed`` twice, which must therefore be a written table: ordinals are not to be numbered anew.
+    """
+    rows = typed if also is None else typed.withColumn(REJECT, F.coalesce(REJECT, also))
+    first = rows.where(F.col(REJECT).isNull()).groupBy(key).agg(F.min(ORDINAL).alias("_first"))
+    again = F.when(F.col(ORDINAL) != F.col("_first"), F.lit(f"{key}: repeated"))
+    return rows.join(first, key, "left").withColumn(REJECT, F.coalesce(REJECT, again)).drop("_first")
+
+
 def clean_dimension(raw: DataFrame, feed: str, strict: bool = False) -> DataFrame:
     """Typed, accepted rows of a dimension feed, the first of each key."""
     return first_accepted(TYPERS[feed](raw), STAR[feed].key, strict)

@@ -16,18 +16,31 @@ def conform_references(
     facts: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame
 ) -> DataFrame:
     """Unknown customers and stores become null, rows of unknown products go. Channel stays as it was."""
-    spread = F.col("transaction_id")
-    known = keep_known(facts, products, "product_id")
-    known = null_unknown(known, stores, "store_id", spread)
-    return null_unknown(known, customers, "customer_id", spread)
+    return repair(keep_known(facts, products, "product_id"), customers, stores)
 
 
 def clean_transactions(
     raw: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame, strict: bool = False
 ) -> DataFrame:
-    """The fact rows to load. Dedupe comes last, so the first copy with a known product survives."""
-    facts = conform_references(type_transactions(raw), customers, products, stores)
-    return first_accepted(facts, "transaction_id", strict)
+    """The fact rows to load: the first acceptable copy with a known product of each id.
+
+    Unknown customers and stores do not decide which copy that is, so copies and rejects are gone before
+    those two lookups.
+    """
+    return conform_typed(type_transactions(raw), customers, products, stores, strict)
+
+
+def conform_typed(
+    typed: DataFrame, customers: DataFrame, products: DataFrame, stores: DataFrame, strict: bool = False
+) -> DataFrame:
+    sold = keep_known(typed, products, "product_id")
+    return repair(first_accepted(sold, "transaction_id", strict), customers, stores)
+
+
+def repair(facts: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:
+    """Unknown customers and stores become null."""
+    spread = F.col("transaction_id")
+    return null_unknown(null_unknown(facts, stores, "store_id", spread), customers, "customer_id", spread)
 
 
 def derive_channel(facts: DataFrame) -> DataFrame:

@@ -4,51 +4,105 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.operators.cleanse import TYPERS, clean_dimension, rejected
-from tillwise.operators.conform import clean_transactions
+from tillwise.operators.cleanse import REJECT, TYPERS, accepted, judged, rejected
+from tillwise.operators.conform import repair
+from tillwise.operators.joins import look_up
 from tillwise.operators.quality import duplicate_keys
 from tillwise.schemas import STAR
 from tillwise.sources.feeds import read_feed
-from tillwise.sources.warehouse import read_table, row_counts, write_table
+from tillwise.sources.scratch import materialise
+from tillwise.sources.warehouse import read_table, replace_table, row_counts, write_table
 
 DIMENSIONS = ["customers", "products", "stores"]
 
 
-def read_feeds(spark: SparkSession, raw_dir: str) -> dict[str, DataFrame]:
+def read_feeds(spark: SparkSession, raw_dir: str, multiline: bool = False) -> dict[str, DataFrame]:
     """The raw feeds, each a folder (or file) named after its table."""
-    return {name: read_feed(spark, name, f"{raw_dir.rstrip('/')}/{name}") for name in STAR}
+    return {name: read_feed(spark, name, f"{raw_dir.rstrip('/')}/{name}", multiline) for name in STAR}
 
 
 def load_dimensions(feeds: dict[str, DataFrame], root: str, strict: bool = False) -> None:
-    """Clean and write the dimensions among ``feeds``."""
+    """Clean and write the dimensions among ``feeds``, and what of them is left out."""
     for name in [n for n in DIMENSIONS if n in feeds]:
         if strict and name != "customers":
             _refuse_duplicates(name, feeds[name])
-        write_table(clean_dimension(feeds[name], name, strict), root, name)
+        verdicts = _judge(feeds[name], root, name, strict)
+        write_table(accepted(verdicts), root, name)
 
 
 def load_transactions(raw: DataFrame, root: str, strict: bool = False, mode: str = "overwrite") -> None:
-    """Conform the facts to the dimensions already loaded and write them by month."""
+    """Conform the facts to the dimensions already loaded and write them by month, and what is left out."""
     keys = {name: read_table(raw.sparkSession, root, name) for name in DIMENSIONS}
-    facts = clean_transactions(raw, keys["customers"], keys["products"], keys["stores"], strict)
-    write_table(facts, root, "transactions", mode)
+    verdicts = _judge(raw, root, "transactions", strict, keys["products"])
+    write_table(repair(accepted(verdicts), keys["customers"], keys["stores"]), root, "transactions", mode)
 
 
-def load_star(spark: SparkSession, raw_dir: str, root: str, strict: bool = False) -> dict[str, DataFrame]:
+def _judge(raw: DataFrame, root: str, name: str, strict: bool, products: DataFrame | None = None) -> DataFrame:
+    """Typed rows with the reason not to load each, from one pass over the feed; the others are written down.
+
+    The typed rows are written first, so that neither the count of raw rows, nor the rejects, nor the table
+    parse the feed again.
+    """
+    spark, key = raw.sparkSession, STAR[name].key
+    counted = Observation(f"raw {name}")
+    typed = TYPERS[name](raw).observe(counted, F.count(F.lit(1)).alias("rows"))
+    typed = materialise(typed, f"typed-{name}")
+    if strict:
+        worst = typed.where(F.col(REJECT).isNotNull()).select(REJECT).head()
+        if worst:
+            raise ValueError(f"rejected row, {worst[0]}")
+    unknown = None
+    if products is not None:
+        typed = look_up(typed, products.select("product_id", F.lit(True).alias("_sold")), "product_id", F.col(key))
+        unknown = F.when(F.col("_sold").isNull(), F.lit("product_id: unknown"))
+    verdicts = judged(typed, key, unknown)
+    left_out = rejected(verdicts, name).drop("feed").withColumn("row_key", F.col("row_key").cast("string"))
+    replace_table(left_out, f"{_kept(root)}/rejects/feed={name}")
+    replace_table(spark.range(1).select(F.lit(counted.get["rows"]).alias("row_count")), f"{_kept(root)}/raw/feed={name}")
+    return verdicts
+
+
+def _kept(root: str) -> str:
+    return f"{root.rstrip('/')}/load_record"
+
+
+def load_star(
+    spark: SparkSession, raw_dir: str, root: str, strict: bool = False, multiline: bool = False
+) -> dict[str, DataFrame]:
     """Load everything, dimensions before facts, over whatever an earlier load left.
 
-    Lenient by default: rows that cannot be loaded are left out, see ``all_rejected``. ``strict``
-    fails on the first such row, and on a product or store id that comes twice.
+    Lenient by default: rows that cannot be loaded are left out, see ``rejects`` and ``accounting``.
+    ``strict`` fails on the first row with a bad cell, and on a product or store id that comes twice; a table
+    that fails keeps its old rows. ``multiline`` allows line breaks inside quoted cells.
     """
-    feeds = read_feeds(spark, raw_dir)
+    feeds = read_feeds(spark, raw_dir, multiline)
     load_dimensions(feeds, root, strict)
     load_transactions(feeds["transactions"], root, strict)
     return {name: read_table(spark, root, name) for name in STAR}
 
 
+def rejects(spark: SparkSession, root: str) -> DataFrame:
+    """(feed, row_key, reason) of every row the last load of each table left out."""
+    return spark.read.schema("row_key string, reason string, feed string").parquet(f"{_kept(root)}/rejects").select(
+        "feed", "row_key", "reason"
+    )
+
+
+def accounting(spark: SparkSession, root: str) -> DataFrame:
+    """(feed, cause, row_count): rows read, rows loaded, and rows left out by reason, of the last load."""
+    raw = spark.read.schema("row_count long, feed string").parquet(f"{_kept(root)}/raw")
+    kept = row_counts({name: read_table(spark, root, name) for name in STAR})
+    lost = rejects(spark, root).groupBy("feed", F.col("reason").alias("cause")).agg(F.count(F.lit(1)).alias("row_count"))
+    return (
+        raw.select("feed", F.lit("read").alias("cause"), "row_count")
+        .unionByName(kept.select(F.col("table_name").alias("feed"), F.lit("loaded").alias("cause"), "row_count"))
+        .unionByName(lost)
+    )
+
+
 def _refuse_duplicates(name: str, raw: DataFrame) -> None:
     twice = duplicate_keys({name: raw}).limit(1).collect()
     if twice:
@@ -56,7 +110,7 @@ def _refuse_duplicates(name: str, raw: DataFrame) -> None:
 
 
 def all_rejected(feeds: dict[str, DataFrame]) -> DataFrame:
-    """(feed, row_key, reason) of every row a lenient load leaves out."""
+    """(feed, row_key, reason) of every row with a cell that cannot be loaded, straight from the feeds."""
     return reduce(DataFrame.unionByName, [rejected(TYPERS[n](df), n) for n, df in feeds.items()])
 
 

@@ -99,15 +99,16 @@ class Table:
         """The feed as it arrives: every column text, because inferred types hide the defects."""
         return T.StructType([T.StructField(c, T.StringType()) for c in self.columns])
 
-    def ddl(self, location: str, partitioned_by: str | None = None) -> str:
+    def ddl(self, location: str, partitioned_by: str | None = None, database: str = "") -> str:
+        quoted = location.replace("\\", "\\\\").replace("'", "\\'")
         columns = [f"{f.name} {f.dataType.simpleString().upper()}" for f in self.declared]
         partition = ""
         if partitioned_by:
             columns.append(f"{partitioned_by} STRING")
             partition = f" PARTITIONED BY ({partitioned_by})"
         return (
-            f"CREATE TABLE IF NOT EXISTS {self.name} ({', '.join(columns)}) "
-            f"USING parquet{partition} LOCATION '{location}'"
+            f"CREATE TABLE IF NOT EXISTS {database}{self.name} ({', '.join(columns)}) "
+            f"USING parquet{partition} LOCATION '{quoted}'"
         )
 
 

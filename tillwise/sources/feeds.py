@@ -24,12 +24,25 @@ CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": _CORRUPT,
+    # Every file's header must name the columns of the schema in its order.
+    "enforceSchema": "false",
+    # Pruned columns are not parsed, and a row's cells would not be counted.
+    "columnPruning": "false",
 }
+_PLAIN = {k: CSV_OPTIONS[k] for k in ("header", "encoding", "quote", "escape")}
 
 
-def csv_schema(table: Table) -> T.StructType:
-    """The feed columns plus the one that receives the text of a malformed row."""
-    return T.StructType([*table.raw, T.StructField(_CORRUPT, T.StringType())])
+def csv_schema(spark: SparkSession, table: Table, path: str) -> T.StructType:
+    """The feed's columns in the order of its header, plus the one that receives the text of a malformed row.
+
+    Columns are found by name; a missing or an unknown one is an error, as is a file whose header differs.
+    """
+    found = spark.read.options(**_PLAIN).csv(path).columns
+    missing = [c for c in table.columns if c not in found]
+    unknown = [c for c in found if c not in table.columns]
+    if missing or unknown:
+        raise ValueError(f"{table.name}: missing columns {missing}, unknown columns {unknown}")
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*found, _CORRUPT]])
 
 
 def is_malformed() -> Column:
@@ -37,8 +50,10 @@ def is_malformed() -> Column:
 
 
 def in_path_order(path: Column) -> Column:
-    """Sort key for part files: by length first, or part-100000 would come before part-99999."""
-    return F.struct(F.length(path), path)
+    """Sort key for part files: folder and name, numbers by value, so part-99999 comes before part-100000."""
+    name = F.substring_index(path, "/", -2)
+    padded = F.regexp_replace(name, r"(\d+)", "0" * 20 + "$1")
+    return F.regexp_replace(padded, r"\d*(\d{20})(?!\d)", "$1")
 
 
 def normalise(raw: DataFrame, table: Table) -> DataFrame:
@@ -49,13 +64,13 @@ def normalise(raw: DataFrame, table: Table) -> DataFrame:
 def read_feed(spark: SparkSession, feed: str, path: str, multiline: bool = False) -> DataFrame:
     """Read one feed (a file or a directory of files) as text columns, ordinal and malformed mark.
 
-    Rows are numbered by file name, position of the split in the file, and row within the split.
+    Columns are read by the names in the header. Rows are numbered by file name, position of the split in the file, and row within the split.
     ``monotonically_increasing_id`` alone would follow the scan's packing of splits into tasks,
     which goes by size. ``multiline`` allows line breaks inside quoted cells, at the price of one
     task per file.
     """
     table = STAR[feed]
-    reader = spark.read.schema(csv_schema(table)).options(**CSV_OPTIONS)
+    reader = spark.read.schema(csv_schema(spark, table, path)).options(**CSV_OPTIONS)
     raw = reader.option("multiLine", str(multiline).lower()).csv(path)
     ordinal = F.struct(
         in_path_order(F.col("_metadata.file_path")),
@@ -74,7 +89,7 @@ def write_feed(df: DataFrame, path: str, max_rows_per_file: int = 0) -> None:
     (
         df.drop(ORDINAL, MALFORMED)
         .write.mode("overwrite")
-        .options(**{k: CSV_OPTIONS[k] for k in ("header", "encoding", "quote", "escape")})
+        .options(**_PLAIN)
         .option("ignoreLeadingWhiteSpace", "false")
         .option("ignoreTrailingWhiteSpace", "false")
         .option("maxRecordsPerFile", max_rows_per_file)

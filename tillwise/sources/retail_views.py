@@ -139,7 +139,7 @@ SELECT 'S' || CAST(s_suppkey AS STRING) AS store_id, s_name AS store_name,
 FROM {{supplier}}""",
     "transactions": f"""
 SELECT 'T' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS transaction_id,
-    CAST(CAST(o_orderdate AS DATE) AS STRING) AS transaction_date,
+    CASE WHEN l_orderkey % 113 = 5 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS transaction_date,
     CASE WHEN l_orderkey % 24 = 0 THEN 'NA' WHEN l_orderkey % 12 = 0 THEN ''
          WHEN l_orderkey % 40 = 1 THEN 'C-' || CAST(o_custkey AS STRING)
          ELSE 'C' || CAST(o_custkey AS STRING) END AS customer_id,
@@ -147,8 +147,9 @@ SELECT 'T' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS transaction_id,
          ELSE 'P' || CAST(l_partkey AS STRING) END AS product_id,
     CASE WHEN l_orderkey % 7 = 0 THEN '' WHEN l_orderkey % 45 = 2 THEN 'Z' || CAST(l_suppkey AS STRING)
          ELSE 'S' || CAST(l_suppkey AS STRING) END AS store_id,
-    CAST(CASE WHEN {_IS_RETURN} THEN -1 WHEN l_partkey % 211 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END
-        AS STRING) AS quantity,
+    CASE WHEN l_partkey % 307 = 9 THEN 'some' ELSE CAST(
+        CASE WHEN {_IS_RETURN} THEN -1 WHEN l_partkey % 211 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END
+        AS STRING) END AS quantity,
     CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS STRING) AS unit_price,
     CAST(CAST(l_discount AS DECIMAL(5,2)) AS STRING) AS discount_pct,
     CAST(CAST(CASE WHEN {_IS_RETURN} THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(10,2)) AS STRING)

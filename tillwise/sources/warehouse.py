@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,17 +34,48 @@ def _fact_layout(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite") -> None:
-    """Write a star table. ``overwrite`` makes a repeated load idempotent, ``append`` adds rows.
+    """Write a star table. ``overwrite`` makes a repeated load idempotent, ``append`` adds rows with new keys.
 
-    Overwriting replaces the whole table, also months the new rows do not have.
+    Overwriting replaces the whole table, also months the new rows do not have, and only once all new rows
+    are written: a job that fails leaves the old table as it was. Appending leaves out rows whose key the
+    table has (a transaction in the same month), so it can be repeated.
     """
-    table = STAR[name]
-    typed = to_declared(df, table)
+    spark, path = df.sparkSession, table_path(root, name)
+    typed = to_declared(df, STAR[name])
+    if mode == "append" and _exists(spark, path):
+        typed = _without_known(typed, root, name)
+    fresh = path if mode == "append" else f"{root.rstrip('/')}/_new-{name}-{uuid.uuid4().hex}"
+    writer = _fact_layout(typed).write.partitionBy(MONTH) if name == "transactions" else typed.write
+    writer.mode("append").parquet(fresh)
+    if fresh != path:
+        _swap(spark, fresh, path)
+
+
+def _file(spark: SparkSession, path: str):
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file, file.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    file, system = _file(spark, path)
+    return system.exists(file)
+
+
+def _swap(spark: SparkSession, fresh: str, path: str) -> None:
+    new, system = _file(spark, fresh)
+    old = _file(spark, path)[0]
+    system.delete(old, True)
+    if not system.rename(new, old):
+        raise OSError(f"{fresh} could not take the place of {path}")
+
+
+def _without_known(df: DataFrame, root: str, name: str) -> DataFrame:
+    key, there = STAR[name].key, read_table(df.sparkSession, root, name)
     if name == "transactions":
-        writer = _fact_layout(typed).write.partitionBy(MONTH)
-    else:
-        writer = typed.write
-    writer.option("partitionOverwriteMode", "static").mode(mode).parquet(table_path(root, name))
+        # one value per calendar month
+        months = [r[0] for r in df.select(month_label(F.col("transaction_date"))).distinct().collect()]
+        there = there.where(F.col(MONTH).isin([m for m in months if m is not None]))
+    return df.join(there.select(key), key, "left_anti").select(df.columns)
 
 
 def replace_months(df: DataFrame, root: str) -> None:
@@ -66,17 +98,21 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(table_path(root, name))
 
 
-def create_tables(spark: SparkSession, root: str) -> None:
-    """Register the four tables in the catalog. VARCHAR limits then hold for SQL inserts too."""
+def create_tables(spark: SparkSession, root: str, database: str | None = None) -> None:
+    """Register the four tables, with the months there are, in the catalog. VARCHAR limits then hold for SQL inserts too."""
+    prefix = f"{database}." if database else ""
     for name, table in STAR.items():
         partition = MONTH if name == "transactions" else None
-        spark.sql(table.ddl(table_path(root, name), partition))
+        spark.sql(table.ddl(table_path(root, name), partition, prefix))
+        if partition:
+            spark.sql(f"ALTER TABLE {prefix}{name} RECOVER PARTITIONS")
 
 
-def drop_tables(spark: SparkSession) -> None:
+def drop_tables(spark: SparkSession, database: str | None = None) -> None:
     """Forget the four tables, the referring one first; files of external tables stay."""
+    prefix = f"{database}." if database else ""
     for name in reversed(STAR):
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {prefix}{name}")
 
 
 def replace_table(df: DataFrame, target: str, fmt: str = "parquet", **options: str) -> None:

@@ -4,8 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tillwise.functions.dates import month_label
 from tillwise.functions.text import null_if_token
+from tillwise.operators.cleanse import type_transactions
+from tillwise.operators.conform import conform_typed
 from tillwise.schemas import STAR
 from tillwise.sources.feeds import (
     CSV_OPTIONS,
@@ -15,10 +19,73 @@ from tillwise.sources.feeds import (
     in_path_order,
     is_malformed,
 )
+from tillwise.sources.warehouse import MONTH, read_table, replace_months
 
 _FILE, _START = "_feed_file", "_split_start"
 
 
+def _new_rows(spark: SparkSession, feed: str, raw_dir: str, files_per_batch: int, multiline: bool) -> DataFrame:
+    """Stream of a feed's rows as text, with the malformed mark, file and split."""
+    raw = (
+        spark.readStream.schema(csv_schema(spark, STAR[feed], raw_dir))
+        .options(**CSV_OPTIONS)
+        .option("multiLine", str(multiline).lower())
+        .option("maxFilesPerTrigger", files_per_batch)
+        .csv(raw_dir)
+    )
+    return raw.select(
+        *[null_if_token(F.col(c)).alias(c) for c in STAR[feed].columns],
+        is_malformed().alias(MALFORMED),
+        F.col("_metadata.file_path").alias(_FILE),
+        F.col("_metadata.file_block_start").alias(_START),
+    )
+
+
+def load_new_files(
+    spark: SparkSession,
+    raw_dir: str,
+    root: str,
+    landing: str,
+    checkpoint: str,
+    files_per_batch: int = 1000,
+    multiline: bool = False,
+) -> None:
+    """Bring the fact table under ``root`` up to date with the files not yet seen, then stop.
+
+    Each batch types its own files only and lands the typed rows by month, with their place in the feed. The
+    months it touches are conformed anew from what has landed in them and replaced; no other month is read
+    or written. Copies of a transaction count as such within a month. A batch that dies is run again from
+    its own folder, so nothing is lost or repeated.
+    """
+    dimensions = {name: read_table(spark, root, name) for name in ("customers", "products", "stores")}
+
+    def conform(rows: DataFrame, batch: int) -> None:
+        place = F.struct(in_path_order(F.col(_FILE)), F.col(_START), F.monotonically_increasing_id())
+        typed = type_transactions(rows.withColumn(ORDINAL, place)).withColumn(MONTH, month_label(F.col("transaction_date")))
+        typed.write.mode("overwrite").partitionBy(MONTH).parquet(f"{landing}/batch={batch}")
+        schema = typed.schema.add("batch", "long")
+        landed_now = spark.read.schema(schema).option("basePath", landing).parquet(f"{landing}/batch={batch}")
+        # one value per calendar month
+        months = [r[0] for r in landed_now.select(MONTH).distinct().collect() if r[0] is not None]
+        if months:
+            touched = touched_months(spark, landing, months, schema)
+            replace_months(conform_typed(touched, **dimensions), root)
+
+    rows = _new_rows(spark, "transactions", raw_dir, files_per_batch, multiline)
+    (
+        rows.writeStream.foreachBatch(conform)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
+    )
+
+
+def touched_months(spark: SparkSession, landing: str, months: list[str], schema: T.StructType) -> DataFrame:
+    """Landed rows of some months; the others are pruned by folder."""
+    return spark.read.schema(schema).parquet(landing).where(F.col(MONTH).isin(months)).drop(MONTH, "batch")
+
+
 def land_feed(
     spark: SparkSession,
     feed: str,
@@ -26,6 +93,7 @@ def land_feed(
     landing: str,
     checkpoint: str,
     files_per_batch: int = 1000,
+    multiline: bool = False,
 ) -> None:
     """Append the rows of all files not yet seen to the landing table, then stop.
 
@@ -33,18 +101,7 @@ def land_feed(
     File source and file sink keep their logs in ``checkpoint`` and ``landing``: a run that dies is
     resumed by the next one without losing or repeating a file.
     """
-    raw = (
-        spark.readStream.schema(csv_schema(STAR[feed]))
-        .options(**CSV_OPTIONS)
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(raw_dir)
-    )
-    rows = raw.select(
-        *[null_if_token(F.col(c)).alias(c) for c in STAR[feed].columns],
-        is_malformed().alias(MALFORMED),
-        F.col("_metadata.file_path").alias(_FILE),
-        F.col("_metadata.file_block_start").alias(_START),
-    )
+    rows = _new_rows(spark, feed, raw_dir, files_per_batch, multiline)
     (
         rows.writeStream.format("parquet")
         .option("path", landing)
