@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib.util
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -89,7 +90,8 @@ def _dimensions(spark: SparkSession, sf: str, *names: str) -> dict[str, DataFram
     """Cleaned dimensions as tables, loaded before the facts that refer to them."""
     names = names or tuple(load.DIMENSIONS)
     root = scratch_path(spark, "star")
-    load.load_dimensions({n: raw_feed(spark, sf, n) for n in names}, root)
+    for n in names:
+        warehouse.write_table(cleanse.clean_dimension(raw_feed(spark, sf, n), n), root, n)
     return {n: warehouse.read_table(spark, root, n) for n in names}
 
 
@@ -192,7 +194,7 @@ def _headline_facts(spark: SparkSession, sf: str) -> DataFrame:
     transactions = view(spark, sf, "transactions")
     scored = rfm.scored_customers(transactions, view(spark, sf, "customers"))
     return _plain(dashboards.headline_facts(
-        transactions, view(spark, sf, "products"), view(spark, sf, "stores"), scored
+        transactions, view(spark, sf, "products"), view(spark, sf, "stores"), scored, view(spark, sf, "lines")
     ))
 
 
@@ -298,6 +300,43 @@ def _incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     return _declared(warehouse.read_table(spark, root, "transactions"))
 
 
+def _incremental_months(spark: SparkSession, sf: str) -> DataFrame:
+    raw_dir = _stage(spark, sf, list(STAR), max_rows_per_file=20_000)
+    root = scratch_path(spark, "star")
+    load.load_dimensions({n: load.read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
+    incremental.load_new_files(spark, f"{raw_dir}/transactions", root, landing, checkpoint, files_per_batch=2)
+    return _declared(warehouse.read_table(spark, root, "transactions"))
+
+
+def _load_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    return load.accounting(spark, _load(spark, sf)[1])
+
+
+def _load_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return load.rejects(spark, _load(spark, sf)[1])
+
+
+def _catalog_counts(spark: SparkSession, sf: str) -> DataFrame:
+    _, root, _ = _load(spark, sf)
+    database = f"star_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    warehouse.create_tables(spark, root, database)
+    return warehouse.row_counts({n: spark.table(f"{database}.{n}") for n in STAR})
+
+
+def _shuffled_csv(feed: str) -> Query:
+    """The feed with its columns in another order: the header says which is which."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = scratch_path(spark, "shuffled")
+        rows = untouched_feed(spark, sf, feed).orderBy(ORDINAL)
+        write_feed(rows.select(*sorted(STAR[feed].columns, reverse=True)), path)
+        return load.read_feed(spark, feed, path).select(STAR[feed].columns)
+
+    return run
+
+
 # ---- the contract --------------------------------------------------------------------------------
 
 
@@ -409,6 +448,11 @@ def core_queries() -> dict[str, Query]:
         "appended_transactions": _appended_transactions,
         "replaced_months": _replaced_months,
         "incremental_load": _incremental_load,
+        "incremental_months": _incremental_months,
+        "load_accounting": _load_accounting,
+        "load_rejects": _load_rejects,
+        "catalog_counts": _catalog_counts,
+        **{f"csv_{n}_by_header": _shuffled_csv(n) for n in STAR},
         "replaced_customer_rfm": _replaced_customer_rfm,
     }
 

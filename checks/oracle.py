@@ -118,18 +118,24 @@ _BLOCKS = {
     "clean_stores": """
         SELECT * FROM typed_stores WHERE reason IS NULL
         QUALIFY row_number() OVER (PARTITION BY store_id ORDER BY o1) = 1""",
+    "typed_transactions": f"""
+        SELECT *, CASE WHEN transaction_date IS NOT NULL AND {_iso('transaction_date')} IS NULL
+                THEN 'transaction_date: unreadable'
+            WHEN quantity IS NOT NULL AND TRY_CAST(quantity AS INT) IS NULL THEN 'quantity: unreadable'
+            END AS reason
+        FROM transactions_feed""",
     "repaired": f"""
         SELECT t.* REPLACE (
             CASE WHEN t.customer_id IN (SELECT customer_id FROM clean_customers) THEN t.customer_id END
                 AS customer_id,
             CASE WHEN t.store_id IN (SELECT store_id FROM clean_stores) THEN t.store_id END AS store_id,
-            {_iso('transaction_date')} AS transaction_date, CAST(quantity AS INT) AS quantity,
+            {_iso('transaction_date')} AS transaction_date, TRY_CAST(quantity AS INT) AS quantity,
             CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
             CAST(discount_pct AS DECIMAL(5,2)) AS discount_pct,
             CAST(total_value AS DECIMAL(10,2)) AS total_value)
-        FROM transactions_feed t WHERE product_id IN (SELECT product_id FROM clean_products)""",
+        FROM typed_transactions t WHERE product_id IN (SELECT product_id FROM clean_products)""",
     "clean_transactions": """
-        SELECT * FROM repaired QUALIFY row_number() OVER (
+        SELECT * FROM repaired WHERE reason IS NULL QUALIFY row_number() OVER (
             PARTITION BY transaction_id ORDER BY o1, o2, o3, o4, o5, o6, o7, o8, o9) = 1""",
     "purchases": """
         SELECT t.customer_id, t.transaction_date, t.total_value, c.full_name, c.region, c.age_group,
@@ -319,6 +325,24 @@ def _defects() -> str:
 _KEYS = {"customers": "clean_customers", "products": "clean_products", "stores": "clean_stores",
          "transactions": "clean_transactions"}
 
+def _left_out() -> str:
+    """Rows a load leaves out: bad cells, products nobody sells, and all but the first copy of an id."""
+    parts = []
+    for name, order in _PLACES.items():
+        key = STAR[name].key
+        unknown = "WHEN product_id NOT IN (SELECT product_id FROM clean_products) OR product_id IS NULL THEN 'product_id: unknown'"
+        parts.append(f"""
+            SELECT feed, row_key, coalesce(cause, CASE WHEN nth > 1 THEN '{key}: repeated' END) AS reason
+            FROM (SELECT *, row_number() OVER (PARTITION BY row_key, cause IS NULL ORDER BY {order}) AS nth
+                FROM (SELECT *, '{name}' AS feed, {key} AS row_key, CASE WHEN reason IS NOT NULL THEN reason
+                    {unknown if name == 'transactions' else ''} END AS cause FROM typed_{name}))
+            WHERE cause IS NOT NULL OR nth > 1""")
+    return _stacked(parts)
+
+
+_PLACES = {"customers": "o1, o2", "products": "o1", "stores": "o1", "transactions": "o1, o2, o3, o4, o5, o6, o7, o8, o9"}
+_LEFT_OUT = _left_out()
+
 _STATEMENTS = {
     # sales reports
     "business_summary": f"""
@@ -368,7 +392,7 @@ _STATEMENTS = {
     **{f"clean_{n}": f"SELECT {_columns(n)} FROM clean_{n}" for n in STAR},
     "rejected_rows": _stacked([
         f"SELECT '{n}' AS feed, {STAR[n].key} AS row_key, reason FROM typed_{n} WHERE reason IS NOT NULL"
-        for n in ("customers", "products", "stores")
+        for n in STAR
     ]),
     # conforming
     "valid_keys": _stacked([
@@ -386,7 +410,7 @@ _STATEMENTS = {
         FROM transactions_feed t LEFT JOIN clean_stores s ON t.store_id = s.store_id""",
     "line_totals": f"""
         SELECT transaction_id, CAST({_half_up(
-            '''CAST(CAST(unit_price AS DECIMAL(10,2)) * 100 AS HUGEINT) * CAST(quantity AS INT)
+            '''CAST(CAST(unit_price AS DECIMAL(10,2)) * 100 AS HUGEINT) * TRY_CAST(quantity AS INT)
                * (100 - CAST(CAST(discount_pct AS DECIMAL(5,2)) * 100 AS HUGEINT))''', '100')} AS DOUBLE) / 100
             AS line_total
         FROM transactions_feed""",
@@ -459,9 +483,11 @@ _STATEMENTS = {
     "numeric_overflow": _too_large(),
     "defect_profile": _defects(),
     "near_duplicate_customers": f"""
-        SELECT {_title('full_name')} AS full_name, phone, postcode, count(DISTINCT customer_id) AS ids,
-            min(customer_id) AS first_id, max(customer_id) AS last_id
-        FROM customers_feed GROUP BY 1, 2, 3 HAVING count(DISTINCT customer_id) > 1""",
+        SELECT * FROM (
+            SELECT full_name, phone, postcode, customer_id, count(*) OVER (PARTITION BY full_name, phone, postcode) AS ids
+            FROM (SELECT DISTINCT {_title('full_name')} AS full_name, phone, postcode, customer_id FROM customers_feed
+                WHERE customer_id IS NOT NULL AND coalesce(phone, postcode) IS NOT NULL))
+        WHERE ids > 1""",
     "store_opened_after_sales": """
         SELECT store_id, opening_date, min(transaction_date) AS first_sale, count(*) AS early_sales
         FROM sold JOIN stores_view USING (store_id) WHERE transaction_date < opening_date
@@ -511,11 +537,17 @@ _STATEMENTS = {
     **{f"csv_{n}": f"SELECT {', '.join(STAR[n].columns)} FROM {n}_feed" for n in STAR},
     **{f"loaded_{n}": f"SELECT {_columns(n)} FROM clean_{n}" for n in STAR},
     "loaded_twice": _stacked([_COUNT_FEED.format(n, "table_name", "row_count", c) for n, c in _KEYS.items()]),
-    "appended_transactions": f"""
-        SELECT {_columns('transactions')} FROM clean_transactions
-        UNION ALL SELECT {_columns('transactions')} FROM clean_transactions""",
+    "appended_transactions": f"SELECT {_columns('transactions')} FROM clean_transactions",
     "replaced_months": f"SELECT {_columns('transactions')} FROM clean_transactions",
     "incremental_load": f"SELECT {_columns('transactions')} FROM clean_transactions",
+    "incremental_months": f"SELECT {_columns('transactions')} FROM clean_transactions",
+    "load_rejects": _LEFT_OUT,
+    "load_accounting": f"""
+        SELECT feed, reason AS cause, count(*) AS row_count FROM ({_LEFT_OUT}) GROUP BY 1, 2
+        UNION ALL {_stacked([f"SELECT '{n}', 'read', count(*) FROM {n}_feed" for n in STAR])}
+        UNION ALL {_stacked([f"SELECT '{n}', 'loaded', count(*) FROM clean_{n}" for n in STAR])}""",
+    "catalog_counts": _stacked([_COUNT_FEED.format(n, "table_name", "row_count", c) for n, c in _KEYS.items()]),
+    **{f"csv_{n}_by_header": f"SELECT {', '.join(STAR[n].columns)} FROM {n}_feed" for n in STAR},
     "replaced_customer_rfm": _CUSTOMER_RFM,
 }
 
