@@ -91,24 +91,23 @@ def mixed(
 ) -> DataFrame:
     """``rows`` (with ``source`` and long ``__size``) and what the mix takes of them.
 
-    Adds source_size, target, taken and ``mix_shards``, the output shard of every copy. ``tie`` names the
+    Adds __source_size, __target, __taken and __shards, the output shard of every copy. ``tie`` names the
     columns that tell rows apart. ``rows`` is read twice: once for the sums, once for the rows.
     """
     spark = rows.sparkSession
-    keyed = rows.drop("source_size", "target", "taken", "mix_shards").withColumn("__key", F.xxhash64(*tie, F.lit(seed)))
+    keyed = rows.withColumn("__key", F.xxhash64(*tie, F.lit(seed)))
     keyed = keyed.withColumn("__cell", F.shiftrightunsigned("__key", 64 - CELL_BITS))
     # summed by cell first, so that a hot source is many groups
-    cells = keyed.groupBy("source", "__cell").agg(F.sum("__size").cast("long").alias("n"))
+    cells = keyed.groupBy("source", "__cell").agg(F.sum("__size").cast("long").alias("__n"))
     cells = materialise(cells, "mix-cells")
-    found = [(r["source"], r["n"]) for r in cells.groupBy("source").agg(F.sum("n").alias("n")).collect()]
+    found = [(r["source"], r["n"]) for r in cells.groupBy("source").agg(F.sum("__n").alias("n")).collect()]
     lines = draw(found, share, most, weights, shards, blocks, seed)
     sources = spark.createDataFrame(
-        lines, "__name string, source_size long, target double, __whole int, __rest double, __length long, __deal array<int>"
+        lines, "__name string, __source_size long, __target double, __whole int, __rest double, __length long, __deal array<int>"
     )
     earlier = Window.partitionBy("source").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cells.select(
-        F.col("source").alias("__of"), F.col("__cell").alias("__in"), F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("__start")
-    )
+    start = F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start")
+    starts = cells.select(F.col("source").alias("__of"), F.col("__cell").alias("__in"), start)
     inner = Window.partitionBy("source", "__cell").orderBy("__key", *tie, "__size")
     run = F.coalesce(F.sum("__size").over(inner.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     same = F.col("source").eqNullSafe(F.col("__of")) & (F.col("__cell") == F.col("__in"))
@@ -118,10 +117,10 @@ def mixed(
     at = at.withColumn("__begin", F.col("__start") + F.col("__run"))
     extra = (F.col("__begin") + F.col("__size") / 2 <= F.col("__rest")).cast("int")
     at = at.withColumn("__copies", F.when(F.col("__size") > 0, F.col("__whole") + extra).otherwise(0))
-    block = lambda p: F.floor((p * F.col("source_size") + F.col("__begin")) / F.col("__length")).cast("int")
+    block = lambda p: F.floor((p * F.col("__source_size") + F.col("__begin")) / F.col("__length")).cast("int")
     passes = F.filter(F.sequence(F.lit(0), F.lit(int(most))), lambda p: p < F.col("__copies"))
-    at = at.withColumn("mix_shards", F.transform(passes, lambda p: F.get(F.col("__deal"), block(p))))
-    return at.withColumn("taken", F.col("__copies") * F.col("__size")).drop(
+    at = at.withColumn("__shards", F.transform(passes, lambda p: F.get(F.col("__deal"), block(p))))
+    return at.withColumn("__taken", F.col("__copies") * F.col("__size")).drop(
         "__cell", "__run", "__of", "__in", "__start", "__name", "__whole", "__rest", "__length", "__deal", "__begin", "__copies"
     )
 
@@ -135,13 +134,14 @@ def op6_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     narrow = sized(docs).select("doc_id", "source", "__size", text_crc(F.col("text")).alias("__crc"))
     out = mixed(materialise(narrow, "mix-sizes"), ["doc_id", "__crc"])
-    return out.select("doc_id", F.col("__size").alias("size"), "source_size", "target", "taken", "mix_shards")
+    names = ["size", "source_size", "target", "taken", "shards"]
+    return out.select("doc_id", *[F.col(f"__{n}").alias(n) for n in names])
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the documents the mix takes, one row per copy, grouped by output shard and shuffled in it."""
     taken = mixed(sized(docs).withColumn("__crc", text_crc(F.col("text"))), ["doc_id", "__crc"])
-    each = taken.select(*docs.columns, "__key", F.posexplode("mix_shards").alias("__pass", "__shard"))
+    each = taken.select(*docs.columns, "__key", F.posexplode("__shards").alias("__pass", "__shard"))
     each = each.withColumn("__order", F.xxhash64("__key", "__pass"))
     # a shard is split by the leading bits of its order, so none is one task
     each = each.repartition("__shard", F.shiftrightunsigned("__order", 61)).sortWithinPartitions("__shard", "__order")

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from tillwise.llm.text import shared, table
 
 KINDS = ("email", "ip", "card", "phone")
-AROUND = 3
+AROUND = 5
 
 Span = tuple[int, int]
 
@@ -120,6 +120,11 @@ LABELLED = (
     "the old [phone 988-555-2485] the new",
     "she wrote [email ann at example dot com] yesterday",
     "mail [email john dot smith at mail dot example dot org] please",
+    "ask [email tom at host dot net] today",
+    "message [email eva at school dot edu] now",
+    "write to [email jim at office dot com] about it",
+    "reach [email pat at club dot org] later",
+    "or at [email kim at lab dot example dot net] in may",
     "contact [email bob [at] example [dot] com] for more",
     "write to [email carol (at) example (dot) net] soon",
     "to [email dave@localhost] the message went",
@@ -159,6 +164,8 @@ LABELLED = (
     "she looked at the dot on the wall",
     "meet me at ten and at noon",
     "the dot com years are over",
+    "meet her at the dot com fair",
+    "he looked at a dot on the map",
     "a + b is c and 1 + 2 is 3",
     "isbn 978-3-16-148410-0 is out",
     "from 9.30 to 17.00 each day",

@@ -36,6 +36,7 @@ THRESHOLD = 0.3
 HASH_BITS = 22
 TERMS = 8192
 SAMPLE = 20_000
+LEAST_GAIN = 6.0
 PREFIXES = (4, 5, 6)
 SEVERAL = (2, 3, 5)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -103,15 +104,15 @@ class Machine:
         return sigmoid(self.raw(flat, owner, len(documents))[0])
 
     def fit(
-        self, documents: list[list[int]], labels: np.ndarray, passes: int = 12, batch: int = 256, rate: float = 0.1,
+        self, documents: list[list[int]], labels: np.ndarray, steps: int = 1200, batch: int = 256, rate: float = 0.1,
         keep: float = 1e-4, seed: int = 11,
     ) -> Machine:
-        """Logistic loss, AdaGrad, L2 on every active weight."""
+        """Logistic loss, AdaGrad, L2 on every active weight; whole passes, ``steps`` batches at least."""
         rng = np.random.default_rng(seed)
         share = float(labels.mean())
         self.bias = float(np.log(share / (1 - share)))
         past_b, past_w, past_v = 1.0, np.ones_like(self.weights), np.ones_like(self.factors)
-        for _ in range(passes):
+        for _ in range(-(-steps // -(-len(documents) // batch))):
             order = rng.permutation(len(documents))
             for at in range(0, len(order), batch):
                 rows = order[at : at + batch]
@@ -162,7 +163,8 @@ def uneven_buckets(terms: DataFrame, toxic: int, clean: int, n: int = TERMS) ->
     share = (F.col("n") + 1) / (toxic + clean + 2)
     clean_seen = F.col("n") - F.col("t")
     gain = part(F.col("t"), toxic, share) + part(clean_seen, clean, share)
-    top = counts.where("n >= 3").orderBy(gain.desc(), "bucket").limit(n).select("bucket")
+    # twice the gain is the G statistic; what is below LEAST_GAIN is mostly chance
+    top = counts.where("n >= 3").where(gain >= LEAST_GAIN).orderBy(gain.desc(), "bucket").limit(n).select("bucket")
     return np.sort(np.array([r["bucket"] for r in top.collect()], np.int64))
 
 
