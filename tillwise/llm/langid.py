@@ -26,12 +26,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.text import in_fold, shared, table
+from tillwise.llm.text import in_fold, small_batches, table
 
 ORDER = 2
 FOLDS, HELD = 5, 0
 REJECT_BELOW = 0.5
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 def _codes(data: bytes, order: int) -> np.ndarray:
@@ -145,17 +145,21 @@ class Models:
 
 def learn(docs: DataFrame, order: int = ORDER) -> Models:
     """Models from all training rows; the driver receives the summed counts, bounded by languages x contexts."""
+    small_batches(docs.sparkSession)
     training = docs.where(~in_fold(F.col("doc_id"), FOLDS, HELD)).select("text", "lang")
     return Models(count_contexts(training, order).toPandas(), order)
 
 
 def predicted(models: Models, text: Column) -> Column:
     """struct(lang_pred, score) of a text column."""
-    held = shared(SparkSession.active(), models)
+    # plain arrays: what tasks hold is the table once, not also its packed form
+    sent = SparkSession.active().sparkContext.broadcast(vars(models))
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series, lettered: pd.Series) -> pd.DataFrame:
-        return held().predict(texts.tolist(), lettered.tolist())
+        held = Models.__new__(Models)
+        vars(held).update(sent.value)
+        return held.predict(texts.tolist(), lettered.tolist())
 
     return predict(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.text import table, text_crc, token_pieces
+from tillwise.llm.text import small_batches, table, text_crc, token_pieces
 from tillwise.sources.scratch import materialise
 
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -126,6 +126,7 @@ def mixed(
 
 
 def sized(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.withColumn("__size", word_count("text"))
 
 

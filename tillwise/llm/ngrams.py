@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.text import in_fold, lowered, table, token_pieces
+from tillwise.llm.text import in_fold, lowered, small_batches, table, token_pieces
 from tillwise.sources.scratch import materialise
 
 FOLDS, HELD = 5, 1
@@ -225,6 +225,7 @@ def scored(row, answers: list, stats: dict, kappa: float = KAPPA) -> pd.DataFram
 
 def scores(docs: DataFrame, kappa: float = KAPPA) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row of ``docs``."""
+    small_batches(docs.sparkSession)
     held = in_fold(F.col("doc_id"), FOLDS, HELD)
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), held.alias("held"), "text")
     packed = materialise(rows.mapInPandas(blocks, _BLOCK), "lm-blocks")

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.text import shared, table
+from tillwise.llm.text import shared, small_batches, table
 
 KINDS = ("email", "ip", "card", "phone")
 AROUND = 5
@@ -437,6 +437,7 @@ _FOUND = T.StructType([
 
 def op1_crf_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
+    small_batches(spark)
     field = shared(spark, train())
 
     @F.pandas_udf(_FOUND)

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.text import lowered, table, token_pieces
+from tillwise.llm.text import lowered, small_batches, table, token_pieces
 from tillwise.sources.scratch import materialise
 
 SHINGLE = 3
@@ -168,6 +168,7 @@ def linked(prints: DataFrame) -> DataFrame:
 
 def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     prints = materialise(docs.select("doc_id", fingerprint("text").alias("fp")), "prints")
     out = prints.join(linked(prints), "fp")
@@ -176,6 +177,7 @@ def op7_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with the smallest id stays (then the smallest text hash)."""
+    small_batches(spark)
     prints = docs.select("doc_id", F.xxhash64("text").alias("__text"), fingerprint("text").alias("fp"))
     prints = materialise(prints, "prints")
     groups = prints.join(linked(prints).select("fp", "root"), "fp")

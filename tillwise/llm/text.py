@@ -13,6 +13,14 @@ from pyspark.sql import functions as F
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
 
+BATCH_BYTES = 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what a Python task holds: Spark's default of 64 MB of text per Arrow batch is several hundred MB of objects."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.text import in_fold, lowered, pieces, shared, table
+from tillwise.llm.text import in_fold, lowered, pieces, shared, small_batches, table
 from tillwise.sources.scratch import materialise
 
 FOLDS, HELD = 4, 2
@@ -209,6 +209,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
 
 def op9_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
+    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
     model = shared(spark, learn(docs, table(spark, sf_dir, "labels")))
 
