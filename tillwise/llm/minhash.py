@@ -26,16 +26,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillwise.llm.text import lowered, table, token_pieces
+from tillwise.llm.simhash import components
+from tillwise.llm.text import lowered, small_batches, table, token_pieces
 from tillwise.sources.scratch import materialise
 
 WIDTH = 5
 PERMUTATIONS = 128
-BANDS = 16
+BANDS = 32
 SIMILAR = 0.8
 _CHUNK = 1 << 15
 _CACHE = 1 << 20
@@ -128,6 +129,58 @@ def likeness(one: np.ndarray, other: np.ndarray) -> float:
     return float(((one & 0xFFFF) == (other & 0xFFFF)).mean())
 
 
+def signed(texts: DataFrame) -> DataFrame:
+    """(node, bands, shingles) of distinct texts (node, text): band keys, and the set of shingle hashes."""
+    rows = PERMUTATIONS // BANDS
+
+    @F.pandas_udf("bands array<long>, shingles array<long>")
+    def sign(text: pd.Series) -> pd.DataFrame:
+        signer = Signer()
+        low = signer.sign(text.tolist()).reshape(len(text), BANDS, rows)
+        bands = [[xxhash.xxh64_intdigest(b.tobytes(), k) - (1 << 63) for k, b in enumerate(bands)] for bands in low]
+        sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_sets(t, signer.known)])).view(np.int64) for t in text]
+        return pd.DataFrame({"bands": bands, "shingles": sets})
+
+    return texts.select("node", sign("text").alias("s")).select("node", "s.bands", "s.shingles")
+
+
+def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row: its class's smallest doc_id, and the texts linked to its own.
+
+    A text is known by its 64-bit hash. Texts without words are equal to one another and link to no other.
+    """
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
+    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
+    nodes = materialise(signed(texts), "signatures")
+    sets = nodes.where("size(shingles) > 0").select("node", "shingles")
+    open_ = sets.join(nodes.select("node", F.posexplode("bands").alias("band", "key")), "node").select("band", "key", "node")
+    links = None
+    while True:
+        first = open_.groupBy("band", "key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        met = materialise(open_.join(first.drop("n"), ["band", "key"]).where("node != centre"), "met")
+        if met.isEmpty():
+            break
+        one = sets.select("node", F.col("shingles").alias("x"))
+        other = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        judged = met.select("node", "centre").distinct().join(one, "node").join(other, "centre")
+        near = judged.where(both >= similar * (F.size("x") + F.size("y") - both)).select("node", "centre")
+        near = materialise(near, "near")
+        links = near if links is None else links.unionByName(near)
+        # what is unlike the first of its bucket meets again without it
+        open_ = met.join(near, ["node", "centre"], "left_anti").select("band", "key", "node")
+    if links is None:
+        links = sets.select("node", F.col("node").alias("centre")).limit(0)
+    pairs = links.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
+    found = components(pairs)
+    placed = rows.select("doc_id", "node").join(found, "node", "left").join(ends, "node", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "node"))
+    names = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    out = placed.join(names, "root")
+    return out.select("doc_id", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+
+
 def edited(text: str, following: str) -> str:
     """The last third replaced by as much of the beginning of the following text."""
     n = len(text) // 3
@@ -206,5 +259,6 @@ def compared(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def op10_minhash_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint of every document, beside its edited text's and the next document's."""
+    small_batches(spark)
     out = dealt(table(spark, sf_dir, "documents")).mapInPandas(compared, RESULT)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
