@@ -9,8 +9,8 @@ document all its shingles must occur there, so it needs a prefix of one shingle
    window would begin (positional bound), which must leave room for the whole window (length bound).
 3. What is left is verified: shingles that cover the window without a gap must stand at their exact places.
 
-The benchmark's shingles are broadcast only while Spark's size estimate allows it; a bigger benchmark is
-joined by a shuffle whose hot shingles adaptive execution splits.
+The benchmark's shingles are broadcast only if there are at most ``BROADCAST``; a bigger benchmark is joined by
+a shuffle whose hot shingles adaptive execution splits.
 
 Defined results: null and wordless texts have no words, hits or items and are clean; items without words
 have no window; repeated items count once; rows that repeat id and text are judged alike, rows that repeat
@@ -29,6 +29,7 @@ from tillwise.sources.scratch import materialise
 
 WINDOW = 13
 SHINGLE = 3
+BROADCAST = 500_000  # shingles, some 50 MB
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _KEY = ["__id", "__hash"]
 
@@ -75,7 +76,7 @@ def index(docs: DataFrame, tokens: DataFrame, widths: list[int]) -> DataFrame:
     each = each.withColumn("run", runs[0] if len(runs) == 1 else F.explode(F.array(*runs)))
     last = F.col("col").isNull()
     found = each.select(*_KEY, "doc_id", "n_words", "pos", "run", last.alias("last")).join(
-        tokens.select("shingle"), F.col("run") == F.col("shingle"), "left"
+        tokens, F.col("run") == F.col("shingle"), "left"
     )
     found = found.where("last or shingle is not null")
     return found.select(*_KEY, "doc_id", "n_words", F.when(~F.col("last"), F.col("pos")).alias("pos"), "shingle")
@@ -107,7 +108,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     tokens = materialise(shingles(wins), "shingles")
     # at most SHINGLE values
     widths = sorted(r["width"] for r in tokens.select("width").distinct().collect()) or [SHINGLE]
-    spots = materialise(index(docs, tokens.select("shingle").distinct(), widths), "spots")
+    names = tokens.select("shingle").distinct()
+    names = F.broadcast(names) if names.count() <= BROADCAST else names
+    spots = materialise(index(docs, names, widths), "spots")
     found = materialise(occurrences(spots, tokens), "occurrences")
     end = F.col("start") + F.col("length")
     before = Window.partitionBy(*_KEY).orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
