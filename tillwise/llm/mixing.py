@@ -135,8 +135,9 @@ def op6_tree_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     narrow = sized(docs).select("doc_id", "source", "__size", text_crc(F.col("text")).alias("__crc"))
     out = mixed(materialise(narrow, "mix-sizes"), ["doc_id", "__crc"])
-    names = ["size", "source_size", "target", "taken", "shards"]
-    return out.select("doc_id", *[F.col(f"__{n}").alias(n) for n in names])
+    names = ["size", "source_size", "target", "taken"]
+    shards = F.array_join(F.col("__shards").cast("array<string>"), ",").alias("shards")
+    return out.select("doc_id", *[F.col(f"__{n}").alias(n) for n in names], shards)
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
