@@ -71,6 +71,8 @@ def repeated_islands(docs: DataFrame, label: str = "lines") -> DataFrame:
     """Lines that occur again, with their island: a run of such lines in one document."""
     every = materialise(lines(docs), label)
     again = every.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    # written, so that both sides of the join are shuffled for it: only then can Spark split a hot line
+    again = materialise(again, "again")
     kept = every.join(again, ["h1", "h2"]).dropDuplicates([*_DOC, "seq"])
     nth = F.row_number().over(Window.partitionBy(*_DOC).orderBy("seq"))
     return kept.withColumn("island", F.col("seq") - nth)
@@ -117,7 +119,8 @@ def copies(rows: DataFrame, least: int = LEAST) -> DataFrame:
     keyed = keyed.alias("t").join(ranks, same("o", "tail")).select("t.*", F.get("o.ranks", F.col("t.level")).alias("b"))
     keyed = keyed.withColumn("place", F.struct(F.col("doc_id").isNull().alias("unset"), *_DOC, "first"))
     firsts = keyed.groupBy("n", "a", "b").agg(F.min("place").alias("origin"), F.count(F.lit(1)).alias("seen"))
-    found = keyed.join(firsts.where("seen > 1").drop("seen"), ["n", "a", "b"])
+    firsts = materialise(firsts.where("seen > 1").drop("seen"), "firsts")  # written for the same reason
+    found = keyed.join(firsts, ["n", "a", "b"])
     return found.where("place > origin").select(*_DOC, "first", "last")
 
 
