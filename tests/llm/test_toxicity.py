@@ -25,6 +25,11 @@ def test_learns_a_pair_that_no_weight_can():
     assert machine.scores([[0, 1], []]).min() > 0.7 and machine.scores([[0], [1]]).max() < 0.3
 
 
+def test_documents_without_terms_get_the_share():
+    machine = toxicity.Machine(0).fit([[]] * 40, np.array([1.0] + [0.0] * 3).repeat(10))
+    assert machine.scores([[], []]) == pytest.approx(0.25, abs=0.02)
+
+
 def test_terms_of_a_text():
     terms = toxicity.Terms()
     assert terms.of_text(None) == terms.of_text("") == terms.of_text("!! ..") == []

@@ -119,17 +119,19 @@ class Machine:
                 flat, owner = flattened([documents[i] for i in rows])
                 raw, total = self.raw(flat, owner, len(rows))
                 slope = sigmoid(raw) - labels[rows]
+                g_b = slope.sum()
+                past_b += g_b**2
+                self.bias -= rate * g_b / np.sqrt(past_b)
                 active, where = np.unique(flat, return_inverse=True)
+                if not len(active):
+                    continue
                 each = slope[owner]
                 g_w = np.bincount(where, each, len(active)) + keep * self.weights[active]
                 push = each[:, None] * (total[owner] - self.factors[flat])
                 g_v = np.stack([np.bincount(where, push[:, f], len(active)) for f in range(push.shape[1])], axis=1)
                 g_v += keep * self.factors[active]
-                g_b = slope.sum()
-                past_b += g_b**2
                 past_w[active] += g_w**2
                 past_v[active] += g_v**2
-                self.bias -= rate * g_b / np.sqrt(past_b)
                 self.weights[active] -= rate * g_w / np.sqrt(past_w[active])
                 self.factors[active] -= 0.3 * rate * g_v / np.sqrt(past_v[active])
         return self
