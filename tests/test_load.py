@@ -285,3 +285,39 @@ def test_new_files_touch_their_months_only(spark, raw_dir, tmp_path):
     schema = spark.read.parquet(landing).schema
     plan = incremental.touched_months(spark, landing, ["2023-02"], schema)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(transaction_month" in plan or "transaction_month" in plan.split("PartitionFilters")[1][:80]
+
+
+UNDATED = [
+    HEAD + """T1,2022-01-05,C1,P1,S1,1,5.99,0,5.99,Card,In-Store
+U1,,C1,P1,S1,1,5.99,0,5.99,Card,In-Store
+T9,2022-13-45,C1,P1,S1,1,5.99,0,5.99,Card,In-Store
+""",
+    HEAD + """U2,,C2,P2,S2,2,9.99,0,19.98,Cash,In-Store
+U1,,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+U3,,C2,P9,S2,1,9.99,0,9.99,Card,In-Store
+""",
+]
+
+
+def test_new_files_keep_rows_without_a_date(spark, raw_dir, tmp_path):
+    root, landing, checkpoint = (str(tmp_path / n) for n in ("star", "landing", "checkpoint"))
+    source = tmp_path / "raw" / "transactions"
+    for old in source.iterdir():
+        old.unlink()
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    for i, text in enumerate(UNDATED):  # the second file has undated rows only
+        (source / f"part-0000{i}.csv").write_text(text)
+        incremental.load_new_files(spark, str(source), root, landing, checkpoint)
+    got = rows(warehouse.read_table(spark, root, "transactions"), *FACT_COLUMNS)
+    assert got == rows(load.load_star(spark, raw_dir, str(tmp_path / "whole"))["transactions"], *FACT_COLUMNS)
+    assert [r[0] for r in got] == ["T1", "U1", "U2"]
+
+
+def test_appending_rows_without_a_date_again_adds_none(spark, raw_dir, tmp_path):
+    facts = load.load_star(spark, raw_dir, str(tmp_path / "star"))["transactions"]
+    undated = facts.withColumn("transaction_date", F.lit(None).cast("date"))
+    some = facts.where("transaction_id <> 'T1'").unionByName(undated.where("transaction_id = 'T1'"))
+    copy = str(tmp_path / "copy")
+    for more in (some, undated.where("transaction_id = 'T1'"), some):
+        warehouse.write_table(more, copy, "transactions", mode="append")
+    assert warehouse.read_table(spark, copy, "transactions").count() == 5

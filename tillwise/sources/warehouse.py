@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import month_label
@@ -69,12 +69,18 @@ def _swap(spark: SparkSession, fresh: str, path: str) -> None:
         raise OSError(f"{fresh} could not take the place of {path}")
 
 
+def in_months(months: list[str | None]) -> Column:
+    """Whether a row is of one of the months; rows without a date are a month of their own, None."""
+    dated = F.col(MONTH).isin([m for m in months if m is not None])
+    return dated | F.col(MONTH).isNull() if None in months else dated
+
+
 def _without_known(df: DataFrame, root: str, name: str) -> DataFrame:
     key, there = STAR[name].key, read_table(df.sparkSession, root, name)
     if name == "transactions":
         # one value per calendar month
         months = [r[0] for r in df.select(month_label(F.col("transaction_date"))).distinct().collect()]
-        there = there.where(F.col(MONTH).isin([m for m in months if m is not None]))
+        there = there.where(in_months(months))
     return df.join(there.select(key), key, "left_anti").select(df.columns)
 
 

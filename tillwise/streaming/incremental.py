@@ -19,7 +19,7 @@ from tillwise.sources.feeds import (
     in_path_order,
     is_malformed,
 )
-from tillwise.sources.warehouse import MONTH, read_table, replace_months
+from tillwise.sources.warehouse import MONTH, in_months, read_table, replace_months
 
 _FILE, _START = "_feed_file", "_split_start"
 
@@ -54,7 +54,7 @@ def load_new_files(
 
     Each batch types its own files only and lands the typed rows by month, with their place in the feed. The
     months it touches are conformed anew from what has landed in them and replaced; no other month is read
-    or written. Copies of a transaction count as such within a month. A batch that dies is run again from
+    or written. Copies of a transaction count as such within a month; rows without a date are a month too. A batch that dies is run again from
     its own folder, so nothing is lost or repeated.
     """
     dimensions = {name: read_table(spark, root, name) for name in ("customers", "products", "stores")}
@@ -65,8 +65,8 @@ def load_new_files(
         typed.write.mode("overwrite").partitionBy(MONTH).parquet(f"{landing}/batch={batch}")
         schema = typed.schema.add("batch", "long")
         landed_now = spark.read.schema(schema).option("basePath", landing).parquet(f"{landing}/batch={batch}")
-        # one value per calendar month
-        months = [r[0] for r in landed_now.select(MONTH).distinct().collect() if r[0] is not None]
+        # one value per calendar month, and None where a date is missing
+        months = [r[0] for r in landed_now.select(MONTH).distinct().collect()]
         if months:
             touched = touched_months(spark, landing, months, schema)
             replace_months(conform_typed(touched, **dimensions), root)
@@ -81,9 +81,9 @@ def load_new_files(
     )
 
 
-def touched_months(spark: SparkSession, landing: str, months: list[str], schema: T.StructType) -> DataFrame:
+def touched_months(spark: SparkSession, landing: str, months: list[str | None], schema: T.StructType) -> DataFrame:
     """Landed rows of some months; the others are pruned by folder."""
-    return spark.read.schema(schema).parquet(landing).where(F.col(MONTH).isin(months)).drop(MONTH, "batch")
+    return spark.read.schema(schema).parquet(landing).where(in_months(months)).drop(MONTH, "batch")
 
 
 def land_feed(
