@@ -73,8 +73,10 @@ def index(docs: DataFrame, tokens: DataFrame, widths: list[int]) -> DataFrame:
     runs = [
         F.concat(F.col("col.w0"), *[x for i in range(1, n) for x in (F.lit(" "), F.col(f"col.w{i}"))]) for n in widths
     ]
-    each = each.withColumn("run", runs[0] if len(runs) == 1 else F.explode(F.array(*runs)))
     last = F.col("col").isNull()
+    # the closing row has no run, and is not repeated for each width
+    every = F.when(last, F.array(F.lit(None).cast("string"))).otherwise(F.array(*runs))
+    each = each.withColumn("run", runs[0] if len(runs) == 1 else F.explode(every))
     found = each.select(*_KEY, "doc_id", "n_words", "pos", "run", last.alias("last")).join(
         tokens, F.col("run") == F.col("shingle"), "left"
     )
