@@ -1,9 +1,10 @@
 import hashlib
 
 import numpy as np
+import pytest
 
 from tests.llm.conftest import ENGLISH, awkward_rows
-from tillwise.llm import minhash
+from tillwise.llm import minhash, registry
 
 
 def shingles(text):
@@ -103,3 +104,38 @@ def test_near_duplicates_are_the_classes_of_similar_texts(spark, write_tables):
     want = {rows[i][0]: rows[min(k for k in range(72) if parent[k] == parent[i])][0] for i in range(72)}
     want |= {900: 900, 901: 900, 902: 900, None: 0}
     assert {r["doc_id"]: r["class_id"] for r in got} == want
+
+
+@pytest.mark.parametrize("block", [256, 5])
+def test_every_link_of_a_chain_and_a_hot_group(spark, write_tables, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = np.random.default_rng(3)
+    base = [f"w{j}" for j in rng.integers(0, 500, 150)]
+    texts = []
+    for i in range(25):  # one edit from the one before: neighbours are alike, the ends are not
+        base = list(base)
+        base[(i * 37) % 150] = f"c{i}"
+        texts.append(" ".join(base))
+    for i in range(30):  # near copies, some just within and some just beyond the limit
+        copy = list(base)
+        for j in rng.integers(0, 150, 1 + i % 4):
+            copy[j] = f"h{i}"
+        texts.append(" ".join(copy))
+    texts += [texts[0].upper(), texts[3] + "  ", texts[3], "alone with these few words here", ""]
+    path = write_tables([(i, t, "en", "web") for i, t in enumerate(texts)])
+    got = {r["doc_id"]: r for r in registry.QUERIES["op10_near_duplicates"](spark, path).collect()}
+    distinct = sorted(set(texts))
+    alike = {t: [u for u in distinct if u != t and shingles(t) and jaccard(t, u) >= 0.8] for t in distinct}
+    assert {i: got[i]["n_links"] for i in got} == {i: len(alike[t]) for i, t in enumerate(texts)}
+    for i, text in enumerate(texts):
+        reached, fresh = {text}, [text]
+        while fresh:
+            fresh = [u for t in fresh for u in alike[t] if u not in reached and not reached.add(u)]
+        assert got[i]["class_id"] == min(k for k, t in enumerate(texts) if t in reached)
+
+
+def test_near_duplicates_of_awkward_and_empty_tables(spark, awkward, empty):
+    got = minhash.op10_near_duplicates(spark, awkward)
+    assert got.dtypes == [("doc_id", "bigint"), ("class_id", "bigint"), ("n_links", "bigint")]
+    assert sorted(str(r["doc_id"]) for r in got.collect()) == sorted(str(r[0]) for r in awkward_rows())
+    assert minhash.op10_near_duplicates(spark, empty).count() == 0

@@ -4,10 +4,10 @@ A text's shingles are runs of ``WIDTH`` words. Each of ``PERMUTATIONS`` function
 hashes anew and keeps the smallest; the share of equal minima of two texts estimates the Jaccard similarity of
 their shingle sets. A fingerprint keeps 16 bits of each minimum, as hex.
 
-``near_duplicates`` joins bands of the minima and verifies the exact Jaccard similarity. In a bucket every
-member is compared with the bucket's first one only, and those that do not match it form the next bucket
-among themselves, so a bucket of any size costs comparisons in proportion to its members. Equal texts are one
-member from the start.
+``near_duplicates`` joins bands of the minima and verifies the exact Jaccard similarity of every two members of
+a bucket. Texts with equal sets of shingles are one member; a large bucket is dealt into blocks, each two of
+which meet in a task of their own, where similarities are counted as a product of matrices, so that no pair
+becomes a row. A pair counts in the first bucket it shares.
 
 ``edited_pairs`` gives each text its successor by descending doc_id. Texts are dealt once, by ranges of the
 id, and the first document of each range also goes to the range before it; nothing else meets.
@@ -40,6 +40,10 @@ BANDS = 32
 SIMILAR = 0.8
 _CHUNK = 1 << 15
 _CACHE = 1 << 20
+BLOCK = 256  # members, and
+HELD = 1 << 20  # shingles of a block, about
+_COLUMNS = 1 << 12
+BROADCAST = 500_000  # texts, by their hash
 
 
 class Hashes(dict):
@@ -129,56 +133,135 @@ def likeness(one: np.ndarray, other: np.ndarray) -> float:
     return float(((one & 0xFFFF) == (other & 0xFFFF)).mean())
 
 
-def signed(texts: DataFrame) -> DataFrame:
-    """(node, bands, shingles) of distinct texts (node, text): band keys, and the set of shingle hashes."""
-    rows = PERMUTATIONS // BANDS
+_SIGNED = T.StructType([
+    T.StructField("same", T.LongType()), T.StructField("size", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType())),
+])
+
+
+@F.pandas_udf(_SIGNED)
+def _signed(text: pd.Series) -> pd.DataFrame:
+    """Hash and size of each text's set of shingles, and its band keys."""
+    signer = Signer()
+    low = signer.sign(text.tolist()).reshape(len(text), BANDS, PERMUTATIONS // BANDS)
+    bands = [[xxhash.xxh64_intdigest(b.tobytes(), k) - (1 << 63) for k, b in enumerate(each)] for each in low]
+    sets = [_distinct(t, signer.known) for t in text]
+    same = [xxhash.xxh64_intdigest(x.tobytes()) - (1 << 63) for x in sets]
+    return pd.DataFrame({"same": same, "size": [len(x) for x in sets], "bands": bands})
+
 
-    @F.pandas_udf("bands array<long>, shingles array<long>")
-    def sign(text: pd.Series) -> pd.DataFrame:
-        signer = Signer()
-        low = signer.sign(text.tolist()).reshape(len(text), BANDS, rows)
-        bands = [[xxhash.xxh64_intdigest(b.tobytes(), k) - (1 << 63) for k, b in enumerate(bands)] for bands in low]
-        sets = [np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_sets(t, signer.known)])).view(np.int64) for t in text]
-        return pd.DataFrame({"bands": bands, "shingles": sets})
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _sets(text: pd.Series) -> pd.Series:
+    known = Hashes()
+    return pd.Series([_distinct(t, known) for t in text])
 
-    return texts.select("node", sign("text").alias("s")).select("node", "s.bands", "s.shingles")
+
+def _distinct(text: str | None, known: Hashes) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_sets(text, known)])).view(np.int64)
+
+
+def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many shingles each of ``left`` shares with each of ``right`` (places in ``sets``)."""
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, column, seen = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = seen[column] > 1
+    owner, column = owner[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], np.unique(column[order], return_inverse=True)[1]
+    out = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        lo, hi = np.searchsorted(column, [at, at + _COLUMNS])
+        has = np.zeros((len(sets), _COLUMNS), np.float32)
+        has[owner[lo:hi], column[lo:hi] - at] = 1
+        out += (has[left] @ has[right].T).astype(np.int64)
+    return out
+
+
+def _judge(frame: pd.DataFrame, similar: float) -> pd.DataFrame:
+    """(same, root, links) of the members of two blocks of a bucket that are similar to one of the other block.
+
+    A pair counts in the first of its buckets only.
+    """
+    i, j, band = (int(frame[c].iloc[0]) for c in ("i", "j", "band"))
+    block, weight, labels = (frame[c].to_numpy(np.int64) for c in ("block", "weight", "same"))
+    sets = [np.asarray(x, np.int64) for x in frame["shingles"]]
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    size = np.array([len(x) for x in sets])
+    both = _common(sets, left, right)
+    near = both >= similar * (size[left][:, None] + size[right][None, :] - both)
+    keys, there = np.zeros((len(sets), BANDS), np.int64), np.zeros((len(sets), BANDS), bool)
+    for at, (bands, values) in enumerate(zip(frame["bands"], frame["keys"], strict=True)):
+        keys[at, bands], there[at, bands] = values, True
+    for k in range(band):
+        before = (keys[left, k][:, None] == keys[right, k][None, :]) & there[left, k][:, None] & there[right, k][None, :]
+        near &= ~before
+    if i == j:
+        np.fill_diagonal(near, False)
+    links = np.zeros(len(sets), np.int64)
+    links[left] += near @ weight[right]
+    if i != j:
+        links[right] += near.T @ weight[left]
+    roots, top = labels.copy(), np.iinfo(np.int64).max
+    while True:
+        old = roots.copy()
+        if near.size:
+            roots[left] = np.minimum(roots[left], np.where(near, roots[right][None, :], top).min(1))
+            roots[right] = np.minimum(roots[right], np.where(near, roots[left][:, None], top).min(0))
+        if (old == roots).all():
+            break
+    hit = links > 0
+    return pd.DataFrame({"same": labels[hit], "root": roots[hit], "links": links[hit]})
+
+
+def similar_sets(rows: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """(same, root, links) from each pair of blocks: a smaller linked set, and how many texts are linked."""
+    open_ = sets.where("size > 0").select("same", "size", F.posexplode("bands").alias("band", "key"))
+    # buckets of the same members are one: the first
+    who = [F.bit_xor(F.xxhash64("same", F.lit(seed))).alias(f"who{seed}") for seed in (1, 2)]
+    buckets = open_.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("total"), *who)
+    firsts = buckets.where("n > 1").groupBy("n", "total", "who1", "who2").agg(F.min(F.struct("band", "key")).alias("b"))
+    blocks = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("total") / HELD)).cast("long")
+    kept = materialise(firsts.select("b.band", "b.key", blocks.alias("blocks")), "buckets")
+    members = open_.join(kept, ["band", "key"]).groupBy("same").agg(F.collect_list(F.struct("band", "key", "blocks")).alias("in"))
+    members = materialise(members.join(sets.select("same", "node", "weight"), "same"), "members")
+    names = members.select("node")
+    names = F.broadcast(names) if names.count() <= BROADCAST else names
+    texts = rows.join(names, "node").select("node", "text").dropDuplicates(["node"])
+    each = texts.select("node", _sets("text").alias("shingles")).join(members, "node")
+    each = each.select("same", "weight", "shingles", F.col("in.band").alias("bands"), F.col("in.key").alias("keys"), F.explode("in").alias("b"))
+    block = F.pmod(F.xxhash64("same", F.lit(3)), F.col("b.blocks"))
+    each = each.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("b.blocks") - 1)))
+    each = each.select(
+        "same", "weight", "shingles", "bands", "keys", "block", F.least("block", "other").alias("i"),
+        F.greatest("block", "other").alias("j"), "b.band", "b.key",
+    )
+    judge = lambda frame: _judge(frame, similar)
+    return each.groupBy("band", "key", "i", "j").applyInPandas(judge, "same long, root long, links long")
 
 
 def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """(doc_id, class_id, n_links) of every row: its class's smallest doc_id, and the texts linked to its own.
 
-    A text is known by its 64-bit hash. Texts without words are equal to one another and link to no other.
+    A text is known by its 64-bit hash, and so is its set of shingles; texts of equal sets are linked. Texts
+    without words are equal to one another and link to no other.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("node", F.xxhash64("text"))
-    texts = rows.groupBy("node").agg(F.first("text").alias("text"))
-    nodes = materialise(signed(texts), "signatures")
-    sets = nodes.where("size(shingles) > 0").select("node", "shingles")
-    open_ = sets.join(nodes.select("node", F.posexplode("bands").alias("band", "key")), "node").select("band", "key", "node")
-    links = None
-    while True:
-        first = open_.groupBy("band", "key").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = materialise(open_.join(first.drop("n"), ["band", "key"]).where("node != centre"), "met")
-        if met.isEmpty():
-            break
-        one = sets.select("node", F.col("shingles").alias("x"))
-        other = sets.select(F.col("node").alias("centre"), F.col("shingles").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        judged = met.select("node", "centre").distinct().join(one, "node").join(other, "centre")
-        near = judged.where(both >= similar * (F.size("x") + F.size("y") - both)).select("node", "centre")
-        near = materialise(near, "near")
-        links = near if links is None else links.unionByName(near)
-        # what is unlike the first of its bucket meets again without it
-        open_ = met.join(near, ["node", "centre"], "left_anti").select("band", "key", "node")
-    if links is None:
-        links = sets.select("node", F.col("node").alias("centre")).limit(0)
-    pairs = links.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
-    found = components(pairs)
-    placed = rows.select("doc_id", "node").join(found, "node", "left").join(ends, "node", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "node"))
+    prints = materialise(rows.select("doc_id", "node", _signed("text").alias("s")).select("doc_id", "node", "s.*"), "signatures")
+    # copies first: a row for each text, then for each set
+    least, of = F.min("doc_id").alias("doc_id"), [F.first("size").alias("size"), F.first("bands").alias("bands")]
+    texts = prints.groupBy("node", "same").agg(least, *of)
+    sets = texts.groupBy("same").agg(F.min("node").alias("node"), F.count(F.lit(1)).alias("weight"), F.min("doc_id").alias("doc_id"), *of)
+    sets = materialise(sets, "sets")
+    found = materialise(similar_sets(rows, sets, similar), "near")
+    links = found.groupBy("same").agg(F.sum("links").alias("links"))
+    roots = components(found.where("same != root").select(F.col("root").alias("a"), F.col("same").alias("b")).distinct())
+    placed = sets.select("same", "size", "weight", "doc_id").join(links, "same", "left")
+    placed = placed.join(roots.withColumnRenamed("node", "same"), "same", "left").withColumn("root", F.coalesce("root", "same"))
+    placed = materialise(placed, "placed")
     names = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    out = placed.join(names, "root")
-    return out.select("doc_id", "class_id", F.coalesce("links", F.lit(0)).cast("long").alias("n_links"))
+    n_links = F.when(F.col("size") > 0, F.col("weight") - 1 + F.coalesce("links", F.lit(0))).otherwise(0).cast("long")
+    # written, so that Spark can split a text that many rows repeat
+    verdicts = materialise(placed.join(names, "root").select("same", "class_id", n_links.alias("n_links")), "verdicts")
+    return prints.select("doc_id", "same").join(verdicts, "same").select("doc_id", "class_id", "n_links")
 
 
 def edited(text: str, following: str) -> str:
@@ -262,3 +345,9 @@ def op10_minhash_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     small_batches(spark)
     out = dealt(table(spark, sf_dir, "documents")).mapInPandas(compared, RESULT)
     return out.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document, and how many texts are linked to its own."""
+    small_batches(spark)
+    return near_duplicates(table(spark, sf_dir, "documents"))

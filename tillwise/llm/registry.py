@@ -16,6 +16,7 @@ QUERIES = {
     "op8_ppm_language": langid.op8_ppm_language,
     "op9_fm_toxicity": toxicity.op9_fm_toxicity,
     "op10_minhash_prints": minhash.op10_minhash_prints,
+    "op10_near_duplicates": minhash.op10_near_duplicates,
     "pipeline": corpus_pipeline.run,
 }
 
