@@ -18,6 +18,8 @@ SHAPES = {
     "op9_fm_toxicity": "doc_id bigint,held_out boolean,score double,predicted int",
     "op10_minhash_prints": "doc_id bigint,n_chars bigint,edited_sha256 string,fingerprint string,edited_fingerprint string,"
     "near_edited double,near_next double",
+    "op12_fill_in_middle": "doc_id bigint,n bigint,form string,prefix_chars bigint,middle_chars bigint,output_sha256 string,"
+    "restored_sha256 string",
 }
 
 
@@ -27,7 +29,7 @@ def test_every_row_has_its_result(spark, awkward, name):
     assert ",".join(f"{n} {t}" for n, t in out.dtypes) == SHAPES[name]
     found = [r.asDict() for r in out.collect()]
     assert sorted(str(r["doc_id"]) for r in found) == sorted(str(r[0]) for r in awkward_rows())
-    may_be_unset = {"doc_id", "grown_shard", "component_id"}
+    may_be_unset = {"doc_id", "grown_shard", "component_id", "prefix_chars", "middle_chars"}
     assert not [r for r in found if any(v is None for c, v in r.items() if c not in may_be_unset)]
 
 
@@ -37,7 +39,7 @@ def test_empty_tables(spark, empty, name):
     assert out.count() == 0 and ",".join(f"{n} {t}" for n, t in out.dtypes) == SHAPES[name]
 
 
-@pytest.mark.parametrize("name", ["op3_prefix_decontaminate", "op5_suffix_line_dedup"])
+@pytest.mark.parametrize("name", ["op3_prefix_decontaminate", "op5_suffix_line_dedup", "op12_fill_in_middle"])
 def test_same_rows_as_duckdb(spark, awkward, duck, name, write_tables):
     # SQL tells rows by id: one row per id
     seen, once = set(), []
@@ -45,10 +47,12 @@ def test_same_rows_as_duckdb(spark, awkward, duck, name, write_tables):
         if row[0] is not None and row[0] not in seen:
             seen.add(row[0])
             once.append(row)
-    path = awkward if name == "op3_prefix_decontaminate" else write_tables(once)
+    path = write_tables(once) if name == "op5_suffix_line_dedup" else awkward
     got = registry.QUERIES[name](spark, path).toPandas()
     want = duck(path, registry.SQL[name])[list(got.columns)]
-    plain = lambda df: sorted(map(str, df.fillna(-1).astype({"doc_id": int}).itertuples(index=False, name=None)))
+    plain = lambda df: sorted(
+        str([v if isinstance(v, str) else int(v) for v in r]) for r in df.fillna(-1).itertuples(index=False, name=None)
+    )
     assert plain(got) == plain(want)
 
 

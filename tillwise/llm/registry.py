@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillwise.llm import decontaminate, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity
+from tillwise.llm import decontaminate, fim, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity
 
 QUERIES = {
     "op1_crf_pii": pii.op1_crf_pii,
@@ -17,7 +17,12 @@ QUERIES = {
     "op9_fm_toxicity": toxicity.op9_fm_toxicity,
     "op10_minhash_prints": minhash.op10_minhash_prints,
     "op10_near_duplicates": minhash.op10_near_duplicates,
+    "op12_fill_in_middle": fim.op12_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
-SQL = {"op3_prefix_decontaminate": decontaminate.SQL, "op5_suffix_line_dedup": linededup.SQL}
+SQL = {
+    "op3_prefix_decontaminate": decontaminate.SQL,
+    "op5_suffix_line_dedup": linededup.SQL,
+    "op12_fill_in_middle": fim.SQL,
+}
