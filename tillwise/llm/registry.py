@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tillwise.llm import decontaminate, fim, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity
+from tillwise.llm import (
+    decontaminate, fim, htmltext, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity,
+)
 
 QUERIES = {
     "op1_crf_pii": pii.op1_crf_pii,
@@ -18,6 +20,7 @@ QUERIES = {
     "op10_minhash_prints": minhash.op10_minhash_prints,
     "op10_near_duplicates": minhash.op10_near_duplicates,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
+    "op13_main_text": htmltext.op13_main_text,
     "pipeline": corpus_pipeline.run,
 }
 
