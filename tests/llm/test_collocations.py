@@ -1,0 +1,121 @@
+import random
+import re
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+
+from tests.llm.conftest import awkward_rows
+from tillwise.llm import collocations
+
+
+def lines(text):
+    text = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [[w for w in re.split(r"[\x20\t]+", piece) if w] for piece in re.split(r"[.,;:!?\n-\r]", text)]
+
+
+def counts(rows, longest=4):
+    found, total = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for words in lines(text):
+            total[lang] += len(words)
+            for k in range(1, longest + 1):
+                found.update((lang, " ".join(words[i : i + k])) for i in range(len(words) - k + 1))
+    return found, total
+
+
+def report(rows, least, top, longest=4):
+    f, total = counts(rows, longest)
+    candidates = {p: n for p, n in f.items() if n >= least and " " in p[1]}
+    best = {}
+    for (lang, phrase), a in candidates.items():
+        words = phrase.split(" ")
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = f[lang, " ".join(words[:k])], f[lang, " ".join(words[k:])]
+            cuts.append((2_000_000 * a // (left + right), k, left, right))
+        inside = (q for q in candidates if q[0] == lang and len(q[1].split(" ")) > len(words) and f" {phrase} " in f" {q[1]} ")
+        if not any(100 * candidates[q] >= 80 * a for q in inside):
+            score, _, left, right = min(cuts)
+            best.setdefault(lang, []).append((-score, -a, phrase.encode(), left, right))
+    return sorted(
+        (lang, rank, phrase.decode(), -a, left, right, total[lang], -score)
+        for lang, found in best.items()
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1)
+    )
+
+
+def drawn(seed, documents=150):
+    """Texts of few words, so that phrases repeat, with names that only occur together."""
+    rng = random.Random(seed)
+    words = ["the", "a", "of", "New York", "New York City", "ñandú", "x-y", "É", "\U0001f600", "Tick Tock Tick Tock"]
+    ends = [" ", "  ", "\t", ". ", ",", "\n", "\r\n", "; "]
+    make = lambda: "".join(rng.choice(words) + rng.choices(ends, [20, 2, 2, 1, 1, 1, 1, 1])[0] for _ in range(rng.randint(0, 40)))
+    return [(i, make() if i % 11 else None, rng.choice(["en", "de", None, "und"]), "web") for i in range(documents)]
+
+
+@pytest.mark.parametrize("seed, shards, least, top", [(1, 3, 5, 2000), (2, 1, 8, 2000), (3, 4, 3, 7), (4, 2, 30, 2000)])
+def test_same_as_counting_everything(spark, write_tables, seed, shards, least, top):
+    rows = drawn(seed)
+    docs = spark.read.parquet(f"{write_tables(rows)}/documents.parquet")
+    found = collocations.frequent_phrases(docs, least, shards=shards)
+    plain, total = counts([(la, t) for _, t, la, _ in rows])
+    want = {p: n for p, n in plain.items() if n >= least}
+    assert {(r.lang, r.phrase): r.n for r in found.where("k > 0").collect()} == want
+    assert {r.lang: r.n for r in found.where("k = 0").collect()} == total
+    got = sorted(tuple(r) for r in collocations.collocations(found, top).collect())
+    assert got == report([(la, t) for _, t, la, _ in rows], least, top) and got
+
+
+def test_full_filters_change_nothing(spark, write_tables, monkeypatch):
+    """With filters far too small every phrase seems active: only more is counted."""
+    monkeypatch.setattr(collocations, "FILTER_BITS", 64)
+    monkeypatch.setattr(collocations, "_PER_MEMBER", 1)
+    rows = drawn(5)
+    docs = spark.read.parquet(f"{write_tables(rows)}/documents.parquet")
+    got = collocations.frequent_phrases(docs, 6).where("k > 0").collect()
+    plain, _ = counts([(la, t) for _, t, la, _ in rows])
+    assert {(r.lang, r.phrase): r.n for r in got} == {p: n for p, n in plain.items() if n >= 6}
+
+
+def test_long_texts_in_pieces(monkeypatch):
+    monkeypatch.setattr(collocations, "_LONG", 40)
+    monkeypatch.setattr(collocations, "_BATCH", 300)
+    texts = [t for _, t, la, _ in drawn(6) if la == "en" and t] + ["word " * 50, "x" * 100 + " y " + "z" * 90, "a.b\n\n"]
+    everything = collocations.Filter(0, 64, __import__("numpy").full(1, 2**64 - 1, "uint64"))
+    scan = collocations.Scan(1, 3, 4, {k: [lambda: everything] for k in (1, 2, 3)})
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})
+    got = Counter()
+    for made in collocations.counted(iter([batch]), scan):
+        for r in made.to_pylist():
+            got["en", r["phrase"]] += r["fresh"]
+    plain, total = counts([("en", t) for t in texts])
+    assert got == plain + Counter({("en", ""): total["en"]})
+
+
+def test_awkward_and_empty_tables(spark, awkward, empty):
+    out = collocations.op11_collocations(spark, awkward)
+    shape = "lang string,rank bigint,phrase string,a bigint,l bigint,r bigint,n bigint,score bigint"
+    assert ",".join(f"{n} {t}" for n, t in out.dtypes) == shape
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == report([(la, t) for _, t, la, _ in awkward_rows()], 30, 2000)
+    assert collocations.op11_collocations(spark, empty).count() == 0
+
+
+def test_activation_waits_for_both_parts(spark, write_tables):
+    """A pair is not counted before both words are frequent, so a scan's counts hold no other pair."""
+    np = __import__("numpy")
+    scan = collocations.Scan(1, 3, 4, {})
+    words = [collocations.xxhash.xxh64_intdigest(w, collocations.xxhash.xxh64_intdigest(b"en", 42)) for w in (b"a", b"b")]
+    bits = np.zeros(1 << 10, "uint64")
+    for h in words:
+        for shift in collocations._SLICES:
+            at = (h >> shift) & ((1 << 16) - 1)
+            bits[at >> 6] |= np.uint64(1 << (at & 63))
+    scan.filters[1] = [lambda: collocations.Filter(0, 1 << 16, bits)]
+    made = [r for b in collocations.count_batch("en", b"a b c a b\na c", 0, scan) for r in b.to_pylist()]
+    assert [(r["phrase"], r["fresh"]) for r in made if r["k"] > 1] == [("a b", 2)]
+    # a cycle after the news, the pair has been counted in every shard
+    later = collocations.Scan(4, 3, 4, scan.filters)
+    assert not list(collocations.count_batch("en", b"a b c a b", 0, later))

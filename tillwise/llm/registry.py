@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from tillwise.llm import (
-    decontaminate, fim, htmltext, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity,
+    collocations, decontaminate, fim, htmltext, langid, linededup, minhash, mixing, ngrams, pii, sharding, simhash, toxicity,
 )
 
 QUERIES = {
@@ -19,6 +19,7 @@ QUERIES = {
     "op9_fm_toxicity": toxicity.op9_fm_toxicity,
     "op10_minhash_prints": minhash.op10_minhash_prints,
     "op10_near_duplicates": minhash.op10_near_duplicates,
+    "op11_collocations": collocations.op11_collocations,
     "op12_fill_in_middle": fim.op12_fill_in_middle,
     "op13_main_text": htmltext.op13_main_text,
     "pipeline": corpus_pipeline.run,
@@ -27,5 +28,6 @@ QUERIES = {
 SQL = {
     "op3_prefix_decontaminate": decontaminate.SQL,
     "op5_suffix_line_dedup": linededup.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_fill_in_middle": fim.SQL,
 }
