@@ -4,7 +4,7 @@ Documents are dealt once into ``SHARDS`` shards, which are scanned in turn, agai
 the first scan on. A longer phrase becomes active as soon as both phrases of one word less within it have reached the
 threshold in the shards seen so far, wherever in the cycle that happens, and is counted in the scans of one full cycle
 from then on. Scanning ends when no active phrase has shards left. A phrase that reaches the threshold has parts that
-do, so every such phrase is found, with its whole count.
+do, so every such phrase is found.
 
 How that is spread:
 
@@ -12,10 +12,12 @@ How that is spread:
   Each scan's new ones are a Bloom filter per length, of at most ``FILTER_BITS`` bits whatever the corpus, sent to the
   executors once. A false hit only makes a task count a phrase that nobody asked for.
 - Tasks take the words of a batch as Arrow dictionary codes and count phrases of codes, so a phrase comes out once
-  per batch however often it occurs; Spark adds up per task before it shuffles.
-- The state holds one row per phrase in progress: its count, the shards in that count (a shard never counts twice),
-  and the scan in which it reached the threshold. It is written anew after each scan; a phrase that has seen its cycle
-  without reaching the threshold is dropped then.
+  per batch however often it occurs; Spark adds up per task before it shuffles. While it is open which phrases reach
+  the threshold, they travel as hashes of 93 bits and their length.
+- The state holds one row per hash in progress: its count, the shards in that count (a shard never counts twice), and
+  the scan in which it reached the threshold. It is written anew after each scan; a hash that has seen all shards
+  without reaching the threshold is dropped.
+- What has reached the threshold is counted once more by its text, and these counts decide and are reported.
 
 The report scores each phrase by its weakest cut, leaves out what a longer phrase covers, and ranks by language in two
 steps, so that no task sees all phrases of one language.
@@ -36,15 +38,15 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillwise.llm.text import pieces, shared, small_batches, table
-from tillwise.sources.scratch import discard, scratch_path
+from tillwise.sources.scratch import discard, materialise, scratch_path
 
 LEAST = 30
 LONGEST = 4
-SHARDS = 3
+SHARDS = 2
 TOP = 2000
 SCALE = 2_000_000
 COVER = (80, 100)  # a longer phrase covers a shorter one from this share of its count on
@@ -56,12 +58,13 @@ _LONG = 1 << 20
 
 # A-Z become lower case, the ends of pieces a line feed, tabs a blank; all are single bytes in UTF-8.
 _FOLD = bytes(range(256)).lower().translate(bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n "))
-_COUNTED = "lang string, phrase string, k int, h long, fresh long"
-_STATE = "lang string, phrase string, k int, h long, n long, shards int, reached int, last int"
+_HASHED = "h long, g int, fresh long"
+_STATE = "h long, g int, n long, shards int, reached int, last int"
+_COUNTED = "lang string, phrase string, k int, n long"
 
 
 def _mix(head: np.ndarray, word: np.ndarray) -> np.ndarray:
-    """Hash of a phrase from those of its head and its last word."""
+    """Hashes (two columns) of phrases from those of their heads and last words."""
     x = head * np.uint64(0x9E3779B97F4A7C15) + word
     x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
     return x ^ (x >> np.uint64(29))
@@ -89,16 +92,16 @@ class Filter:
 
 @dataclass
 class Scan:
-    """What a task needs for one scan of a shard."""
+    """What a task needs for one scan of a shard, or for the last one (``number`` is None), which counts by text."""
 
-    number: int
+    number: int | None
     shards: int
     longest: int
     filters: dict[int, list[Callable[[], Filter]]] = field(default_factory=dict)
 
     def masks(self, k: int, hashes: np.ndarray) -> np.ndarray:
-        """For each hash, a bit for every scan in which it may have reached the threshold; one 0 more at the end."""
-        out = np.zeros(len(hashes) + 1, np.uint64)
+        """For each hash (its first column counts), a bit for every scan in which it may have reached the threshold; one 0 more at the end."""
+        out, hashes = np.zeros(len(hashes) + 1, np.uint64), hashes[:, 0]
         for get in self.filters.get(k, []):
             one = get()
             out[:-1] |= one.has(hashes).astype(np.uint64) << np.uint64(one.scan)
@@ -109,19 +112,20 @@ class Scan:
         return np.uint64(sum(1 << j for j in range(max(0, self.number - self.shards), self.number)))
 
 
-def _rows(lang: str, phrases: pa.Array, k: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+def _hashed(k: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    more = (hashes[:, 1] >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(k)
+    columns = [np.ascontiguousarray(hashes[:, 0]).view(np.int64), more.view(np.int32), counts.astype(np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "g", "fresh"])
+
+
+def _named(lang: str, k: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
     n = len(counts)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.repeat(lang, n), phrases.view(pa.string()), pa.array(np.full(n, k, np.int32)),
-            pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64)),
-        ],
-        names=["lang", "phrase", "k", "h", "fresh"],
-    )
+    columns = [pa.repeat(lang, n), phrases.view(pa.string()), pa.array(np.full(n, k, np.int32)), pa.array(counts.astype(np.int64))]
+    return pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "k", "n"])
 
 
 def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[pa.RecordBatch]:
-    """Counts of words and active phrases in texts of one language; the first ``carried`` words were counted before."""
+    """Counts of words and phrases in texts of one language; the first ``carried`` words were counted before."""
     text = np.frombuffer(folded, np.uint8)
     ends = text == 10
     inside = ~(ends | (text == 32))
@@ -134,16 +138,18 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
     encoded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
     codes, words = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    own = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words.to_pylist()), np.uint64, len(words))
-    if scan.number < scan.shards:
-        yield _rows(lang, pa.array([b""]), 0, np.zeros(1, np.uint64), np.array([len(codes) - carried]))
+    own = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in words.to_pylist()), np.uint64).reshape(-1, 2)
+    masks, exact = scan.masks(1, own), scan.number is None
+    if exact:
+        yield _named(lang, 0, pa.array([b""]), np.array([len(codes) - carried]))
+    if exact or scan.number < scan.shards:
         counts = np.bincount(codes[carried:], minlength=len(words))
-        seen = counts > 0
-        yield _rows(lang, words.filter(pa.array(seen)), 1, own[seen], counts[seen])
+        out = np.flatnonzero((counts > 0) & (masks[:-1] != 0) if exact else counts > 0)
+        yield _named(lang, 1, words.take(pa.array(out)), counts[out]) if exact else _hashed(1, own[out], counts[out])
     piece = np.cumsum(ends)[starts]
-    same, window = piece[:-1] == piece[1:], scan.window()
+    same = piece[:-1] == piece[1:]
     # the phrases of k - 1 words: a number at each position (-1: none that may be frequent), hashes and masks by number
-    numbers, hashes, masks = codes, own, scan.masks(1, own)
+    numbers, hashes = codes, own
     for k in range(2, scan.longest + 1):
         here = masks[numbers]
         both = (here[:-1] != 0) & (here[1:] != 0)
@@ -153,18 +159,21 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
         each, kinds = pd.factorize(numbers[at] * len(words) + codes[at + k - 1])
         first = np.empty(len(kinds), np.int64)
         first[each[::-1]] = at[::-1]
-        fresh = at + k > carried
-        counts = np.bincount(each[fresh], minlength=len(kinds))
+        counts = np.bincount(each[at + k > carried], minlength=len(kinds))
         head, tail = numbers[first], numbers[first + 1]
         hashed = _mix(hashes[head], own[codes[first + k - 1]])
-        active = np.flatnonzero(((masks[head] | masks[tail]) & window != 0) & (counts > 0))
-        if len(active):
-            parts = [words.take(pa.array(codes[first[active] + j])) for j in range(k)]
-            yield _rows(lang, pc.binary_join_element_wise(*parts, b" "), k, hashed[active], counts[active])
+        new = scan.masks(k, hashed) if exact or k < scan.longest else None
+        if exact:
+            out = np.flatnonzero((counts > 0) & (new[:-1] != 0))
+            parts = [words.take(pa.array(codes[first[out] + j])) for j in range(k)]
+            yield _named(lang, k, pc.binary_join_element_wise(*parts, b" "), counts[out])
+        else:
+            out = np.flatnonzero((counts > 0) & ((masks[head] | masks[tail]) & scan.window() != 0))
+            yield _hashed(k, hashed[out], counts[out])
         if k < scan.longest:
-            placed = np.full(len(numbers) - 1, -1, np.int64)
-            placed[at] = each
-            numbers, hashes, masks = placed, hashed, scan.masks(k, hashed)
+            numbers = np.full(len(numbers) - 1, -1, np.int64)
+            numbers[at] = each
+            hashes, masks = hashed, new
 
 
 def _long(lang: str, text: bytes, scan: Scan) -> Iterator[pa.RecordBatch]:
@@ -178,7 +187,7 @@ def _long(lang: str, text: bytes, scan: Scan) -> Iterator[pa.RecordBatch]:
 
 
 def counted(batches: Iterator[pa.RecordBatch], scan: Scan) -> Iterator[pa.RecordBatch]:
-    """(lang, phrase, k, h, fresh) of all rows (lang, text), a few megabytes of one language at a time."""
+    """Counts of all rows (lang, text), a few megabytes of one language at a time."""
     held: dict[str, list[bytes]] = {}
     sizes: dict[str, int] = {}
     flush = lambda lang: count_batch(lang, b"\n".join(held.pop(lang)).translate(_FOLD), 0, scan)
@@ -197,36 +206,38 @@ def counted(batches: Iterator[pa.RecordBatch], scan: Scan) -> Iterator[pa.Record
         yield from flush(lang)
 
 
+def _length() -> Column:
+    """The length of a phrase is in its second hash."""
+    return F.col("g").bitwiseAND(7)
+
+
 def _stepped(state: DataFrame | None, counts: DataFrame, scan: Scan, least: int) -> DataFrame:
     """The state after a scan: counts of shards that were not in it are added."""
     bit = 1 << scan.number % scan.shards
-    new = counts.selectExpr(
-        "lang", "phrase", "k", "h", "fresh", "0L AS n", "0 AS shards", "CAST(NULL AS INT) AS reached", "-1 AS last"
-    )
-    old = [] if state is None else [state.selectExpr("lang", "phrase", "k", "h", "0L AS fresh", "n", "shards", "reached", "last")]
-    for rows in old:
-        new = new.unionByName(rows)
-    merged = new.groupBy("lang", "phrase").agg(
-        F.max("k").alias("k"), F.max("h").alias("h"), F.sum("fresh").alias("fresh"), F.max("n").alias("n"),
+    new = counts.selectExpr("h", "g", "fresh", "0L AS n", "0 AS shards", "CAST(NULL AS INT) AS reached", "-1 AS last")
+    if state is not None:
+        new = new.unionByName(state.withColumn("fresh", F.lit(0).cast("long")))
+    merged = new.groupBy("h", "g").agg(
+        F.sum("fresh").alias("fresh"), F.max("n").alias("n"),
         F.max("shards").alias("shards"), F.max("reached").alias("reached"), F.max("last").alias("last"),
     )
     adds = (F.col("fresh") > 0) & (F.col("shards").bitwiseAND(bit) == 0)
     merged = merged.select(
-        "lang", "phrase", "k", "h", (F.col("n") + F.when(adds, F.col("fresh")).otherwise(0)).alias("n"),
+        "h", "g", (F.col("n") + F.when(adds, F.col("fresh")).otherwise(0)).alias("n"),
         F.when(adds, F.col("shards") + bit).otherwise(F.col("shards")).alias("shards"), "reached",
         F.when(F.col("fresh") > 0, scan.number).otherwise(F.col("last")).alias("last"),
     )
     merged = merged.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= least, scan.number)))
-    # in progress: not all shards are in the count, and one scanned within a cycle is
+    # in progress: not all shards are in the count, and it was seen within a cycle
     going = (F.col("shards") != (1 << scan.shards) - 1) & (F.col("last") > scan.number - scan.shards)
     if scan.number >= scan.shards - 1:
-        going &= F.col("k") > 1
-    return merged.where(F.col("reached").isNotNull() | (F.col("k") == 0) | going)
+        going &= _length() > 1
+    return merged.where(F.col("reached").isNotNull() | going)
 
 
-def _news(state: DataFrame, scan: Scan) -> dict[int, Filter]:
+def _news(state: DataFrame, number: int) -> dict[int, Filter]:
     """A filter for each length of the phrases that have just reached the threshold."""
-    new = state.where((F.col("reached") == scan.number) & F.col("k").between(1, scan.longest - 1))
+    new = state.where(F.col("reached") == number).select("h", _length().alias("k"))
     found = {r["k"]: r["n"] for r in new.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = {k: min(FILTER_BITS, max(1 << 10, 1 << (n * _PER_MEMBER - 1).bit_length())) for k, n in found.items()}
     if not sizes:
@@ -244,7 +255,7 @@ def _news(state: DataFrame, scan: Scan) -> dict[int, Filter]:
         own = rows[rows["k"] == k]
         value = np.zeros(bits // 64, np.uint64)
         value[own["word"].to_numpy()] = own["value"].to_numpy().astype(np.int64).view(np.uint64)
-        out[k] = Filter(scan.number, bits, value)
+        out[k] = Filter(number, bits, value)
     return out
 
 
@@ -253,6 +264,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     Rows with k = 0 have the number of all word occurrences of a language.
     """
+    if not 2 <= longest <= 7:
+        raise ValueError("phrases have 2 to 7 words")
     spark = docs.sparkSession
     small_batches(spark)
     path = scratch_path(spark, "phrase-shards")
@@ -269,21 +282,25 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             break  # nothing that became frequent has its cycle ahead
         scan = Scan(number, shards, longest, filters)
         shard = dealt.where(F.col("shard") == number % shards).select("lang", "text")
-        counts = shard.mapInArrow(lambda batches, scan=scan: counted(batches, scan), _COUNTED)
+        counts = shard.mapInArrow(lambda batches, scan=scan: counted(batches, scan), _HASHED)
         written = scratch_path(spark, "phrase-state")
         _stepped(state, counts, scan, least).write.parquet(written)
         if held:
             discard(spark, held)
         state, held = spark.read.schema(_STATE).parquet(written), written
-        news = _news(state, scan)
-        for k, one in news.items():
+        for k, one in _news(state, number).items():
             filters = {**filters, k: [*filters.get(k, []), shared(spark, one)]}
             latest = number
+    scan = Scan(None, shards, longest, filters)
+    exact = dealt.select("lang", "text").mapInArrow(lambda batches: counted(batches, scan), _COUNTED)
+    exact = exact.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
+    exact = materialise(exact.where((F.col("k") == 0) | (F.col("n") >= least)), "phrase-counts")
+    discard(spark, held)
     discard(spark, path)
-    return state.where(F.col("reached").isNotNull() | (F.col("k") == 0)).select("lang", "phrase", "k", "n")
+    return exact
 
 
-def _wide(name: str) -> F.Column:
+def _wide(name: str) -> Column:
     return F.col(name).cast("decimal(20,0)")
 
 
