@@ -53,13 +53,13 @@ COVER = (80, 100)  # a longer phrase covers a shorter one from this share of its
 FILTER_BITS = 1 << 26  # at most, per length and scan
 _PER_MEMBER = 16
 _SALTS = 64
-_BATCH = 4 << 20
+_BATCH = 6 << 20
 _LONG = 1 << 20
 
 # A-Z become lower case, the ends of pieces a line feed, tabs a blank; all are single bytes in UTF-8.
 _FOLD = bytes(range(256)).lower().translate(bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n "))
 _HASHED = "h long, g int, fresh long"
-_STATE = "h long, g int, n long, shards int, reached int, last int"
+_STATE = "h long, g int, n long, marks long"
 _COUNTED = "lang string, phrase string, k int, n long"
 
 
@@ -136,7 +136,7 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     buffers = [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])]
     encoded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
-    codes, words = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
+    codes, words = encoded.indices.to_numpy(), encoded.dictionary
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
     own = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in words.to_pylist()), np.uint64).reshape(-1, 2)
     masks, exact = scan.masks(1, own), scan.number is None
@@ -146,7 +146,7 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
         counts = np.bincount(codes[carried:], minlength=len(words))
         out = np.flatnonzero((counts > 0) & (masks[:-1] != 0) if exact else counts > 0)
         yield _named(lang, 1, words.take(pa.array(out)), counts[out]) if exact else _hashed(1, own[out], counts[out])
-    piece = np.cumsum(ends)[starts]
+    piece = np.cumsum(ends, dtype=np.int32)[starts]
     same = piece[:-1] == piece[1:]
     # the phrases of k - 1 words: a number at each position (-1: none that may be frequent), hashes and masks by number
     numbers, hashes = codes, own
@@ -156,7 +156,7 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
         at = np.flatnonzero(both & same if k == 2 else both)
         if not len(at):
             return
-        each, kinds = pd.factorize(numbers[at] * len(words) + codes[at + k - 1])
+        each, kinds = pd.factorize(numbers[at].astype(np.int64) * len(words) + codes[at + k - 1])
         first = np.empty(len(kinds), np.int64)
         first[each[::-1]] = at[::-1]
         counts = np.bincount(each[at + k > carried], minlength=len(kinds))
@@ -171,7 +171,7 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
             out = np.flatnonzero((counts > 0) & ((masks[head] | masks[tail]) & scan.window() != 0))
             yield _hashed(k, hashed[out], counts[out])
         if k < scan.longest:
-            numbers = np.full(len(numbers) - 1, -1, np.int64)
+            numbers = np.full(len(numbers) - 1, -1, np.int32)
             numbers[at] = each
             hashes, masks = hashed, new
 
@@ -212,32 +212,47 @@ def _length() -> Column:
 
 
 def _stepped(state: DataFrame | None, counts: DataFrame, scan: Scan, least: int) -> DataFrame:
-    """The state after a scan: counts of shards that were not in it are added."""
-    bit = 1 << scan.number % scan.shards
-    new = counts.selectExpr("h", "g", "fresh", "0L AS n", "0 AS shards", "CAST(NULL AS INT) AS reached", "-1 AS last")
+    """The state after a scan: counts of shards that were not in it are added.
+
+    ``marks`` holds, from low to high bits, the shards in the count, the last scan that saw the hash, and the scan in
+    which it reached the threshold, both from 1 on. A hash has one old row at most, so that maxima carry its columns over.
+    """
+    bit, at = 1 << scan.number % scan.shards, scan.number + 1
+    new = counts.selectExpr("h", "g", "fresh", "0L AS n", "0L AS marks")
     if state is not None:
         new = new.unionByName(state.withColumn("fresh", F.lit(0).cast("long")))
-    merged = new.groupBy("h", "g").agg(
-        F.sum("fresh").alias("fresh"), F.max("n").alias("n"),
-        F.max("shards").alias("shards"), F.max("reached").alias("reached"), F.max("last").alias("last"),
-    )
-    adds = (F.col("fresh") > 0) & (F.col("shards").bitwiseAND(bit) == 0)
+    merged = new.groupBy("h", "g").agg(F.sum("fresh").alias("fresh"), F.max("n").alias("n"), F.max("marks").alias("marks"))
+    shards, last, reached = _shards(), _last(), _reached()
+    adds = (F.col("fresh") > 0) & (shards.bitwiseAND(bit) == 0)
     merged = merged.select(
         "h", "g", (F.col("n") + F.when(adds, F.col("fresh")).otherwise(0)).alias("n"),
-        F.when(adds, F.col("shards") + bit).otherwise(F.col("shards")).alias("shards"), "reached",
-        F.when(F.col("fresh") > 0, scan.number).otherwise(F.col("last")).alias("last"),
+        F.when(adds, shards + bit).otherwise(shards).alias("shards"),
+        F.when(F.col("fresh") > 0, at).otherwise(last).alias("last"), reached.alias("reached"),
     )
-    merged = merged.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= least, scan.number)))
+    got = F.when(F.col("reached") > 0, F.col("reached")).when(F.col("n") >= least, at).otherwise(0)
     # in progress: not all shards are in the count, and it was seen within a cycle
-    going = (F.col("shards") != (1 << scan.shards) - 1) & (F.col("last") > scan.number - scan.shards)
+    going = (F.col("shards") != (1 << scan.shards) - 1) & (F.col("last") > at - scan.shards)
     if scan.number >= scan.shards - 1:
         going &= _length() > 1
-    return merged.where(F.col("reached").isNotNull() | going)
+    marks = F.shiftleft("reached", 32) + F.shiftleft("last", 16) + F.col("shards")
+    return merged.withColumn("reached", got).where((F.col("reached") > 0) | going).select("h", "g", "n", marks.alias("marks"))
+
+
+def _shards() -> Column:
+    return F.col("marks").bitwiseAND((1 << 16) - 1)
+
+
+def _last() -> Column:
+    return F.shiftright("marks", 16).bitwiseAND((1 << 16) - 1)
+
+
+def _reached() -> Column:
+    return F.shiftright("marks", 32)
 
 
 def _news(state: DataFrame, number: int) -> dict[int, Filter]:
     """A filter for each length of the phrases that have just reached the threshold."""
-    new = state.where(F.col("reached") == number).select("h", _length().alias("k"))
+    new = state.where(_reached() == number + 1).select("h", _length().alias("k"))
     found = {r["k"]: r["n"] for r in new.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()}
     sizes = {k: min(FILTER_BITS, max(1 << 10, 1 << (n * _PER_MEMBER - 1).bit_length())) for k, n in found.items()}
     if not sizes:
@@ -264,8 +279,8 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
 
     Rows with k = 0 have the number of all word occurrences of a language.
     """
-    if not 2 <= longest <= 7:
-        raise ValueError("phrases have 2 to 7 words")
+    if not 2 <= longest <= 7 or not 1 <= shards <= 9:
+        raise ValueError("phrases have 2 to 7 words, and there are 1 to 9 shards")
     spark = docs.sparkSession
     small_batches(spark)
     path = scratch_path(spark, "phrase-shards")
