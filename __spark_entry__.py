@@ -203,7 +203,7 @@ def _replaced_customer_rfm(spark: SparkSession, sf: str) -> DataFrame:
     target = scratch_path(spark, "customer_rfm")
     warehouse.replace_table(table, target)
     warehouse.replace_table(table, target)
-    return spark.read.parquet(target)
+    return warehouse.read_derived(spark, target)
 
 
 # ---- quality -------------------------------------------------------------------------------------
@@ -300,13 +300,26 @@ def _incremental_load(spark: SparkSession, sf: str) -> DataFrame:
     return _declared(warehouse.read_table(spark, root, "transactions"))
 
 
-def _incremental_months(spark: SparkSession, sf: str) -> DataFrame:
+def _loaded_by_batches(spark: SparkSession, sf: str) -> str:
+    """Root of a star schema whose facts came as batches of files, into their months."""
     raw_dir = _stage(spark, sf, list(STAR), max_rows_per_file=20_000)
     root = scratch_path(spark, "star")
     load.load_dimensions({n: load.read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
     landing, checkpoint = scratch_path(spark, "landing"), scratch_path(spark, "stream")
     incremental.load_new_files(spark, f"{raw_dir}/transactions", root, landing, checkpoint, files_per_batch=2)
-    return _declared(warehouse.read_table(spark, root, "transactions"))
+    return root
+
+
+def _incremental_months(spark: SparkSession, sf: str) -> DataFrame:
+    return _declared(warehouse.read_table(spark, _loaded_by_batches(spark, sf), "transactions"))
+
+
+def _incremental_accounting(spark: SparkSession, sf: str) -> DataFrame:
+    return load.accounting(spark, _loaded_by_batches(spark, sf))
+
+
+def _incremental_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return load.rejects(spark, _loaded_by_batches(spark, sf))
 
 
 def _load_accounting(spark: SparkSession, sf: str) -> DataFrame:
@@ -449,6 +462,8 @@ def core_queries() -> dict[str, Query]:
         "replaced_months": _replaced_months,
         "incremental_load": _incremental_load,
         "incremental_months": _incremental_months,
+        "incremental_accounting": _incremental_accounting,
+        "incremental_rejects": _incremental_rejects,
         "load_accounting": _load_accounting,
         "load_rejects": _load_rejects,
         "catalog_counts": _catalog_counts,

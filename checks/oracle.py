@@ -343,6 +343,11 @@ def _left_out() -> str:
 _PLACES = {"customers": "o1, o2", "products": "o1", "stores": "o1", "transactions": "o1, o2, o3, o4, o5, o6, o7, o8, o9"}
 _LEFT_OUT = _left_out()
 
+_ACCOUNTS = f"""
+        SELECT feed, reason AS cause, count(*) AS row_count FROM ({_LEFT_OUT}) GROUP BY 1, 2
+        UNION ALL {_stacked([f"SELECT '{n}', 'read', count(*) FROM {n}_feed" for n in STAR])}
+        UNION ALL {_stacked([f"SELECT '{n}', 'loaded', count(*) FROM clean_{n}" for n in STAR])}"""
+
 _STATEMENTS = {
     # sales reports
     "business_summary": f"""
@@ -542,10 +547,9 @@ _STATEMENTS = {
     "incremental_load": f"SELECT {_columns('transactions')} FROM clean_transactions",
     "incremental_months": f"SELECT {_columns('transactions')} FROM clean_transactions",
     "load_rejects": _LEFT_OUT,
-    "load_accounting": f"""
-        SELECT feed, reason AS cause, count(*) AS row_count FROM ({_LEFT_OUT}) GROUP BY 1, 2
-        UNION ALL {_stacked([f"SELECT '{n}', 'read', count(*) FROM {n}_feed" for n in STAR])}
-        UNION ALL {_stacked([f"SELECT '{n}', 'loaded', count(*) FROM clean_{n}" for n in STAR])}""",
+    "incremental_rejects": _LEFT_OUT,
+    "load_accounting": _ACCOUNTS,
+    "incremental_accounting": _ACCOUNTS,
     "catalog_counts": _stacked([_COUNT_FEED.format(n, "table_name", "row_count", c) for n, c in _KEYS.items()]),
     **{f"csv_{n}_by_header": f"SELECT {', '.join(STAR[n].columns)} FROM {n}_feed" for n in STAR},
     "replaced_customer_rfm": _CUSTOMER_RFM,

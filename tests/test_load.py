@@ -3,9 +3,10 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from tillwise.plans import load
 from tillwise.schemas import FOREIGN_KEYS, STAR
-from tillwise.sources import warehouse
+from tillwise.sources import keyindex, snapshots, warehouse
 from tillwise.sources.feeds import ORDINAL, read_feed, write_feed
 from tillwise.streaming import incremental
 
@@ -203,7 +204,11 @@ def test_replaced_table(spark, tmp_path):
     target = str(tmp_path / "derived")
     warehouse.replace_table(spark.range(5), target)
     warehouse.replace_table(spark.range(3).withColumn("more", F.lit(1)), target)
-    assert spark.read.parquet(target).columns == ["id", "more"] and spark.read.parquet(target).count() == 3
+    got = warehouse.read_derived(spark, target)
+    assert got.columns == ["id", "more"] and got.count() == 3
+    with pytest.raises(Exception, match="no"):
+        warehouse.replace_table(spark.range(9).select(F.raise_error(F.lit("no")).cast("string").alias("id")), target)
+    assert warehouse.read_derived(spark, target).count() == 3
 
 
 def test_columns_are_read_by_the_header(spark, raw_dir, tmp_path):
@@ -275,16 +280,15 @@ def test_new_files_touch_their_months_only(spark, raw_dir, tmp_path):
     late.rename(tmp_path / "held-back.csv")
     incremental.load_new_files(spark, str(source), root, landing, checkpoint)
     assert warehouse.read_table(spark, root, "transactions").count() == 3
-    february = tmp_path / "star" / "transactions" / "transaction_month=2022-02"
-    before = {p.name: p.stat().st_mtime_ns for p in february.iterdir()}
+    before = snapshots.current(spark, root).tables["transactions"]
     late.write_text(text)
     incremental.load_new_files(spark, str(source), root, landing, checkpoint)
     incremental.load_new_files(spark, str(source), root, landing, checkpoint)  # nothing new
     assert rows(warehouse.read_table(spark, root, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS
-    assert {p.name: p.stat().st_mtime_ns for p in february.iterdir()} == before
-    schema = spark.read.parquet(landing).schema
-    plan = incremental.touched_months(spark, landing, ["2023-02"], schema)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(transaction_month" in plan or "transaction_month" in plan.split("PartitionFilters")[1][:80]
+    after = snapshots.current(spark, root).tables["transactions"]
+    assert set(after) == {"2022-01", "2022-02", "2023-02"} and all(after[m] == before[m] for m in before)
+    february = warehouse.read_table(spark, root, "transactions").where("transaction_month = '2023-02'")
+    assert february.count() == 2 and "PartitionFilters: [isnotnull(transaction_month" in plan_of(february)
 
 
 UNDATED = [
@@ -321,3 +325,138 @@ def test_appending_rows_without_a_date_again_adds_none(spark, raw_dir, tmp_path)
     for more in (some, undated.where("transaction_id = 'T1'"), some):
         warehouse.write_table(more, copy, "transactions", mode="append")
     assert warehouse.read_table(spark, copy, "transactions").count() == 5
+
+
+# Copies of T1 in other months, an unknown product, an unreadable date; files by name, in the order they arrive.
+ARRIVALS = {
+    "part-00005.csv": HEAD + """T1,2022-01-05,C1,P1,S1,2,5.99,0.1,10.78,Card,In-Store
+T2,2022-01-06,C1,P2,S1,1,1,0,1,Card,In-Store
+""",
+    "part-00006.csv": HEAD + """T1,2022-02-05,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+T3,2022-02-06,C2,P9,S2,1,9.99,0,9.99,Card,In-Store
+T4,2022-02-30,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+""",
+    # stands before the others, so its T2 and T5 count once it is there
+    "part-00001.csv": HEAD + """T2,2021-12-06,C2,P2,S2,3,9.99,0,29.97,Card,In-Store
+T5,2021-12-07,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+T2,2021-11-06,C2,P2,S2,3,9.99,0,29.97,Card,In-Store
+""",
+    "part-00009.csv": HEAD + """T5,2022-01-07,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+T6,2022-01-08,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+T1,,C2,P2,S2,1,9.99,0,9.99,Card,In-Store
+""",
+}
+
+
+def test_any_order_of_arrival_gives_the_batch_load(spark, raw_dir, tmp_path):
+    root, landing, checkpoint = (str(tmp_path / n) for n in ("star", "landing", "checkpoint"))
+    source = tmp_path / "raw" / "transactions"
+    for old in source.iterdir():
+        old.unlink()
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    for i, (name, text) in enumerate(ARRIVALS.items()):
+        (source / name).write_text(text)
+        incremental.load_new_files(spark, str(source), root, landing, checkpoint)
+        if i < 2:
+            continue
+        load.load_star(spark, raw_dir, whole := str(tmp_path / f"whole-{i}"))
+        for table in (lambda r: warehouse.read_table(spark, r, "transactions").select(FACT_COLUMNS),
+                      lambda r: load.rejects(spark, r), lambda r: load.accounting(spark, r)):
+            assert rows(table(root), *table(root).columns) == rows(table(whole), *table(whole).columns), name
+    got = rows(warehouse.read_table(spark, root, "transactions"), "transaction_id", "transaction_date")
+    assert got == [("T1", "2022-01-05"), ("T2", "2021-12-06"), ("T5", "2021-12-07"), ("T6", "2022-01-08")]
+
+
+def test_a_batch_counts_once(spark, raw_dir, tmp_path, monkeypatch):
+    """A batch that dies before its commit leaves nothing, one that runs again after it changes nothing."""
+    root, landing, checkpoint = (str(tmp_path / n) for n in ("star", "landing", "checkpoint"))
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    source, commit = str(tmp_path / "raw" / "transactions"), snapshots.commit
+    before = snapshots.current(spark, root)
+
+    def dies(spark, root, new):
+        raise RuntimeError("killed before the commit")
+
+    def dies_later(spark, root, new):
+        commit(spark, root, new)
+        raise RuntimeError("killed after the commit")
+
+    for number, broken in enumerate((dies, dies_later)):
+        monkeypatch.setattr(snapshots, "commit", broken)
+        with pytest.raises(Exception, match="killed"):
+            incremental.load_new_files(spark, source, root, landing, checkpoint)
+        monkeypatch.setattr(snapshots, "commit", commit)
+        assert (snapshots.current(spark, root) == before) == (number == 0)
+    incremental.load_new_files(spark, source, root, landing, checkpoint)
+    assert rows(warehouse.read_table(spark, root, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS
+    found = {r.cause: r.row_count for r in load.accounting(spark, root).where("feed = 'transactions'").collect()}
+    assert found.pop("read") == sum(found.values()) == 9
+
+
+def test_a_killed_write_keeps_the_old_table(spark, tmp_path, monkeypatch):
+    target = str(tmp_path / "derived")
+    warehouse.replace_table(spark.range(5), target)
+    pinned = warehouse.read_derived(spark, target)
+    folder, create = snapshots.write_folder, snapshots._file
+    # before the data, after the data, and with a manifest cut short
+    monkeypatch.setattr(snapshots, "write_folder", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.replace_table(spark.range(3), target)
+    monkeypatch.setattr(snapshots, "write_folder", folder)
+    monkeypatch.setattr(snapshots, "commit", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        warehouse.replace_table(spark.range(3), target)
+    monkeypatch.undo()
+    assert create is snapshots._file and warehouse.read_derived(spark, target).count() == 5
+    (tmp_path / "derived" / "manifests" / "1.json").write_text('{"tables": {"rows"')
+    assert warehouse.read_derived(spark, target).count() == 5
+    warehouse.replace_table(spark.range(3), target)
+    assert warehouse.read_derived(spark, target).count() == 3 and pinned.count() == 5
+    stale = snapshots.Manifest(0, {}, {})
+    with pytest.raises(snapshots.Conflict):
+        snapshots.commit(spark, target, stale)
+    warehouse.replace_table(spark.range(2), target)
+    deleted = snapshots.vacuum(spark, target, keep=1)
+    assert len([d for d in deleted if "/data/" in d]) == 3 and warehouse.read_derived(spark, target).count() == 2
+
+
+def test_only_buckets_that_may_hold_a_key_are_read(spark, tmp_path):
+    root = str(tmp_path)
+    entry = lambda ids, month: spark.createDataFrame(
+        [(f"T{i}", None, month) for i in ids], keyindex.ENTRY)
+    state = snapshots.Manifest()
+    for at, month in enumerate(("2022-01", "2022-02", "2022-03")):
+        state = keyindex.write(entry(range(1000 * at, 1000 * at + 1000), month), root).into(state)
+    some = spark.createDataFrame([("T1500",), ("T7",), ("T9999999",)], "key string")
+    parts = keyindex.touched(spark, root, state, some)
+    folders = sum(map(len, parts.values()))
+    assert len(parts) <= 3 and 2 <= folders <= 4 and sum(map(len, state.tables[keyindex.ENTRIES].values())) > 150
+    assert rows(keyindex.lookup(spark, root, state, some), "key", "month") == [("T1500", "2022-02"), ("T7", "2022-01")]
+    new = spark.range(50_000, 53_000).select(F.concat(F.lit("T"), "id").alias("key"))
+    hit = keyindex.touched(spark, root, state, new)
+    assert keyindex.lookup(spark, root, state, new).count() == 0
+    assert sum(map(len, hit.values())) <= 3 * keyindex.BUCKETS
+    # an earlier place takes over, and merging keeps one entry for each key
+    earlier = spark.createDataFrame([("T7", ("a", 0, 5), "2020-01")], keyindex.ENTRY)
+    for _ in range(keyindex.MOST_WRITES):
+        state = keyindex.write(earlier, root).into(state)
+    merged = keyindex.merged(spark, root, state)
+    assert len(merged.notes[keyindex.ENTRIES]) == 1
+    for s in (state, merged):
+        assert rows(keyindex.lookup(spark, root, s, some), "key", "month") == [("T1500", "2022-02"), ("T7", "2022-01")]
+
+
+def test_appending_an_id_of_another_month_adds_none(spark, raw_dir, tmp_path):
+    root = str(tmp_path / "star")
+    facts = load.load_star(spark, raw_dir, root)["transactions"]
+    later = facts.where("transaction_id = 'T1'").withColumn("transaction_date", F.lit("2023-02-01").cast("date"))
+    new = later.withColumn("transaction_id", F.lit("T50"))
+    for _ in range(2):
+        warehouse.write_table(later.unionByName(new), root, "transactions", mode="append")
+    got = rows(warehouse.read_table(spark, root, "transactions"), "transaction_id")
+    assert got == [("T1",), ("T2",), ("T3",), ("T5",), ("T50",), ("T7",)]
+    warehouse.create_tables(spark, root)
+    try:
+        assert spark.table("transactions").count() == 6 and spark.table("stores").count() == 3
+    finally:
+        warehouse.drop_tables(spark)

@@ -22,13 +22,18 @@ from tillwise.sources.feeds import MALFORMED, ORDINAL
 
 REJECT = "_reject"
 
+# Number of a row in a written table of typed rows.
+ROW = "_row"
+
 
 def _cast(field: T.StructField) -> Column:
     """The cell as its declared type. Whole numbers may end in .0, as exports of columns with gaps have them."""
     cell = F.col(field.name)
+    plain = cell.try_cast(field.dataType)
     if isinstance(field.dataType, T.IntegerType):
-        cell = F.regexp_replace(cell, r"^([+-]?\d+)\.0+$", "$1")
-    return cell.try_cast(field.dataType)
+        # the pattern runs on cells only that do not cast as they are
+        return F.coalesce(plain, F.regexp_replace(cell, r"^([+-]?\d+)\.0+$", "$1").try_cast(field.dataType))
+    return plain
 
 
 def _typed(raw: DataFrame, table: Table, cleaned: dict[str, Column]) -> DataFrame:
@@ -121,17 +126,27 @@ def rejected(typed: DataFrame, feed: str) -> DataFrame:
     )
 
 
-def judged(typed: DataFrame, key: str, also: Column | None = None) -> DataFrame:
-    """``typed`` with the reason of every row that is not to be loaded, repeated keys included.
+def left_out(rows: DataFrame, key: str, also: Column | None = None) -> DataFrame:
+    """(row, row_key, reason) of the acceptable rows that are not to be loaded: for the reason ``also``, or a repeated key.
 
-    ``also`` gives a reason beyond the row's own cells, or null. The first row by ordinal without a reason is
-    the one to load; it is found by a minimum per key, so a key that many rows share stays spread. Reads
-    ``typed`` twice, which must therefore be a written table: ordinals are not to be numbered anew.
+    ``rows`` are typed rows with ``ROW``, read several times, so they must come from a written table. Of a key the first
+    row by ordinal without a reason is the one to load; minima per key find it, and only the narrow rows of keys that
+    come more than once meet their key's minimum. So neither a hot key nor the missing one gathers whole rows.
     """
-    rows = typed if also is None else typed.withColumn(REJECT, F.coalesce(REJECT, also))
-    first = rows.where(F.col(REJECT).isNull()).groupBy(key).agg(F.min(ORDINAL).alias("_first"))
-    again = F.when(F.col(ORDINAL) != F.col("_first"), F.lit(f"{key}: repeated"))
-    return rows.join(first, key, "left").withColumn(REJECT, F.coalesce(REJECT, again)).drop("_first")
+    why = F.lit(None).cast("string") if also is None else also
+    some = rows.where(F.col(REJECT).isNull()).select(ROW, ORDINAL, F.col(key).alias("row_key"), why.alias("reason"))
+    good = some.where(F.col("reason").isNull()).drop("reason")
+    first = good.groupBy("row_key").agg(F.min(ORDINAL).alias("_first"), F.count(F.lit(1)).alias("_copies")).where("_copies > 1")
+    again = good.join(first, "row_key").where(F.col(ORDINAL) != F.col("_first"))
+    out = again.select(ROW, "row_key", F.lit(f"{key}: repeated").alias("reason"))
+    if also is not None:
+        out = out.unionByName(some.where(F.col("reason").isNotNull()).select(ROW, "row_key", "reason"))
+    return out
+
+
+def without(rows: DataFrame, out: DataFrame) -> DataFrame:
+    """Typed rows but those left out, told apart by their number."""
+    return rows.join(out.select(ROW), ROW, "left_anti").drop(ROW, ORDINAL)
 
 
 def clean_dimension(raw: DataFrame, feed: str, strict: bool = False) -> DataFrame:

@@ -6,18 +6,27 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillwise.operators.cleanse import REJECT, TYPERS, accepted, judged, rejected
+from tillwise.operators.cleanse import REJECT, ROW, TYPERS, accepted, left_out, rejected, without
 from tillwise.operators.conform import repair
 from tillwise.operators.joins import look_up
 from tillwise.operators.quality import duplicate_keys
 from tillwise.schemas import STAR
+from tillwise.sources import snapshots
 from tillwise.sources.feeds import read_feed
 from tillwise.sources.scratch import materialise
-from tillwise.sources.warehouse import read_table, replace_table, row_counts, write_table
+from tillwise.sources.warehouse import REJECTS, placed, read_table, row_counts, write_table, written
 
 DIMENSIONS = ["customers", "products", "stores"]
 
+READ = "rows read"  # note of the store: rows of each feed that came in
+
+
+def rejects_table(feed: str) -> str:
+    """Name of the table of rows that a feed's load left out."""
+    return f"rejects-{feed}"
+
 
 def read_feeds(spark: SparkSession, raw_dir: str, multiline: bool = False) -> dict[str, DataFrame]:
     """The raw feeds, each a folder (or file) named after its table."""
@@ -29,44 +38,58 @@ def load_dimensions(feeds: dict[str, DataFrame], root: str, strict: bool = False
     for name in [n for n in DIMENSIONS if n in feeds]:
         if strict and name != "customers":
             _refuse_duplicates(name, feeds[name])
-        verdicts = _judge(feeds[name], root, name, strict)
-        write_table(accepted(verdicts), root, name)
+        _load(feeds[name], root, name, strict)
 
 
 def load_transactions(raw: DataFrame, root: str, strict: bool = False, mode: str = "overwrite") -> None:
     """Conform the facts to the dimensions already loaded and write them by month, and what is left out."""
-    keys = {name: read_table(raw.sparkSession, root, name) for name in DIMENSIONS}
-    verdicts = _judge(raw, root, "transactions", strict, keys["products"])
-    write_table(repair(accepted(verdicts), keys["customers"], keys["stores"]), root, "transactions", mode)
+    dimensions = {name: read_table(raw.sparkSession, root, name) for name in DIMENSIONS}
+    _load(raw, root, "transactions", strict, dimensions, mode)
 
 
-def _judge(raw: DataFrame, root: str, name: str, strict: bool, products: DataFrame | None = None) -> DataFrame:
-    """Typed rows with the reason not to load each, from one pass over the feed; the others are written down.
+def _load(
+    raw: DataFrame, root: str, name: str, strict: bool, dimensions: dict[str, DataFrame] | None = None, mode: str = "overwrite"
+) -> None:
+    """Load one feed: its table, the rows left out and the count of rows change together.
 
-    The typed rows are written first, so that neither the count of raw rows, nor the rejects, nor the table
-    parse the feed again.
+    The feed is parsed once: typed rows are written with a number each. What is left out beyond their own cells (unknown
+    products, repeated ids) is a short table of row numbers, also made once; the table is all other rows.
     """
     spark, key = raw.sparkSession, STAR[name].key
     counted = Observation(f"raw {name}")
     typed = TYPERS[name](raw).observe(counted, F.count(F.lit(1)).alias("rows"))
-    typed = materialise(typed, f"typed-{name}")
+    # written with the rows, so that a number stays with its row
+    typed = materialise(typed.withColumn(ROW, F.monotonically_increasing_id()), f"typed-{name}")
     if strict:
         worst = typed.where(F.col(REJECT).isNotNull()).select(REJECT).head()
         if worst:
             raise ValueError(f"rejected row, {worst[0]}")
     unknown = None
-    if products is not None:
-        typed = look_up(typed, products.select("product_id", F.lit(True).alias("_sold")), "product_id", F.col(key))
+    rows = typed
+    if dimensions:
+        sold = dimensions["products"].select("product_id", F.lit(True).alias("_sold"))
+        rows = look_up(typed, sold, "product_id", F.col(key))
         unknown = F.when(F.col("_sold").isNull(), F.lit("product_id: unknown"))
-    verdicts = judged(typed, key, unknown)
-    left_out = rejected(verdicts, name).drop("feed").withColumn("row_key", F.col("row_key").cast("string"))
-    replace_table(left_out, f"{_kept(root)}/rejects/feed={name}")
-    replace_table(spark.range(1).select(F.lit(counted.get["rows"]).alias("row_count")), f"{_kept(root)}/raw/feed={name}")
-    return verdicts
-
-
-def _kept(root: str) -> str:
-    return f"{root.rstrip('/')}/load_record"
+    out = materialise(left_out(rows, key, unknown), f"out-{name}")
+    kept = without(accepted(typed), out)
+    if dimensions:
+        kept = repair(kept, dimensions["customers"], dimensions["stores"])
+    wrong = rejected(typed, name).unionByName(out.select(F.lit(name).alias("feed"), "row_key", "reason"))
+    wrong = wrong.select([F.col(c).cast("string").alias(c) for c in REJECTS.names])
+    lost = snapshots.write_folder(wrong, root)
+    if mode == "append":
+        write_table(kept, root, name, mode)
+        parts = None
+    else:
+        parts = written(kept, root, name)
+    read = counted.get["rows"]
+
+    def recorded(state: snapshots.Manifest) -> snapshots.Manifest:
+        new = placed(state, name, parts) if parts is not None else state
+        new = new.with_table(rejects_table(name), lost)
+        return new.with_note(READ, {**new.notes.get(READ, {}), name: read})
+
+    snapshots.change(spark, root, recorded)
 
 
 def load_star(
@@ -81,23 +104,27 @@ def load_star(
     feeds = read_feeds(spark, raw_dir, multiline)
     load_dimensions(feeds, root, strict)
     load_transactions(feeds["transactions"], root, strict)
-    return {name: read_table(spark, root, name) for name in STAR}
+    state = snapshots.current(spark, root)
+    return {name: read_table(spark, root, name, state) for name in STAR}
 
 
 def rejects(spark: SparkSession, root: str) -> DataFrame:
-    """(feed, row_key, reason) of every row the last load of each table left out."""
-    return spark.read.schema("row_key string, reason string, feed string").parquet(f"{_kept(root)}/rejects").select(
-        "feed", "row_key", "reason"
+    """(feed, row_key, reason) of every row that is not in the tables: of the last load, and of all batches since."""
+    state = snapshots.current(spark, root)
+    return reduce(
+        DataFrame.unionByName, [snapshots.read(spark, root, rejects_table(n), REJECTS, state) for n in STAR]
     )
 
 
 def accounting(spark: SparkSession, root: str) -> DataFrame:
-    """(feed, cause, row_count): rows read, rows loaded, and rows left out by reason, of the last load."""
-    raw = spark.read.schema("row_count long, feed string").parquet(f"{_kept(root)}/raw")
-    kept = row_counts({name: read_table(spark, root, name) for name in STAR})
+    """(feed, cause, row_count): rows read, rows loaded, and rows left out by reason, since the last whole load."""
+    state = snapshots.current(spark, root)
+    read = [(feed, "read", count) for feed, count in sorted(state.notes.get(READ, {}).items())]
+    kind = T.StructType([T.StructField("feed", T.StringType()), T.StructField("cause", T.StringType()), T.StructField("row_count", T.LongType())])
+    kept = row_counts({name: read_table(spark, root, name, state) for name in STAR if name in state.tables})
     lost = rejects(spark, root).groupBy("feed", F.col("reason").alias("cause")).agg(F.count(F.lit(1)).alias("row_count"))
     return (
-        raw.select("feed", F.lit("read").alias("cause"), "row_count")
+        spark.createDataFrame(read, kind)
         .unionByName(kept.select(F.col("table_name").alias("feed"), F.lit("loaded").alias("cause"), "row_count"))
         .unionByName(lost)
     )

@@ -100,6 +100,30 @@ CUSTOMER_EXTRACTS = {
 
 _OPENED = "(DATE '2016-01-01' + CAST(s_suppkey * 37 % 3000 AS INT))"
 
+# One row of the transaction feed. Some come again at the end of the feed with a date in another month.
+_TRANSACTION_ROW = """
+SELECT 'T' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS transaction_id,
+    CASE WHEN l_orderkey % 113 = 5 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE){late} AS STRING) END AS transaction_date,
+    CASE WHEN l_orderkey % 24 = 0 THEN 'NA' WHEN l_orderkey % 12 = 0 THEN ''
+         WHEN l_orderkey % 40 = 1 THEN 'C-' || CAST(o_custkey AS STRING)
+         ELSE 'C' || CAST(o_custkey AS STRING) END AS customer_id,
+    CASE WHEN l_orderkey % 50 = 3 THEN 'X' || CAST(l_partkey AS STRING)
+         ELSE 'P' || CAST(l_partkey AS STRING) END AS product_id,
+    CASE WHEN l_orderkey % 7 = 0 THEN '' WHEN l_orderkey % 45 = 2 THEN 'Z' || CAST(l_suppkey AS STRING)
+         ELSE 'S' || CAST(l_suppkey AS STRING) END AS store_id,
+    CASE WHEN l_partkey % 307 = 9 THEN 'some' ELSE CAST(
+        CASE WHEN {is_return} THEN -1 WHEN l_partkey % 211 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END
+        AS STRING) END AS quantity,
+    CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS STRING) AS unit_price,
+    CAST(CAST(l_discount AS DECIMAL(5,2)) AS STRING) AS discount_pct,
+    CAST(CAST(CASE WHEN {is_return} THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(10,2)) AS STRING)
+        AS total_value,
+    o_orderpriority AS payment_method,
+    CASE WHEN l_orderkey % 7 = 0 THEN 'Online' ELSE 'In-Store' END AS channel,
+    l_partkey + {later} AS o1, l_suppkey AS o2, l_quantity AS o3, l_extendedprice AS o4, l_discount AS o5,
+    l_tax AS o6, l_returnflag AS o7, l_linestatus AS o8, l_shipdate AS o9
+FROM {{lineitem}} LEFT JOIN {{orders}} ON l_orderkey = o_orderkey {where}"""
+
 # The last columns (o1, o2, ...) say where the row stood in the feed.
 FEEDS = {
     "products": """
@@ -137,28 +161,8 @@ SELECT 'S' || CAST(s_suppkey AS STRING) AS store_id, s_name AS store_name,
          ELSE CAST({_OPENED} AS STRING) END AS opening_date,
     CASE WHEN s_suppkey % 7 = 0 THEN 'True' ELSE 'False' END AS is_flagship, s_suppkey AS o1
 FROM {{supplier}}""",
-    "transactions": f"""
-SELECT 'T' || CAST(l_orderkey * 10 + l_linenumber AS STRING) AS transaction_id,
-    CASE WHEN l_orderkey % 113 = 5 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS STRING) END AS transaction_date,
-    CASE WHEN l_orderkey % 24 = 0 THEN 'NA' WHEN l_orderkey % 12 = 0 THEN ''
-         WHEN l_orderkey % 40 = 1 THEN 'C-' || CAST(o_custkey AS STRING)
-         ELSE 'C' || CAST(o_custkey AS STRING) END AS customer_id,
-    CASE WHEN l_orderkey % 50 = 3 THEN 'X' || CAST(l_partkey AS STRING)
-         ELSE 'P' || CAST(l_partkey AS STRING) END AS product_id,
-    CASE WHEN l_orderkey % 7 = 0 THEN '' WHEN l_orderkey % 45 = 2 THEN 'Z' || CAST(l_suppkey AS STRING)
-         ELSE 'S' || CAST(l_suppkey AS STRING) END AS store_id,
-    CASE WHEN l_partkey % 307 = 9 THEN 'some' ELSE CAST(
-        CASE WHEN {_IS_RETURN} THEN -1 WHEN l_partkey % 211 = 0 THEN 0 ELSE CAST(l_quantity AS INT) END
-        AS STRING) END AS quantity,
-    CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS STRING) AS unit_price,
-    CAST(CAST(l_discount AS DECIMAL(5,2)) AS STRING) AS discount_pct,
-    CAST(CAST(CASE WHEN {_IS_RETURN} THEN -l_extendedprice ELSE l_extendedprice END AS DECIMAL(10,2)) AS STRING)
-        AS total_value,
-    o_orderpriority AS payment_method,
-    CASE WHEN l_orderkey % 7 = 0 THEN 'Online' ELSE 'In-Store' END AS channel,
-    l_partkey AS o1, l_suppkey AS o2, l_quantity AS o3, l_extendedprice AS o4, l_discount AS o5,
-    l_tax AS o6, l_returnflag AS o7, l_linestatus AS o8, l_shipdate AS o9
-FROM {{lineitem}} LEFT JOIN {{orders}} ON l_orderkey = o_orderkey""",
+    "transactions": _TRANSACTION_ROW.format(is_return=_IS_RETURN, late="", later=0, where="") + " UNION ALL " + _TRANSACTION_ROW.format(
+        is_return=_IS_RETURN, late=" + 45", later=100_000_000, where="WHERE l_orderkey % 97 = 11"),
 }
 
 

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillwise.functions.dates import month_label
 from tillwise.functions.text import null_if_token
-from tillwise.operators.cleanse import type_transactions
-from tillwise.operators.conform import conform_typed
+from tillwise.operators.cleanse import REJECT, accepted, type_transactions
+from tillwise.operators.conform import repair
+from tillwise.operators.joins import look_up
+from tillwise.plans.load import DIMENSIONS, READ, rejects_table
 from tillwise.schemas import STAR
+from tillwise.sources import keyindex, snapshots
 from tillwise.sources.feeds import (
     CSV_OPTIONS,
     MALFORMED,
@@ -19,9 +21,14 @@ from tillwise.sources.feeds import (
     in_path_order,
     is_malformed,
 )
-from tillwise.sources.warehouse import MONTH, in_months, read_table, replace_months
+from tillwise.sources.scratch import discard, materialise
+from tillwise.sources.warehouse import FACTS, MONTH, REJECTS, indexed, part_of, read_months, read_table, written
 
 _FILE, _START = "_feed_file", "_split_start"
+_KEY = STAR[FACTS].key
+
+# Note of the store: the last batch of each stream that is in the tables.
+BATCHES = "batches"
 
 
 def _new_rows(spark: SparkSession, feed: str, raw_dir: str, files_per_batch: int, multiline: bool) -> DataFrame:
@@ -52,28 +59,30 @@ def load_new_files(
 ) -> None:
     """Bring the fact table under ``root`` up to date with the files not yet seen, then stop.
 
-    Each batch types its own files only and lands the typed rows by month, with their place in the feed. The
-    months it touches are conformed anew from what has landed in them and replaced; no other month is read
-    or written. Copies of a transaction count as such within a month; rows without a date are a month too. A batch that dies is run again from
-    its own folder, so nothing is lost or repeated.
+    After any number of batches the table has the rows that one load of all files would have: for each id, in whichever
+    month, the acceptable row that stands first in the feed, by file order. Each batch types its own files only and
+    appends to the months it has rows for. An index of keys tells which ids the table has; only the buckets that may hold
+    an id of the batch are read. If an id comes again from a file that stands before the one it was loaded from, the old
+    row gives way: its month is written anew, the only case in which old rows are read.
+
+    Facts, index, rows left out and counts change together, with the number of the batch, so a batch that dies leaves
+    nothing, and one that Spark runs again after its commit is passed over. Rows are judged by the dimensions of the
+    time. ``landing`` holds the typed rows of the batch under way.
     """
-    dimensions = {name: read_table(spark, root, name) for name in ("customers", "products", "stores")}
 
-    def conform(rows: DataFrame, batch: int) -> None:
+    def take(rows: DataFrame, batch: int) -> None:
+        state = snapshots.current(spark, root)
+        done = state.notes.get(BATCHES, {})
+        if done.get(checkpoint, -1) >= batch:
+            return
         place = F.struct(in_path_order(F.col(_FILE)), F.col(_START), F.monotonically_increasing_id())
-        typed = type_transactions(rows.withColumn(ORDINAL, place)).withColumn(MONTH, month_label(F.col("transaction_date")))
-        typed.write.mode("overwrite").partitionBy(MONTH).parquet(f"{landing}/batch={batch}")
-        schema = typed.schema.add("batch", "long")
-        landed_now = spark.read.schema(schema).option("basePath", landing).parquet(f"{landing}/batch={batch}")
-        # one value per calendar month, and None where a date is missing
-        months = [r[0] for r in landed_now.select(MONTH).distinct().collect()]
-        if months:
-            touched = touched_months(spark, landing, months, schema)
-            replace_months(conform_typed(touched, **dimensions), root)
-
-    rows = _new_rows(spark, "transactions", raw_dir, files_per_batch, multiline)
+        state = _taken(rows.withColumn(ORDINAL, place.cast(keyindex.PLACE)), root, f"{landing}/batch={batch}", state)
+        snapshots.commit(spark, root, state.with_note(BATCHES, {**done, checkpoint: batch}))
+        discard(spark, f"{landing}/batch={batch}")
+
+    rows = _new_rows(spark, FACTS, raw_dir, files_per_batch, multiline)
     (
-        rows.writeStream.foreachBatch(conform)
+        rows.writeStream.foreachBatch(take)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -81,9 +90,60 @@ def load_new_files(
     )
 
 
-def touched_months(spark: SparkSession, landing: str, months: list[str | None], schema: T.StructType) -> DataFrame:
-    """Landed rows of some months; the others are pruned by folder."""
-    return spark.read.schema(schema).parquet(landing).where(in_months(months)).drop(MONTH, "batch")
+def _taken(raw: DataFrame, root: str, folder: str, state: snapshots.Manifest) -> snapshots.Manifest:
+    """The state of the store with a batch of raw rows in it; everything is written, nothing committed."""
+    spark = raw.sparkSession
+    state = indexed(spark, root, state)
+    dimensions = {name: read_table(spark, root, name, state) for name in DIMENSIONS}
+    counted = Observation()
+    typed = type_transactions(raw).withColumn(MONTH, month_label(F.col("transaction_date")))
+    typed.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
+    landed = spark.read.schema(typed.schema).parquet(folder)
+
+    # the verdict on each row, on few columns
+    sold = dimensions["products"].select("product_id", F.lit(True).alias("_sold"))
+    found = look_up(landed.select(_KEY, ORDINAL, MONTH, "product_id", REJECT), sold, "product_id", F.col(_KEY))
+    reason = F.coalesce(REJECT, F.when(F.col("_sold").isNull(), F.lit("product_id: unknown")))
+    judged = materialise(found.select(_KEY, ORDINAL, MONTH, reason.alias("reason")), "batch-verdicts")
+    good = judged.where(F.col("reason").isNull())
+    first = good.groupBy(F.col(_KEY).alias("key")).agg(F.min(F.struct(ORDINAL, MONTH)).alias("first"))
+    first = materialise(first.select("key", F.col(f"first.{ORDINAL}").alias("place"), F.col(f"first.{MONTH}").alias("month")), "batch-keys")
+    known = keyindex.lookup(spark, root, state, first)
+    known = known.select("key", F.lit(True).alias("known"), F.col("place").alias("old_place"), F.col("month").alias("old_month"))
+    # rows of which no place is known came before all files
+    claims = first.join(known, "key", "left").where(F.col("known").isNull() | (F.col("place") < F.col("old_place")))
+    claims = materialise(claims, "batch-claims")
+
+    places = claims.select(F.col("place").alias(ORDINAL))
+    winners = accepted(landed).join(places, ORDINAL, "left_semi")
+    fresh = written(repair(winners, dimensions["customers"], dimensions["stores"]), root, FACTS)
+    facts = snapshots.added(_given_way(spark, root, state, claims), fresh)
+
+    again = good.join(places, ORDINAL, "left_anti").select(F.col(_KEY).alias("row_key"), F.lit(f"{_KEY}: repeated").alias("reason"))
+    gone = claims.where("known").select(F.col("key").alias("row_key"), F.lit(f"{_KEY}: repeated").alias("reason"))
+    wrong = judged.where(F.col("reason").isNotNull()).select(F.col(_KEY).alias("row_key"), "reason")
+    lost = wrong.unionByName(again).unionByName(gone).select(F.lit(FACTS).alias("feed"), "row_key", "reason")
+    rejects = snapshots.write_folder(lost.select(REJECTS.names), root)
+
+    state = keyindex.write(claims, root).into(state)
+    state = keyindex.merged(spark, root, state)
+    state = state.with_table(FACTS, facts)
+    name, read = rejects_table(FACTS), state.notes.get(READ, {})
+    state = state.with_table(name, snapshots.added(state.tables.get(name, {}), rejects))
+    return state.with_note(READ, {**read, FACTS: read.get(FACTS, 0) + counted.get["rows"]})
+
+
+def _given_way(spark: SparkSession, root: str, state: snapshots.Manifest, claims: DataFrame) -> snapshots.Parts:
+    """Parts of the fact table without rows whose id a claim takes over; only their months are read."""
+    moved = claims.where("known")
+    # one value per calendar month
+    months = [r["old_month"] for r in moved.select("old_month").distinct().collect()]
+    parts = state.tables.get(FACTS, {})
+    if not months:
+        return parts
+    left = read_months(spark, root, months, state).join(moved.select(F.col("key").alias(_KEY)), _KEY, "left_anti")
+    others = {v: own for v, own in parts.items() if v not in {part_of(m) for m in months}}
+    return {**others, **written(left.drop(MONTH), root, FACTS)}
 
 
 def land_feed(
