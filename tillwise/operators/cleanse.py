@@ -37,23 +37,28 @@ def _cast(field: T.StructField) -> Column:
 
 
 def _typed(raw: DataFrame, table: Table, cleaned: dict[str, Column]) -> DataFrame:
-    """Declared columns, ordinal and verdict. Columns not in ``cleaned`` are cast to their type."""
+    """Declared columns, ordinal and verdict. Columns not in ``cleaned`` are cast to their type.
+
+    Values are made in one step and judged in the next, by name: the optimizer does not merge steps when that would make
+    it parse a cell twice, so the code of the stage stays small enough to be compiled.
+    """
     values = {f.name: cleaned.get(f.name, _cast(f)) for f in table.stored}
     # Text always reads, so it is only measured; everything else fits if it reads.
-    reasons = [F.when(F.col(table.key).isNull(), F.lit(f"{table.key}: missing"))]
-    if MALFORMED in raw.columns:
-        reasons.insert(0, F.when(F.col(MALFORMED), F.lit("row: malformed")))
-    for name, value in values.items():
+    parsed = [name for name in values if name not in table.lengths]
+    marked = [MALFORMED] if MALFORMED in raw.columns else []
+    step = raw.select(
+        *[value.alias(name) for name, value in values.items()],
+        *[F.col(name).isNotNull().alias(f"_set_{name}") for name in parsed], *marked, ORDINAL,
+    )
+    reasons = [F.when(F.col(m), F.lit("row: malformed")) for m in marked]
+    reasons.append(F.when(F.col(table.key).isNull(), F.lit(f"{table.key}: missing")))
+    for name in values:
         if name in table.lengths:
-            wrong, reason = F.length(value) > table.lengths[name], "too long"
+            wrong, reason = F.length(name) > table.lengths[name], "too long"
         else:
-            wrong, reason = F.col(name).isNotNull() & value.isNull(), "unreadable"
+            wrong, reason = F.col(f"_set_{name}") & F.col(name).isNull(), "unreadable"
         reasons.append(F.when(wrong, F.lit(f"{name}: {reason}")))
-    return raw.select(
-        *[value.alias(name) for name, value in values.items()],
-        ORDINAL,
-        F.coalesce(*reasons).alias(REJECT),
-    )
+    return step.select(*values, ORDINAL, F.coalesce(*reasons).alias(REJECT))
 
 
 def type_customers(raw: DataFrame) -> DataFrame:
@@ -120,10 +125,12 @@ def first_accepted(typed: DataFrame, key: str, strict: bool = False) -> DataFram
 
 
 def rejected(typed: DataFrame, feed: str) -> DataFrame:
-    """(feed, row_key, reason) of every row that may not be loaded."""
-    return typed.where(F.col(REJECT).isNotNull()).select(
-        F.lit(feed).alias("feed"), F.col(STAR[feed].key).alias("row_key"), F.col(REJECT).alias("reason")
-    )
+    """(feed, row_key, reason) of every row that may not be loaded.
+
+    The reason is unfolded rather than filtered on: a filter would be pushed below the typing and parse all cells again.
+    """
+    reason = F.when(F.col(REJECT).isNotNull(), F.array(REJECT))
+    return typed.select(F.lit(feed).alias("feed"), F.col(STAR[feed].key).alias("row_key"), F.explode(reason).alias("reason"))
 
 
 def left_out(rows: DataFrame, key: str, also: Column | None = None) -> DataFrame:

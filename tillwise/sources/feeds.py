@@ -56,6 +56,22 @@ def in_path_order(path: Column) -> Column:
     return F.regexp_replace(padded, r"\d*(\d{20})(?!\d)", "$1")
 
 
+def _tail(path: Column) -> Column:
+    return F.substring_index(path, "/", -2)
+
+
+def path_orders(names: DataFrame) -> DataFrame:
+    """(_tail, _order) for each file among ``names`` (path): its folder and name, and the sort key of these."""
+    tails = names.select(_tail(F.col("path")).alias("_tail")).distinct()
+    return tails.withColumn("_order", in_path_order(F.col("_tail")))
+
+
+def with_path_order(rows: DataFrame, path: Column, orders: DataFrame, into: str) -> DataFrame:
+    """``rows`` with the sort key of their file, looked up: the patterns behind it run once a file and not once a row."""
+    found = rows.withColumn("_tail", _tail(path)).join(orders, "_tail", "left")
+    return found.withColumn(into, F.coalesce("_order", in_path_order(F.col("_tail")))).drop("_tail", "_order")
+
+
 def normalise(raw: DataFrame, table: Table) -> DataFrame:
     """Null tokens in the feed columns become nulls; other columns (the ordinal) pass through."""
     return raw.withColumns({c: null_if_token(F.col(c)) for c in table.columns})
@@ -72,13 +88,14 @@ def read_feed(spark: SparkSession, feed: str, path: str, multiline: bool = False
     table = STAR[feed]
     reader = spark.read.schema(csv_schema(spark, table, path)).options(**CSV_OPTIONS)
     raw = reader.option("multiLine", str(multiline).lower()).csv(path)
-    ordinal = F.struct(
-        in_path_order(F.col("_metadata.file_path")),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id(),
+    rows = raw.select(
+        *table.columns, is_malformed().alias(MALFORMED), F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_nth"),
     )
-    rows = raw.select(*table.columns, ordinal.alias(ORDINAL), is_malformed().alias(MALFORMED))
-    return normalise(rows, table)
+    files = spark.createDataFrame([(f,) for f in raw.inputFiles()], "path string")
+    rows = with_path_order(rows, F.col("_path"), path_orders(files), "_file")
+    ordinal = F.struct(F.col("_file").alias("file"), F.col("_split").alias("split"), F.col("_nth").alias("row"))
+    return normalise(rows.select(*table.columns, ordinal.alias(ORDINAL), MALFORMED), table)
 
 
 def write_feed(df: DataFrame, path: str, max_rows_per_file: int = 0) -> None:

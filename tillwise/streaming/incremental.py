@@ -18,8 +18,9 @@ from tillwise.sources.feeds import (
     MALFORMED,
     ORDINAL,
     csv_schema,
-    in_path_order,
     is_malformed,
+    path_orders,
+    with_path_order,
 )
 from tillwise.sources.scratch import discard, materialise
 from tillwise.sources.warehouse import FACTS, MONTH, REJECTS, indexed, part_of, read_months, read_table, written
@@ -75,8 +76,8 @@ def load_new_files(
         done = state.notes.get(BATCHES, {})
         if done.get(checkpoint, -1) >= batch:
             return
-        place = F.struct(in_path_order(F.col(_FILE)), F.col(_START), F.monotonically_increasing_id())
-        state = _taken(rows.withColumn(ORDINAL, place.cast(keyindex.PLACE)), root, f"{landing}/batch={batch}", state)
+        place = F.struct(F.col(_FILE).alias("file"), F.col(_START).alias("split"), F.monotonically_increasing_id().alias("row"))
+        state = _taken(rows.withColumn(ORDINAL, place), root, f"{landing}/batch={batch}", state)
         snapshots.commit(spark, root, state.with_note(BATCHES, {**done, checkpoint: batch}))
         discard(spark, f"{landing}/batch={batch}")
 
@@ -99,6 +100,10 @@ def _taken(raw: DataFrame, root: str, folder: str, state: snapshots.Manifest) ->
     typed = type_transactions(raw).withColumn(MONTH, month_label(F.col("transaction_date")))
     typed.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(folder)
     landed = spark.read.schema(typed.schema).parquet(folder)
+    # one row for each file of the batch
+    files = path_orders(landed.select(F.col(f"{ORDINAL}.file").alias("path")).distinct())
+    landed = with_path_order(landed, F.col(f"{ORDINAL}.file"), files, _FILE)
+    landed = landed.withColumn(ORDINAL, F.col(ORDINAL).withField("file", F.col(_FILE))).drop(_FILE)
 
     # the verdict on each row, on few columns
     sold = dimensions["products"].select("product_id", F.lit(True).alias("_sold"))
@@ -180,11 +185,13 @@ def landed(spark: SparkSession, feed: str, landing: str) -> DataFrame:
     their place in the split.
     """
     schema = STAR[feed].raw.add(MALFORMED, "boolean").add(_FILE, "string").add(_START, "long")
-    rows = spark.read.schema(schema).parquet(landing)
-    ordinal = F.struct(
-        in_path_order(F.col(_FILE)),
-        F.col(_START),
-        in_path_order(F.col("_metadata.file_path")),
-        F.col("_metadata.row_index"),
+    written = spark.read.schema(schema).parquet(landing)
+    rows = written.select(
+        *STAR[feed].columns, MALFORMED, _FILE, _START, F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.row_index").alias("_nth"),
     )
+    parts = spark.createDataFrame([(f,) for f in written.inputFiles()], "path string")
+    rows = with_path_order(rows, F.col("_path"), path_orders(parts), "_part")
+    rows = with_path_order(rows, F.col(_FILE), path_orders(written.select(F.col(_FILE).alias("path")).distinct()), "_of")
+    ordinal = F.struct("_of", _START, "_part", "_nth")
     return rows.select(*STAR[feed].columns, MALFORMED, ordinal.alias(ORDINAL))
