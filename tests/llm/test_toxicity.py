@@ -64,6 +64,46 @@ def test_held_out_accuracy(spark, write_tables):
     assert ((held["score"] >= 0.3) == (held["predicted"] == 1)).all() and held["score"].between(0, 1).all()
 
 
+def test_a_pair_of_neutral_terms_is_learned(spark, write_tables):
+    # toxic exactly if both words are there or neither is, so each word alone tells nothing
+    rng = np.random.default_rng(5)
+    rows, labels = [], []
+    for i in range(1600):
+        text = [f"w{j:03d}" for j in rng.integers(0, 200, 25)]
+        one, other = (rng.random(2) < 0.5).tolist()
+        text += ["amber"] * one + ["birch"] * other
+        rows.append((i, " ".join(text), "en", "web"))
+        labels.append((i, 1, int(one == other)))
+    got = toxicity.op9_fm_toxicity(spark, write_tables(rows, labels=labels)).where("held_out").toPandas()
+    truth = got["doc_id"].map({i: t for i, _, t in labels})
+    bad, good = got["score"][truth == 1].to_numpy(), got["score"][truth == 0].to_numpy()
+    assert (bad[:, None] > good[None, :]).mean() > 0.97
+
+
+def test_telling_pairs_are_those_of_brute_force():
+    rng = np.random.default_rng(6)
+    held = rng.random((400, 140)) < 0.4
+    held[:, 7] = held[:, 3]
+    labels = (held[:, 2] ^ held[:, 130]).astype(int)
+    labels[:40] = rng.integers(0, 2, 40)
+
+    def g(*columns):
+        cells = np.array([sum(c[d] << k for k, c in enumerate(columns)) for d in range(len(labels))])
+        n = [[((cells == c) & (labels == t)).sum() for t in (0, 1)] for c in np.unique(cells)]
+        share = np.bincount(labels) / len(labels)
+        return 2 * sum(x * np.log(x / (sum(row) * share[t])) for row in n for t, x in enumerate(row) if x)
+
+    bits = held.astype(int)
+    alone = [g(bits[:, i]) for i in range(140)]
+    some = [(2, 130), (3, 7), (0, 1), (129, 139)]
+    want = {p for p in some if g(bits[:, p[0]], bits[:, p[1]]) - alone[p[0]] - alone[p[1]] >= 5}
+    documents = [np.flatnonzero(row) for row in held]
+    found = {tuple(p) for p in toxicity.telling_pairs(documents, labels, 140, least=5, rows=64).tolist()}
+    assert found & set(some) == want and (2, 130) in want
+    assert toxicity.telling_pairs(documents, labels, 140).tolist() == [[2, 130]]
+    assert toxicity.telling_pairs([np.array([], int)] * 3, np.array([0, 1, 0]), 0).tolist() == []
+
+
 def test_held_out_labels_are_not_read(spark, write_tables):
     rows, labels = marked(200)
     other = [(i, q, 1 - t if zlib.crc32(str(i).encode()) % 4 == 2 else t) for i, q, t in labels]

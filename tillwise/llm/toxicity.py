@@ -1,8 +1,10 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A document is the set of its terms: words, the first bytes of words, which inflected and compounded forms
-share, and for first bytes also that several different words begin so. Terms are hashed into ``2^HASH_BITS`` buckets. Buckets are ranked by how unevenly toxic and clean training
-documents hold them (G statistic), and the ``TERMS`` most uneven ones are the machine's inputs:
+share, and for first bytes also that several different words begin so. Terms are hashed into ``2^HASH_BITS`` buckets.
+The machine's inputs are the ``TERMS`` buckets that toxic and clean training documents hold most unevenly (G statistic),
+and, of the ``FREQUENT`` buckets that divide the documents most evenly into with and without, every member of a pair that
+together tells much more of the label than its two members do alone (``LEAST_JOINT``):
 
     score = sigmoid(bias + sum of w_i + sum over pairs of <v_i, v_j>)
 
@@ -10,7 +12,8 @@ The pairs cost no more than the terms: the sum is half of (sum of v)^2 - sum of
 that two terms are harmless apart and harmful together; the product of their factors can.
 
 Learning uses at most ``SAMPLE`` labelled rows, those with the smallest hash of the id, so the driver holds
-``SAMPLE`` short lists of terms and a model of fixed size, whatever the size of the tables.
+``SAMPLE`` short lists of terms, two square tables of ``FREQUENT`` and a model of fixed size, whatever the size of the
+tables.
 
 Defined results: null and empty texts have no terms and get the bias's score; labels that are null are not
 learned from; a doc_id labelled more than once is learned once, as toxic if any label says so; with labels of one kind
@@ -37,6 +40,8 @@ HASH_BITS = 22
 TERMS = 8192
 SAMPLE = 20_000
 LEAST_GAIN = 6.0
+FREQUENT = 2048
+LEAST_JOINT = 45.0  # chance reaches 42 in one of the two million pairs of 2048 terms, once in a hundred corpora
 PREFIXES = (4, 5, 6)
 SEVERAL = (2, 3, 5)
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -170,6 +175,50 @@ def uneven_buckets(terms: DataFrame, toxic: int, clean: int, n: int = TERMS) ->
     return np.sort(np.array([r["bucket"] for r in top.collect()], np.int64))
 
 
+def common_buckets(terms: DataFrame, total: int, n: int = FREQUENT) -> np.ndarray:
+    """The ``n`` buckets whose rarer side, with or without, has most documents."""
+    counts = terms.select(F.explode("terms").alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    rarer = F.least("n", total - F.col("n"))
+    top = counts.where(rarer >= 3).orderBy(rarer.desc(), "bucket").limit(n).select("bucket")
+    return np.sort(np.array([r["bucket"] for r in top.collect()], np.int64))
+
+
+def _g(cells: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+    """G statistic of documents divided into ``cells``, each with its (clean, toxic) counts along the first axis."""
+    out = np.zeros(cells[0].shape[1:])
+    for seen in cells:
+        whole = np.maximum(seen.sum(0), 1)
+        for n, share in zip(seen, of / of.sum(), strict=True):
+            out += 2 * n * np.log(np.maximum(n, 1) / (whole * share))
+    return out
+
+
+def telling_pairs(documents: list[np.ndarray], labels: np.ndarray, terms: int, least: float = LEAST_JOINT, rows: int = 1024) -> np.ndarray:
+    """Pairs of terms whose four cells (both, either, none) divide toxic from clean by ``least`` more than each on its own.
+
+    Two terms that mean the same add nothing to each other; two that are neutral alone can tell all together.
+    """
+    both = np.zeros((2, terms, terms), np.float32)
+    for at in range(0, len(documents), rows):
+        flat, owner = flattened(documents[at : at + rows])
+        held = np.zeros((min(rows, len(documents) - at), terms), np.float32)
+        held[owner, flat] = 1
+        for label in (0, 1):
+            part = held[labels[at : at + rows] == label]
+            both[label] += part.T @ part
+    of = np.array([(labels == 0).sum(), (labels == 1).sum()], float)
+    each = both.diagonal(axis1=1, axis2=2).astype(float)
+    alone = _g([each, of[:, None] - each], of)
+    pairs = [np.zeros((0, 2), np.int64)]
+    for at in range(0, terms, 128):
+        one, other, joint = each[:, at : at + 128, None], each[:, None, :], both[:, at : at + 128].astype(float)
+        cells = [joint, one - joint, other - joint, of[:, None, None] - one - other + joint]
+        more = _g(cells, of) - alone[at : at + 128, None] - alone[None, :]
+        pairs.append(np.argwhere(more >= least) + [at, 0])
+    found = np.concatenate(pairs)
+    return found[found[:, 0] < found[:, 1]]
+
+
 class Scorer:
     """A machine with the buckets it reads, or one share for all where there was nothing to tell apart."""
 
@@ -184,6 +233,16 @@ class Scorer:
         return self.machine.scores([self.terms.of_text(t) for t in texts])
 
 
+def placed(terms: DataFrame, chosen: np.ndarray) -> pd.DataFrame:
+    """(toxic, places): the terms of each training document as positions in ``chosen``."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def places(terms: pd.Series) -> pd.Series:
+        return pd.Series([np.flatnonzero(np.isin(chosen, t)).tolist() for t in terms])
+
+    return terms.select("toxic", places("terms").alias("places")).toPandas()
+
+
 def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     @F.pandas_udf(T.ArrayType(T.IntegerType()))
     def all_terms(texts: pd.Series) -> pd.Series:
@@ -195,13 +254,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Scorer:
     total, toxic = seen.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).head()
     if not 0 < toxic < total:
         return Scorer(np.array([], np.int64), None, toxic / total if total else 0.0)
-    chosen = uneven_buckets(seen, toxic, total - toxic)
-
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def places(terms: pd.Series) -> pd.Series:
-        return pd.Series([np.flatnonzero(np.isin(chosen, t)).tolist() for t in terms])
-
-    held = seen.select("toxic", places("terms").alias("places")).toPandas()
+    common = common_buckets(seen, total)
+    held = placed(seen, common)
+    pairs = telling_pairs(held["places"].tolist(), held["toxic"].to_numpy(), len(common))
+    chosen = np.union1d(uneven_buckets(seen, toxic, total - toxic), common[np.unique(pairs)])
+    held = placed(seen, chosen)
     documents, marks = [list(p) for p in held["places"]], held["toxic"].to_numpy(float)
     # the same order on every run
     order = sorted(range(len(documents)), key=lambda i: (marks[i], documents[i]))
