@@ -559,5 +559,11 @@ _STATEMENTS = {
 }
 
 
+# the same reports, from partial sums
+_STATEMENTS |= {f"rolled_{n}": _STATEMENTS[n] for n in (
+    "monthly_trend", "revenue_by_category", "top_products", "revenue_by_region", "revenue_by_region_in_year",
+    "channel_share_in_year", "returns_by_category", "payment_breakdown")}
+
+
 def statements() -> dict[str, str]:
     return {name: _with_blocks(text) for name, text in _STATEMENTS.items()}

@@ -133,7 +133,12 @@ def read_months(spark: SparkSession, root: str, months: list[str | None], manife
     """The facts of some months; the others are not even listed."""
     parts = manifest.tables.get(FACTS, {})
     wanted = {part_of(m) for m in months}
-    return snapshots.read_parts(spark, root, {v: own for v, own in parts.items() if v in wanted}, _schema(FACTS))
+    return read_parts_of(spark, root, {v: own for v, own in parts.items() if v in wanted})
+
+
+def read_parts_of(spark: SparkSession, root: str, parts: Parts) -> DataFrame:
+    """The facts in the given parts of their table."""
+    return snapshots.read_parts(spark, root, parts, _schema(FACTS))
 
 
 def compact_months(spark: SparkSession, root: str, most_folders: int = 1) -> None:
