@@ -1,6 +1,8 @@
 import math
+import tracemalloc
 import zlib
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -42,7 +44,7 @@ class PlainTree:
         return sum(self.bits(data[i - self.order : i], data[i]) for i in range(self.order, len(data)))
 
 
-@pytest.mark.parametrize("order", [1, 2])
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
 def test_code_lengths_are_those_of_the_definition(spark, order):
     training = {"de": [GERMAN, "über"], "en": [ENGLISH, ENGLISH[5:60]]}
     docs = spark.createDataFrame([(t, la) for la, ts in training.items() for t in ts] + [(None, "en"), ("x", None)], "text string, lang string")
@@ -60,11 +62,32 @@ def test_code_lengths_are_those_of_the_definition(spark, order):
 def test_lengths_are_those_of_a_probability(spark):
     docs = spark.createDataFrame([(ENGLISH, "en")], "text string, lang string")
     models = langid.Models(langid.count_contexts(docs).toPandas())
-    table = 2.0 ** -models.bits[:, 0].reshape(models.width**2, models.width)
+    data = np.array([b"\0\0", *[ENGLISH.encode()[i : i + 2] for i in range(60)], b"qq", b"\xc3\xbc"])
+    contexts = np.array([c[0] << 8 | c[1] if len(c) == 2 else 0 for c in data.tolist()])
+    seen = np.unique(np.frombuffer(b"\0" + ENGLISH.encode(), np.uint8)).astype(int)
+    codes = (contexts[:, None] << 8) | np.append(seen, 255)
+    table = 2.0 ** -models.bits(codes.ravel())[:, 0].reshape(codes.shape)
     # escapes leave room unused, so sums stay at 1 or below
     assert table.sum(1).max() <= 1 + 1e-5
 
 
+def test_memory_follows_the_contexts_seen():
+    # a dense table of these would take 40 x 201^3 numbers
+    rng = np.random.default_rng(1)
+    langs, each = [f"l{i:02d}" for i in range(40)], 50_000
+    frames = []
+    for lang in langs:
+        code = np.unique(rng.integers(0, 200, (each, 3)) @ np.array([1 << 16, 1 << 8, 1]))
+        frames.append(pd.DataFrame({"lang": lang, "code": code, "n": rng.integers(1, 9, len(code))}))
+    counts = pd.concat(frames, ignore_index=True)
+    tracemalloc.start()
+    models = langid.Models(counts)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert models.width == 201 and held < 80 << 20 and peak < 200 << 20
+    assert models.total_bits(["abc", ""]).shape == (2, 40)
+
+
 def test_pieces_of_a_long_text(monkeypatch):
     counts = pd.DataFrame({"lang": "en", "code": [1, 2, 3 << 8 | 1], "n": [3, 1, 2]})
     models = langid.Models(counts)

@@ -5,12 +5,12 @@ training texts in Spark and then frozen. The code length of a byte after a conte
 its count there, if it has been seen (method C: count over total plus distinct), else the length of an escape
 plus the length after the next shorter context; below order 0 all byte classes are equally likely.
 
-With frozen statistics the length depends on the last ``order`` bytes only, so the tree is unrolled into one
-table of code lengths per (context, byte) and language, and a text costs one lookup and one sum per byte,
-in numpy. Bytes that no training text holds are one class: every tree escapes on them alike.
+With frozen statistics the length depends on the last ``order`` bytes only. Each tree is kept as sorted arrays, for every
+order the (context, byte) codes seen with their lengths and the contexts seen with their escapes. The distinct codes of a
+stretch of text are looked up by binary search, longest context first, and the lengths summed in numpy. Bytes that no
+training text holds are in no array, so every tree escapes on them alike.
 
-The table has (classes)^(order+1) entries per language, whatever the corpus; the driver and the tasks hold
-no more than that.
+Memory on the driver and in the tasks is in proportion to the contexts seen, 8 bytes for each and language and order.
 
 Defined results: null, empty and letterless texts are ``und`` with score 0; a text in which two languages
 need equally many bits gets the first of them by name; training skips null texts and null languages; with
@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwise.llm.text import in_fold, small_batches, table
+from tillwise.llm.text import in_fold, shared, small_batches, table
 
 ORDER = 2
 FOLDS, HELD = 5, 0
@@ -36,7 +36,7 @@ _CHUNK = 1 << 18
 
 def _codes(data: bytes, order: int) -> np.ndarray:
     """Each byte with the ``order`` bytes before it, as one number; a text begins after zero bytes."""
-    raw = np.frombuffer(b"\0" * order + data, np.uint8).astype(np.int32)
+    raw = np.frombuffer(b"\0" * order + data, np.uint8).astype(np.int32 if order < 3 else np.int64)
     code = raw[: len(raw) - order].copy()
     for i in range(1, order + 1):
         code = (code << 8) | raw[i : len(raw) - order + i]
@@ -87,46 +87,65 @@ def count_contexts(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
+class Tree:
+    """One language: for each order k, codes with their bits and contexts with the bits of an escape from them."""
+
+    def __init__(self, code: np.ndarray, n: np.ndarray, order: int):
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in range(order, -1, -1):
+            seen, where = np.unique(code & ((1 << 8 * (k + 1)) - 1), return_inverse=True)
+            times = np.bincount(where, n)
+            context, first, owner = np.unique(seen >> 8, return_index=True, return_inverse=True)
+            kinds = np.diff(np.append(first, len(seen)))
+            whole = np.log2(np.bincount(owner, times) + kinds)
+            escape, bits = whole - np.log2(kinds), whole[owner] - np.log2(times)
+            kind = np.int32 if k < 3 else np.int64
+            self.levels.append((seen.astype(kind), bits.astype(np.float32), context.astype(kind), escape.astype(np.float32)))
+
+    def bits(self, codes: np.ndarray, none: float) -> np.ndarray:
+        """Length of each code; ``none`` bits for a byte that no context has."""
+        out, open_ = np.zeros(len(codes)), np.arange(len(codes))
+        for k, (seen, bits, contexts, escapes) in zip(range(len(self.levels) - 1, -1, -1), self.levels, strict=True):
+            short = (codes[open_] & ((1 << 8 * (k + 1)) - 1)).astype(seen.dtype)
+            at, hit = _found(seen, short)
+            out[open_[hit]] += bits[at[hit]]
+            open_, short = open_[~hit], short[~hit]
+            at, known = _found(contexts, short >> 8)
+            out[open_[known]] += escapes[at[known]]
+        out[open_] += none
+        return out
+
+
+def _found(values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each wanted value among sorted ones, and whether it is there."""
+    at = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+    return at, values[at] == wanted
+
+
 class Models:
-    """Code lengths in bits: ``bits[context and byte, language]`` over byte classes."""
+    """A tree for each language, over the byte classes of all."""
 
     def __init__(self, counts: pd.DataFrame, order: int = ORDER):
         self.order = order
-        self.langs = sorted(counts["lang"].unique())
-        seen = np.unique(counts["code"].to_numpy(np.int64)[:, None] >> (8 * np.arange(order + 1)) & 255)
-        self.classes = np.full(256, len(seen), np.int32)
-        self.classes[seen] = np.arange(len(seen))
-        self.width = len(seen) + 1
-        tables = [self._lengths(counts[counts["lang"] == lang]) for lang in self.langs]
-        self.bits = np.stack(tables, axis=1).astype(np.float32) if tables else np.zeros((0, 0), np.float32)
-
-    def _lengths(self, counts: pd.DataFrame) -> np.ndarray:
-        code, w = counts["code"].to_numpy(np.int64), self.width
-        full = np.zeros((w,) * (self.order + 1))
-        at = tuple(self.classes[code >> (8 * i) & 255] for i in range(self.order, -1, -1))
-        np.add.at(full, at, counts["n"].to_numpy(np.float64))
-        shorter = np.full(w, np.log2(w))
-        for k in range(self.order + 1):
-            seen = full.sum(axis=tuple(range(self.order - k))) if k < self.order else full
-            total, kinds = seen.sum(-1, keepdims=True), (seen > 0).sum(-1, keepdims=True)
-            whole = np.maximum(total + kinds, 1)
-            escape = np.where(total > 0, np.log2(whole) - np.log2(np.maximum(kinds, 1)), 0.0)
-            coded = np.log2(whole) - np.log2(np.maximum(seen, 1))
-            shorter = np.where(seen > 0, coded, escape + shorter)
-        return shorter.reshape(-1)
-
-    def index(self, codes: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(codes), np.int32)
-        for i in range(self.order, -1, -1):
-            out = out * self.width + self.classes[codes >> (8 * i) & 255]
-        return out
+        code = counts["code"].to_numpy(np.int64)
+        self.width = len({int(b) for i in range(order + 1) for b in np.unique(code >> (8 * i) & 255)}) + 1
+        n = counts["n"].to_numpy(np.float64)
+        groups = counts.groupby("lang", sort=True).indices
+        self.langs = sorted(groups)
+        self.trees = [Tree(code[groups[lang]], n[groups[lang]], order) for lang in self.langs]
+
+    def bits(self, codes: np.ndarray) -> np.ndarray:
+        """Length of each code (rows) in every language (columns)."""
+        none = float(np.log2(self.width))
+        return np.stack([tree.bits(codes, none) for tree in self.trees], axis=1)
 
     def total_bits(self, texts: list[str | None]) -> np.ndarray:
         """Code length of every whole text (rows) in every language (columns)."""
         out = np.zeros((len(texts), len(self.langs)))
         for codes, runs in _joined(texts, self.order):
-            lengths = np.take(self.bits, self.index(codes), axis=0)
-            np.add.at(out, runs[:, 0], np.add.reduceat(lengths, runs[:, 1], axis=0, dtype=np.float64))
+            distinct, where = np.unique(codes, return_inverse=True)
+            lengths = np.take(self.bits(distinct), where, axis=0)
+            np.add.at(out, runs[:, 0], np.add.reduceat(lengths, runs[:, 1], axis=0))
         return out
 
     def predict(self, texts: list[str | None], lettered: list[bool]) -> pd.DataFrame:
@@ -144,7 +163,7 @@ class Models:
 
 
 def learn(docs: DataFrame, order: int = ORDER) -> Models:
-    """Models from all training rows; the driver receives the summed counts, bounded by languages x contexts."""
+    """Models from all training rows; the driver receives the summed counts, one for each language and code seen."""
     small_batches(docs.sparkSession)
     training = docs.where(~in_fold(F.col("doc_id"), FOLDS, HELD)).select("text", "lang")
     return Models(count_contexts(training, order).toPandas(), order)
@@ -152,14 +171,11 @@ def learn(docs: DataFrame, order: int = ORDER) -> Models:
 
 def predicted(models: Models, text: Column) -> Column:
     """struct(lang_pred, score) of a text column."""
-    # plain arrays: what tasks hold is the table once, not also its packed form
-    sent = SparkSession.active().sparkContext.broadcast(vars(models))
+    model = shared(SparkSession.active(), models)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(texts: pd.Series, lettered: pd.Series) -> pd.DataFrame:
-        held = Models.__new__(Models)
-        vars(held).update(sent.value)
-        return held.predict(texts.tolist(), lettered.tolist())
+        return model().predict(texts.tolist(), lettered.tolist())
 
     return predict(text, F.coalesce(text.rlike(r"\p{L}"), F.lit(False)))
 
