@@ -7,6 +7,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -16,7 +17,7 @@ from pyspark.sql import types as T
 
 from checks import oracle
 from tillwise.functions import dates, lookups, numbers, text
-from tillwise.operators import cleanse, conform, quality, ranking
+from tillwise.operators import cleanse, conform, joins, quality, ranking
 from tillwise.operators.dedupe import keep_first
 from tillwise.operators.joins import keep_known, null_unknown
 from tillwise.plans import dashboards, load, rfm, rollups, sales, sketches
@@ -156,6 +157,19 @@ def _price_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(conform.look_up_price(facts, raw_feed(spark, sf, "products")))
 
 
+_RUSH = ["1-URGENT", "2-HIGH"]  # two rows of five
+
+
+def _price_lookup_hot_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Prices by shuffle, as for products too many to broadcast, where one product has two fifths of the rows."""
+    product = F.when(F.col("payment_method").isin(_RUSH), F.lit("P1")).otherwise(F.col("product_id"))
+    facts = raw_feed(spark, sf, "transactions").select("transaction_id", product.alias("product_id"))
+    last = keep_first(raw_feed(spark, sf, "products"), "product_id", [F.col(ORDINAL).desc()])
+    prices = last.select("product_id", numbers.parse_price(F.col("sell_price")).alias("unit_price"))
+    hot = joins.hot_keys(facts, "product_id")
+    return _plain(joins.look_up_large(facts, prices, "product_id", F.col("transaction_id"), hot))
+
+
 def _channel_from_store(spark: SparkSession, sf: str) -> DataFrame:
     typed = cleanse.type_transactions(raw_feed(spark, sf, "transactions"))
     repaired = conform.conform_references(typed, **_dimensions(spark, sf))
@@ -299,6 +313,22 @@ def _load_audit(spark: SparkSession, sf: str) -> DataFrame:
     return load.load_audit(load.read_feeds(spark, raw_dir), loaded)
 
 
+def _observed_audits(spark: SparkSession, sf: str) -> DataFrame:
+    """The audits of all feeds as the load measured them on the way, a row for each number."""
+    raw_dir, root = _stage(spark, sf, list(STAR)), scratch_path(spark, "star")
+    load.load_star(spark, raw_dir, root, audit=True)
+    found = load.audits(spark, root)
+    parts = [
+        ("missing_keys", "missing", found["missing_keys"].selectExpr("table_name AS feed", "'key' AS subject", "missing")),
+        ("longest", "longest", found["too_long"].selectExpr("table_name AS feed", "column_name AS subject", "longest")),
+        ("too_long", "too_long", found["too_long"].selectExpr("table_name AS feed", "column_name AS subject", "too_long")),
+        ("too_large", "too_large", found["too_large"].selectExpr("table_name AS feed", "column_name AS subject", "too_large")),
+        ("defects", "row_count", found["defects"].selectExpr("feed", "defect AS subject", "row_count")),
+    ]
+    rows = [df.select(F.lit(n).alias("audit"), "feed", "subject", F.col(c).cast("long").alias("found")) for n, c, df in parts]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def _appended_transactions(spark: SparkSession, sf: str) -> DataFrame:
     _, root, loaded = _load(spark, sf)
     target = scratch_path(spark, "appended")
@@ -377,6 +407,26 @@ def _shuffled_csv(feed: str) -> Query:
     return run
 
 
+def _unlike_files(spark: SparkSession, sf: str, feed: str) -> str:
+    """The feed as files of two kinds: half of the rows with the columns in another order."""
+    path = scratch_path(spark, "unlike")
+    rows, columns = untouched_feed(spark, sf, feed), STAR[feed].columns
+    half = F.pmod(F.xxhash64(*columns), F.lit(2))
+    write_feed(rows.where(half == 0), f"{path}/a")
+    write_feed(rows.where(half == 1).select(*sorted(columns)), f"{path}/b")
+    return f"{path}/*"
+
+
+def _unlike_csv(feed: str) -> Query:
+    return lambda spark, sf: load.read_feed(spark, feed, _unlike_files(spark, sf, feed)).select(STAR[feed].columns)
+
+
+def _landed_unlike(spark: SparkSession, sf: str) -> DataFrame:
+    raw, landing = _unlike_files(spark, sf, "transactions"), scratch_path(spark, "landing")
+    incremental.land_feed(spark, "transactions", raw, landing, scratch_path(spark, "stream"), files_per_batch=8)
+    return incremental.landed(spark, "transactions", landing).select(STAR["transactions"].columns)
+
+
 # ---- the contract --------------------------------------------------------------------------------
 
 
@@ -441,6 +491,7 @@ def core_queries() -> dict[str, Query]:
         "null_orphan_stores": _null_orphans("store_id", "stores", "channel"),
         "line_totals": _over_feed("transactions", _line_totals),
         "price_lookup_default": _price_lookup,
+        "price_lookup_hot_key": _price_lookup_hot_key,
         "channel_from_store": _channel_from_store,
         "union_duplicate_customers": _stacked_customers,
         # recency, frequency, monetary
@@ -504,6 +555,9 @@ def core_queries() -> dict[str, Query]:
         "load_rejects": _load_rejects,
         "catalog_counts": _catalog_counts,
         **{f"csv_{n}_by_header": _shuffled_csv(n) for n in STAR},
+        **{f"csv_{n}_of_unlike_headers": _unlike_csv(n) for n in STAR},
+        "landed_of_unlike_headers": _landed_unlike,
+        "observed_audits": _observed_audits,
         "replaced_customer_rfm": _replaced_customer_rfm,
     }
 

@@ -280,6 +280,12 @@ def _stacked(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _missing() -> str:
+    return _stacked([
+        f"SELECT '{n}' AS table_name, count(*) FILTER ({t.key} IS NULL) AS missing FROM {n}_feed" for n, t in STAR.items()
+    ])
+
+
 def _too_long() -> str:
     return _stacked([
         f"""SELECT '{name}' AS table_name, '{c}' AS column_name, {n} AS declared,
@@ -426,6 +432,11 @@ _STATEMENTS = {
         SELECT t.transaction_id, t.product_id, CAST(coalesce(price, 9.99) AS DOUBLE) AS unit_price
         FROM transactions_feed t LEFT JOIN (SELECT product_id, {_SELL} AS price FROM products_feed) p
             ON t.product_id = p.product_id""",
+    "price_lookup_hot_key": f"""
+        SELECT transaction_id, t.product_id, CAST(price AS DOUBLE) AS unit_price
+        FROM (SELECT transaction_id, CASE WHEN payment_method IN ('1-URGENT', '2-HIGH') THEN 'P1' ELSE product_id END
+            AS product_id FROM transactions_feed) t
+        LEFT JOIN (SELECT product_id, {_SELL} AS price FROM products_feed) p ON t.product_id = p.product_id""",
     "channel_from_store": """
         SELECT transaction_id, store_id, CASE WHEN store_id IS NULL THEN 'Online' ELSE 'In-Store' END AS channel
         FROM repaired""",
@@ -478,10 +489,7 @@ _STATEMENTS = {
             FROM {n}_feed WHERE {t.key} IS NOT NULL GROUP BY {t.key} HAVING count(*) > 1"""
         for n, t in STAR.items()
     ]),
-    "missing_keys": _stacked([
-        f"SELECT '{n}' AS table_name, count(*) FILTER ({t.key} IS NULL) AS missing FROM {n}_feed"
-        for n, t in STAR.items()
-    ]),
+    "missing_keys": _missing(),
     "fk_orphans": _stacked([
         f"""SELECT '{k}' AS foreign_key, {k} AS orphan, count(*) AS row_count FROM transactions_feed
             WHERE {k} IS NOT NULL AND {k} NOT IN (SELECT {k} FROM clean_{d}) GROUP BY {k}"""
@@ -554,6 +562,14 @@ _STATEMENTS = {
     "load_accounting": _ACCOUNTS,
     "incremental_accounting": _ACCOUNTS,
     "catalog_counts": _stacked([_COUNT_FEED.format(n, "table_name", "row_count", c) for n, c in _KEYS.items()]),
+    **{f"csv_{n}_of_unlike_headers": f"SELECT {', '.join(STAR[n].columns)} FROM {n}_feed" for n in STAR},
+    "landed_of_unlike_headers": f"SELECT {', '.join(STAR['transactions'].columns)} FROM transactions_feed",
+    "observed_audits": f"""
+        SELECT 'missing_keys' AS audit, table_name AS feed, 'key' AS subject, missing AS found FROM ({_missing()})
+        UNION ALL SELECT 'longest', table_name, column_name, longest FROM ({_too_long()})
+        UNION ALL SELECT 'too_long', table_name, column_name, too_long FROM ({_too_long()})
+        UNION ALL SELECT 'too_large', table_name, column_name, too_large FROM ({_too_large()})
+        UNION ALL SELECT 'defects', feed, defect, row_count FROM ({_defects()})""",
     **{f"csv_{n}_by_header": f"SELECT {', '.join(STAR[n].columns)} FROM {n}_feed" for n in STAR},
     "replaced_customer_rfm": _CUSTOMER_RFM,
 }

@@ -4,9 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
+from tillwise.operators import quality
 from tillwise.plans import load
 from tillwise.schemas import FOREIGN_KEYS, STAR
-from tillwise.sources import keyindex, snapshots, warehouse
+from tillwise.sources import feeds, keyindex, snapshots, warehouse
 from tillwise.sources.feeds import ORDINAL, read_feed, write_feed
 from tillwise.streaming import incremental
 
@@ -219,14 +220,77 @@ def test_columns_are_read_by_the_header(spark, raw_dir, tmp_path):
     found = load.TYPERS["stores"](read_feed(spark, "stores", str(folder))).first()
     assert (found.store_id, found.store_name, found.num_staff, found.store_size_sqft) == ("S1", "North", 10, 2000)
     assert str(found.opening_date) == "2019-01-01" and found._reject is None
-    (folder / "part-1.csv").write_text(",".join(STAR["stores"].columns) + "\n" + ",".join("x" * 9) + "\n")
-    with pytest.raises(Exception, match="header"):
-        read_feed(spark, "stores", str(folder)).collect()
     (tmp_path / "short.csv").write_text("store_id,name\nS1,North\n")
     with pytest.raises(ValueError, match=r"missing columns \['store_name'.*unknown columns \['name'\]"):
         read_feed(spark, "stores", str(tmp_path / "short.csv"))
 
 
+def unlike_files(folder, feed):
+    """Files of one feed: columns in two orders, one file empty, one with its header only, a name with odd characters."""
+    folder.mkdir()
+    plain = STAR[feed].columns
+    swapped = [*plain[1:], plain[0]]
+
+    def line(n, names):
+        return ",".join(f'"{c}, {n}"' for c in names)
+
+    texts = {
+        "part-2.csv": [line("header", plain).replace(", header", ""), line(2, plain), line(3, plain), "one cell"],
+        "part-10.csv": ["", ",".join(swapped), line(10, swapped)],
+        "part-1 [a]%20{b}.csv": [",".join(swapped), line(1, swapped)],
+        "part-4.csv": [], "part-5.csv": [",".join(plain)],
+    }
+    for name, lines in texts.items():
+        (folder / name).write_text("".join(f"{each}\n" for each in lines))
+    return [[f"{c}, {n}" for c in plain] for n in (1, 2, 3, 10)]
+
+
+def test_files_of_unlike_headers_are_one_feed(spark, tmp_path):
+    want = unlike_files(tmp_path / "raw", "stores")
+    for multiline in (False, True):
+        feed = read_feed(spark, "stores", str(tmp_path / "raw"), multiline)
+        got = feed.repartition(3).orderBy(ORDINAL).where("NOT _malformed").select(STAR["stores"].columns)
+        assert [list(r) for r in got.collect()] == want
+        assert [r._malformed for r in feed.collect()].count(True) == 1
+    # as many scans as orders of columns
+    assert plan_of(feed.select("*")).count("FileScan csv") == 2
+    (tmp_path / "raw" / "part-3.csv").write_text("store_id,store_id\nS1,S1\n")
+    with pytest.raises(ValueError, match=r"unknown columns \['store_id'\]"):
+        read_feed(spark, "stores", str(tmp_path / "raw"))
+
+
+def test_the_header_probe_leaves_the_session_alone(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a,b\n" + "1,2\n" * 300_000)
+    (tmp_path / "other.csv").write_text('"b",a\n1,2\n')
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    found = feeds.headers(spark, str(tmp_path))
+    assert {h: len(f) for h, f in found.items()} == {("a", "b"): 1, ("b", "a"): 1}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+
+
+def test_files_of_unlike_headers_land_by_batches(spark, tmp_path):
+    want = unlike_files(tmp_path / "raw", "stores")
+    landing, checkpoint = str(tmp_path / "landing"), str(tmp_path / "stream")
+    arguments = (spark, "stores", str(tmp_path / "raw"), landing, checkpoint, 2)
+    incremental.land_feed(*arguments)
+    incremental.land_feed(*arguments)
+    got = incremental.landed(spark, "stores", landing).where("NOT _malformed").orderBy(ORDINAL).select(STAR["stores"].columns)
+    assert [list(r) for r in got.collect()] == want
+
+
+def test_batches_of_unlike_headers_equal_one_load(spark, raw_dir, tmp_path):
+    lines = [line.split(",") for line in TRANSACTIONS[1].splitlines()]
+    (tmp_path / "raw" / "transactions" / "part-00001.csv").write_text("".join(",".join(c[::-1]) + "\n" for c in lines))
+    one, many = str(tmp_path / "one"), str(tmp_path / "many")
+    whole = load.load_star(spark, raw_dir, one)["transactions"]
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, many)
+    incremental.load_new_files(
+        spark, f"{raw_dir}/transactions", many, str(tmp_path / "landing"), str(tmp_path / "stream"), files_per_batch=1)
+    by_batch = warehouse.read_table(spark, many, "transactions")
+    assert whole.count() == 5
+    assert rows(by_batch, *whole.columns) == rows(whole, *whole.columns)
+
+
 def test_malformed_mark_under_any_projection(spark, tmp_path):
     lines = [",".join(STAR["stores"].columns), "S1" + "," * 9, "S2,two cells", "S3" + "," * 8]
     (tmp_path / "stores.csv").write_text("\n".join(lines) + "\n")
@@ -259,6 +323,44 @@ def test_every_row_is_accounted_for(spark, raw_dir, tmp_path):
         ("transactions", "T4", "transaction_date: unreadable"), ("transactions", "T6", "total_value: unreadable")]
 
 
+def test_audits_are_taken_while_the_feeds_are_typed(spark, raw_dir, tmp_path, monkeypatch):
+    root, scans = str(tmp_path / "star"), []
+    real = load.materialise
+
+    def spied(df, label):
+        scans.append((label, plan_of(df).count("FileScan csv")))
+        return real(df, label)
+
+    monkeypatch.setattr(load, "materialise", spied)
+    load.load_star(spark, raw_dir, root, audit=True)
+    # each feed is scanned where it is typed and nowhere else
+    assert [s for s in scans if s[1]] == [(f"typed-{n}", 1) for n in ("customers", "products", "stores", "transactions")]
+    found, raw = load.audits(spark, root), load.read_feeds(spark, raw_dir)
+    for name, report in (("missing_keys", quality.missing_keys), ("too_long", quality.too_long),
+                         ("too_large", quality.too_large), ("defects", quality.defects)):
+        want = report(raw)
+        assert found[name].dtypes == want.dtypes
+        assert rows(found[name], *want.columns) == rows(want, *want.columns)
+    load.load_star(spark, raw_dir, root)
+    assert load.audits(spark, root) == {}
+
+
+def test_audits_of_empty_feeds(spark, raw_dir, tmp_path):
+    raw = {n: df.limit(0) for n, df in load.read_feeds(spark, raw_dir).items()}
+    root = str(tmp_path / "star")
+    load.load_dimensions(raw, root, audit=True)
+    found = load.audits(spark, root)["defects"]
+    assert {(r.row_count, r.pct) for r in found.collect()} == {(0, None)}
+
+
+def test_a_load_by_shuffle_sees_hot_keys(spark, raw_dir, tmp_path, no_broadcast, monkeypatch):
+    seen = {}
+    real = load.repair
+    monkeypatch.setattr(load, "repair", lambda facts, c, s, hot: real(facts, c, s, seen.update(hot) or hot))
+    whole = load.load_star(spark, raw_dir, str(tmp_path / "star"))["transactions"]
+    assert whole.count() == 5 and set(seen) == set(FOREIGN_KEYS) and "P2" in seen["product_id"]
+
+
 def test_a_failed_load_keeps_the_old_tables(spark, raw_dir, tmp_path):
     root = str(tmp_path / "star")
     load.load_star(spark, raw_dir, root)

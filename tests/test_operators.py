@@ -6,7 +6,7 @@ from tests.conftest import plan_of
 from tillwise.functions.numbers import ratio
 from tillwise.operators import quality, ranking
 from tillwise.operators.dedupe import keep_first
-from tillwise.operators.joins import fits_broadcast, keep_known, null_unknown, sum_by_labels
+from tillwise.operators.joins import fits_broadcast, hot_keys, keep_known, look_up_large, null_unknown, sum_by_labels
 from tillwise.operators.shares import histogram, share_of_total
 
 
@@ -74,6 +74,53 @@ def test_lookups_large_dimension(facts, dimension, no_broadcast):
     assert summed.index("SortMergeJoin") < summed.index("partial_count")
 
 
+@pytest.fixture
+def two_fifths(spark):
+    """20,000 rows: one key has two fifths of them, another is hot but unknown, some have none."""
+    rest = F.concat(F.lit("c"), F.col("id") % 4000)
+    key = F.when(F.col("id") % 5 < 2, F.lit("c7")).when(F.col("id") % 10 == 3, F.lit("gone")).when(F.col("id") % 50 == 4, None)
+    return spark.range(20_000, numPartitions=4).select(F.col("id"), key.otherwise(rest).alias("k"))
+
+
+@pytest.fixture
+def big_side(spark):
+    side = spark.range(4000).select(F.concat(F.lit("c"), F.col("id")).alias("k"), F.when(F.col("id") != 9, F.col("id")).alias("v"))
+    return side.unionByName(spark.createDataFrame([(None, 1)], "k string, v long"))
+
+
+def test_hot_keys_are_found_by_their_share(two_fifths):
+    assert set(hot_keys(two_fifths, "k")) == {"c7", "gone"}
+    assert hot_keys(two_fifths.where("k IS NULL"), "k") == [] and hot_keys(two_fifths.limit(0), "k") == []
+
+
+@pytest.mark.parametrize("hot", [None, [], ["c7"], ["c7", "gone", "nowhere"]])
+def test_hot_keys_change_no_row(two_fifths, big_side, no_broadcast, hot):
+    got = look_up_large(two_fifths, big_side, "k", F.col("id"), hot)
+    assert got.columns == ["id", "k", "v"]
+    want = [(r.id, r.k, None if r.k in (None, "gone", "c9") else int(r.k[1:])) for r in two_fifths.collect()]
+    assert rows(got) == sorted(want, key=str)
+    with pytest.raises(ValueError, match="hot"):
+        look_up_large(two_fifths, big_side, "k", F.col("id"), ["x"] * 65)
+
+
+def test_hot_keys_are_spread_over_the_tasks_of_the_join(spark, two_fifths, big_side, no_broadcast):
+    def sizes(hot):
+        joined = look_up_large(two_fifths, big_side, "k", F.col("id"), hot).select(F.spark_partition_id().alias("task"))
+        return sorted(r["count"] for r in joined.groupBy("task").count().collect())
+
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain, spread = sizes(None), sizes(hot_keys(two_fifths, "k"))
+        plan = plan_of(look_up_large(two_fifths, big_side, "k", F.col("id"), ["c7"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert sum(plain) == sum(spread) == 20_000 and len(spread) == 4
+    assert plain[-1] > 3 * plain[1] and spread[-1] < 1.5 * spread[1]
+    # the facts are read once, and shuffled once
+    assert plan.count("Range (0, 20000") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
 def test_broadcast_is_judged_by_size(spark, tmp_path, dimension):
     small = str(tmp_path / "small")
     dimension.write.parquet(small)

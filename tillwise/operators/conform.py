@@ -37,10 +37,11 @@ def conform_typed(
     return repair(first_accepted(sold, "transaction_id", strict), customers, stores)
 
 
-def repair(facts: DataFrame, customers: DataFrame, stores: DataFrame) -> DataFrame:
-    """Unknown customers and stores become null."""
-    spread = F.col("transaction_id")
-    return null_unknown(null_unknown(facts, stores, "store_id", spread), customers, "customer_id", spread)
+def repair(facts: DataFrame, customers: DataFrame, stores: DataFrame, hot: dict[str, list] | None = None) -> DataFrame:
+    """Unknown customers and stores become null. ``hot`` lists frequent keys by column."""
+    spread, hot = F.col("transaction_id"), hot or {}
+    facts = null_unknown(facts, stores, "store_id", spread, hot.get("store_id"))
+    return null_unknown(facts, customers, "customer_id", spread, hot.get("customer_id"))
 
 
 def derive_channel(facts: DataFrame) -> DataFrame:

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 _NULL_SPREAD = 1024
 
+HOT = 64  # keys at most that a join treats by themselves
+TRACKED = 4096  # keys that the sketch of the frequent ones keeps in a task
+
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether the optimizer's size estimate is within the session's broadcast threshold.
@@ -33,28 +36,67 @@ def keep_known(facts: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return facts.join(dimension.select(key), key, "left_semi").select(facts.columns)
 
 
-def look_up(facts: DataFrame, side: DataFrame, key: str, spread_by: Column) -> DataFrame:
+def top_keys(key: str) -> Column:
+    """The most frequent values of ``key`` with their counts, by a sketch of bounded size that merges over tasks.
+
+    Counts are upper bounds, too high by 3.5 / ``TRACKED`` of all rows at most. The aggregate can be observed while the
+    rows are on their way somewhere else, so it needs no pass of its own.
+    """
+    return F.expr(f"approx_top_k(`{key}`, {HOT}, {TRACKED})")
+
+
+def hot_of(found: list | None, rows: int) -> list:
+    """The keys that ``top_keys`` found in at least one of ``HOT`` rows, so there are ``HOT`` at most."""
+    return [top["item"] for top in found or [] if top["item"] is not None and top["count"] * HOT >= rows]
+
+
+def hot_keys(facts: DataFrame, key: str) -> list:
+    """The keys that hold at least one of ``HOT`` rows each; one narrow pass over the facts."""
+    found = facts.agg(top_keys(key).alias("top"), F.count(F.lit(1)).alias("n")).first()
+    return hot_of(found.top, found.n)
+
+
+def look_up(facts: DataFrame, side: DataFrame, key: str, spread_by: Column, hot: list | None = None) -> DataFrame:
     """Left join: all fact columns, then the columns of ``side`` but its key, which must be unique.
 
-    Null keys match nothing, yet a shuffle would send them all to one task. So where ``side`` is too
-    big to broadcast, null keys are replaced by many different ones; a leading letter keeps these
-    apart from real keys. A hot real key is left to adaptive skew-join, which can split the fact
-    side of a left join.
+    A ``side`` too big to broadcast is joined as ``look_up_large`` does.
     """
-    side = side.where(F.col(key).isNotNull())
     if fits_broadcast(side):
+        side = side.where(F.col(key).isNotNull())
         return facts.join(side, key, "left").select(*facts.columns, *[c for c in side.columns if c != key])
+    return look_up_large(facts, side, key, spread_by, hot)
+
+
+def look_up_large(facts: DataFrame, side: DataFrame, key: str, spread_by: Column, hot: list | None = None) -> DataFrame:
+    """``look_up`` by shuffle, where no key may gather its rows in one task.
+
+    Null keys match nothing, yet a shuffle would send them all to one task, so they are replaced by many different ones;
+    a leading letter keeps these apart from real keys. ``hot`` lists keys with many rows (see ``hot_keys``): their rows of
+    ``side``, one for each key, are broadcast, and facts with such a key are spread like nulls. The facts are read once
+    and stay in one frame. A hot key that is not listed is left to adaptive skew join, which can split the fact side of
+    a left join: the list changes the plan, never the result.
+    """
+    side, others = side.where(F.col(key).isNotNull()), [c for c in side.columns if c != key]
+    away, given = F.col(key).isNull(), {c: F.col(f"_side.{c}") for c in others}
+    rows = facts
+    if hot:
+        if len(hot) > HOT:
+            raise ValueError(f"more than {HOT} hot keys")
+        few = side.where(F.col(key).isin(hot)).select(key, F.struct(*others).alias("_few"))
+        rows = facts.join(F.broadcast(few), key, "left")
+        is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+        away, given = away | is_hot, {c: F.when(is_hot, F.col(f"_few.{c}")).otherwise(g) for c, g in given.items()}
     spread = F.pmod(F.xxhash64(spread_by), F.lit(_NULL_SPREAD)).cast("string")
     real = F.concat(F.lit("k"), F.col(key).cast("string"))
-    tagged = side.withColumn("_match", real).drop(key)
-    spread_facts = facts.withColumn("_match", F.coalesce(real, F.concat(F.lit("n"), spread)))
-    return spread_facts.join(tagged, "_match", "left").drop("_match")
+    tagged = side.select(real.alias("_match"), F.struct(*others).alias("_side"))
+    rows = rows.withColumn("_match", F.when(away, F.concat(F.lit("n"), spread)).otherwise(real)).join(tagged, "_match", "left")
+    return rows.select(*facts.columns, *[g.alias(c) for c, g in given.items()])
 
 
-def null_unknown(facts: DataFrame, dimension: DataFrame, key: str, spread_by: Column) -> DataFrame:
+def null_unknown(facts: DataFrame, dimension: DataFrame, key: str, spread_by: Column, hot: list | None = None) -> DataFrame:
     """Keep every row; a key the dimension lacks becomes null. ``key`` must be unique in the dimension."""
     known = dimension.select(key, F.col(key).alias("_known"))
-    found = look_up(facts, known, key, spread_by)
+    found = look_up(facts, known, key, spread_by, hot)
     return found.select([F.col("_known").alias(c) if c == key else F.col(c) for c in facts.columns])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import parse_iso_date
@@ -34,11 +34,7 @@ def duplicate_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 def missing_keys(tables: dict[str, DataFrame]) -> DataFrame:
     """(table_name, missing) number of rows without a key."""
-    return _stack([
-        df.agg(F.count_if(F.col(STAR[name].key).isNull()).alias("missing"))
-        .select(F.lit(name).alias("table_name"), "missing")
-        for name, df in tables.items()
-    ])
+    return _stack([_report(name, "missing_keys", _measured(name, df, "missing_keys")) for name, df in tables.items()])
 
 
 def orphans(facts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
@@ -60,13 +56,7 @@ def orphans(facts: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
 
 def too_long(feeds: dict[str, DataFrame]) -> DataFrame:
     """(table_name, column_name, declared, longest, too_long) per VARCHAR column, one scan a table."""
-    return _stack([
-        _per_column(name, df, STAR[name].lengths, lambda c, n: [
-            F.max(F.length(c)).cast("int").alias("longest"),
-            F.count_if(F.length(c) > n).alias("too_long"),
-        ], lambda n: F.lit(n).alias("declared"))
-        for name, df in feeds.items()
-    ])
+    return _stack([_report(name, "too_long", _measured(name, df, "too_long")) for name, df in feeds.items()])
 
 
 def too_large(feeds: dict[str, DataFrame]) -> DataFrame:
@@ -74,72 +64,109 @@ def too_large(feeds: dict[str, DataFrame]) -> DataFrame:
 
     Text that is no number at all is not counted here.
     """
-    def measure(c: str, kind) -> list[Column]:
-        number = F.replace(F.col(c), F.lit("£"), F.lit(""))
-        overflow = number.try_cast("double").isNotNull() & number.try_cast(kind).isNull()
-        return [F.count_if(overflow).alias("too_large")]
-
     return _stack([
-        _per_column(name, df, STAR[name].decimals, measure,
-                    lambda kind: F.lit(kind.simpleString()).alias("declared"))
-        for name, df in feeds.items() if STAR[name].decimals
+        _report(name, "too_large", _measured(name, df, "too_large")) for name, df in feeds.items() if STAR[name].decimals
     ])
 
 
-def _per_column(name: str, df: DataFrame, limits: dict, measure, declared) -> DataFrame:
-    """Aggregate all columns of a table in one pass, then turn the one row into a row per column."""
-    structs = [F.struct(*measure(c, limit)).alias(c) for c, limit in limits.items()]
-    one_row = df.agg(*structs)
-    cells = [
-        F.struct(F.lit(c).alias("column_name"), declared(limit), F.col(c).alias("found"))
-        for c, limit in limits.items()
-    ]
-    return one_row.select(F.explode(F.array(*cells)).alias("cell")).select(
-        F.lit(name).alias("table_name"), "cell.column_name", "cell.declared", "cell.found.*"
-    )
-
-
 def defects(feeds: dict[str, DataFrame]) -> DataFrame:
     """(feed, defect, row_count, pct) for the known defects of the four raw feeds, one scan a feed."""
+    return _stack([_report(name, "defects", _measured(name, df, "defects")) for name, df in feeds.items()])
+
+
+def _defects(feed: str) -> dict[str, Column]:
     name, region = F.col("full_name"), F.col("region")
     other_case = ((name == F.upper(name)) | (name == F.lower(name))) & (name != title_case(name))
-    checks = {
-        "customers": {
-            "name in one case": F.count_if(other_case),
-            "repeated id": _rows() - F.count_distinct("customer_id")
-            - F.max(F.col("customer_id").isNull().cast("int")),
-        },
+    not_iso = F.col("opening_date").isNotNull() & parse_iso_date(F.col("opening_date")).isNull()
+    return {
+        "customers": {"name in one case": F.count_if(other_case)},
         "products": {
             "price with pound sign": F.count_if(F.contains("sell_price", F.lit("£"))),
             "cost missing": F.count_if(F.col("cost_price").isNull()),
         },
         "stores": {
-            "date not ISO": F.count_if(
-                F.col("opening_date").isNotNull() & parse_iso_date(F.col("opening_date")).isNull()
-            ),
-            "region variant": F.count_if(harmonise_region(region) != region),
+            "date not ISO": F.count_if(not_iso), "region variant": F.count_if(harmonise_region(region) != region),
         },
         "transactions": {
             "guest checkout": F.count_if(F.col("customer_id").isNull()),
             "no store": F.count_if(F.col("store_id").isNull()),
         },
-    }
-    found = []
-    for feed, df in feeds.items():
-        measured = df.agg(_rows().alias("all_rows"), *[m.alias(d) for d, m in checks[feed].items()])
-        cells = [
-            F.struct(F.lit(d).alias("defect"), F.coalesce(F.col(f"`{d}`"), F.lit(0)).alias("row_count"))
-            for d in checks[feed]
-        ]
-        rows = measured.select("all_rows", F.explode(F.array(*cells)).alias("cell")).select(
-            "all_rows", "cell.*"
-        )
-        found.append(rows.select(
-            F.lit(feed).alias("feed"), "defect", "row_count",
-            F.round(F.try_divide(F.col("row_count").cast("decimal(20,0)") * 100, F.col("all_rows")), 1)
-            .alias("pct"),
-        ))
-    return _stack(found)
+    }[feed]
+
+
+def _overflows(column: str, kind) -> Column:
+    number = F.replace(F.col(column), F.lit("£"), F.lit(""))
+    return F.count_if(number.try_cast("double").isNotNull() & number.try_cast(kind).isNull())
+
+
+def _repeated(key: str) -> Column:
+    return _rows() - F.count_distinct(key) - F.max(F.col(key).isNull().cast("int"))
+
+
+def _wanted(feed: str, report: str) -> dict[str, Column]:
+    """What a report needs of a feed, by name: aggregates of one pass."""
+    table = STAR[feed]
+    if report == "too_long":
+        longest = {f"longest:{c}": F.max(F.length(c)).cast("int") for c in table.lengths}
+        return longest | {f"too_long:{c}": F.count_if(F.length(c) > n) for c, n in table.lengths.items()}
+    if report == "too_large":
+        return {f"too_large:{c}": _overflows(c, kind) for c, kind in table.decimals.items()}
+    if report == "missing_keys":
+        return {"missing": F.count_if(F.col(table.key).isNull())}
+    return {"rows": _rows()} | {f"defect:{d}": m for d, m in _defects(feed).items()}
+
+
+_REPEATED = "defect:repeated id"
+REPORTS = ["missing_keys", "too_long", "too_large", "defects"]
+
+
+def measures(feed: str) -> list[Column]:
+    """All that can be observed of a feed on its way: what the reports need, but for repeated ids."""
+    return [m.alias(n) for report in REPORTS for n, m in _wanted(feed, report).items()]
+
+
+def repeated_ids(df: DataFrame, feed: str) -> dict[str, int]:
+    """The one measure that takes a distinct count, where a report has it."""
+    return {_REPEATED: df.agg(_repeated(STAR[feed].key)).first()[0]} if feed == "customers" else {}
+
+
+def _measured(feed: str, df: DataFrame, report: str) -> DataFrame:
+    wanted = _wanted(feed, report)
+    if report == "defects" and feed == "customers":
+        wanted[_REPEATED] = _repeated(STAR[feed].key)
+    return df.agg(*[m.alias(n) for n, m in wanted.items()])
+
+
+def _report(feed: str, report: str, measured: DataFrame) -> DataFrame:
+    """The rows of a report from the one row of its measures."""
+    table, cell = STAR[feed], lambda name: F.col(f"`{name}`")
+    if report == "missing_keys":
+        return measured.select(F.lit(feed).alias("table_name"), "missing")
+    if report == "defects":
+        names = [n for n in measured.columns if n.startswith("defect:")]
+        cells = [F.struct(F.lit(n[7:]).alias("defect"), F.coalesce(cell(n), F.lit(0)).cast("long").alias("row_count")) for n in names]
+        pct = F.round(F.try_divide(F.col("row_count").cast("decimal(20,0)") * 100, F.col("rows")), 1)
+        rows = measured.select("rows", F.inline(F.array(*cells)))
+        return rows.select(F.lit(feed).alias("feed"), "defect", "row_count", pct.alias("pct"))
+    limits = table.lengths if report == "too_long" else {c: kind.simpleString() for c, kind in table.decimals.items()}
+    counts = ["longest", "too_long"] if report == "too_long" else ["too_large"]
+    cells = [
+        F.struct(F.lit(c).alias("column_name"), F.lit(limit).alias("declared"), *[cell(f"{n}:{c}").alias(n) for n in counts])
+        for c, limit in limits.items()
+    ]
+    return measured.select(F.lit(feed).alias("table_name"), F.inline(F.array(*cells)))
+
+
+def reports(spark: SparkSession, measured: dict[str, dict[str, int]]) -> dict[str, DataFrame]:
+    """The reports by name, from measures taken before: by feed, those of ``measures`` and ``repeated_ids``."""
+    frames: dict[str, list[DataFrame]] = {}
+    for feed, values in measured.items():
+        kind = ", ".join(f"`{n}` {'int' if n.startswith('longest:') else 'long'}" for n in values)
+        row = spark.createDataFrame([tuple(values.values())], kind)
+        for report in REPORTS:
+            if report != "too_large" or STAR[feed].decimals:
+                frames.setdefault(report, []).append(_report(feed, report, row))
+    return {report: _stack(each) for report, each in frames.items()}
 
 
 def near_duplicates(customers: DataFrame) -> DataFrame:

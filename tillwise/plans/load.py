@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillwise.operators import quality
 from tillwise.operators.cleanse import REJECT, ROW, TYPERS, accepted, left_out, rejected, without
 from tillwise.operators.conform import repair
-from tillwise.operators.joins import look_up
-from tillwise.operators.quality import duplicate_keys
-from tillwise.schemas import STAR
+from tillwise.operators.joins import fits_broadcast, hot_of, look_up, top_keys
+from tillwise.schemas import FOREIGN_KEYS, STAR
 from tillwise.sources import snapshots
 from tillwise.sources.feeds import read_feed
 from tillwise.sources.scratch import materialise
@@ -23,6 +23,9 @@ DIMENSIONS = ["customers", "products", "stores"]
 READ = "rows read"  # note of the store: rows of each feed that came in
 
 
+AUDITS = "audits"  # note of the store: what the last whole load measured of each feed
+
+
 def rejects_table(feed: str) -> str:
     """Name of the table of rows that a feed's load left out."""
     return f"rejects-{feed}"
@@ -33,22 +36,25 @@ def read_feeds(spark: SparkSession, raw_dir: str, multiline: bool = False) -> di
     return {name: read_feed(spark, name, f"{raw_dir.rstrip('/')}/{name}", multiline) for name in STAR}
 
 
-def load_dimensions(feeds: dict[str, DataFrame], root: str, strict: bool = False) -> None:
+def load_dimensions(feeds: dict[str, DataFrame], root: str, strict: bool = False, audit: bool = False) -> None:
     """Clean and write the dimensions among ``feeds``, and what of them is left out."""
     for name in [n for n in DIMENSIONS if n in feeds]:
         if strict and name != "customers":
             _refuse_duplicates(name, feeds[name])
-        _load(feeds[name], root, name, strict)
+        _load(feeds[name], root, name, strict, audit=audit)
 
 
-def load_transactions(raw: DataFrame, root: str, strict: bool = False, mode: str = "overwrite") -> None:
+def load_transactions(
+    raw: DataFrame, root: str, strict: bool = False, mode: str = "overwrite", audit: bool = False
+) -> None:
     """Conform the facts to the dimensions already loaded and write them by month, and what is left out."""
     dimensions = {name: read_table(raw.sparkSession, root, name) for name in DIMENSIONS}
-    _load(raw, root, "transactions", strict, dimensions, mode)
+    _load(raw, root, "transactions", strict, dimensions, mode, audit)
 
 
 def _load(
-    raw: DataFrame, root: str, name: str, strict: bool, dimensions: dict[str, DataFrame] | None = None, mode: str = "overwrite"
+    raw: DataFrame, root: str, name: str, strict: bool, dimensions: dict[str, DataFrame] | None = None, mode: str = "overwrite",
+    audit: bool = False,
 ) -> None:
     """Load one feed: its table, the rows left out and the count of rows change together.
 
@@ -56,10 +62,17 @@ def _load(
     products, repeated ids) is a short table of row numbers, also made once; the table is all other rows.
     """
     spark, key = raw.sparkSession, STAR[name].key
-    counted = Observation(f"raw {name}")
-    typed = TYPERS[name](raw).observe(counted, F.count(F.lit(1)).alias("rows"))
+    counted, found = Observation(f"raw {name}"), Observation(f"audit {name}")
+    if audit:
+        raw = raw.observe(found, *quality.measures(name))
+    typed = TYPERS[name](raw)
+    # frequent keys of the dimensions that are joined by a shuffle
+    shuffled = [k for k, owner in FOREIGN_KEYS.items() if dimensions and not fits_broadcast(dimensions[owner])]
+    typed = typed.observe(counted, F.count(F.lit(1)).alias("rows"), *[top_keys(k).alias(k) for k in shuffled])
     # written with the rows, so that a number stays with its row
     typed = materialise(typed.withColumn(ROW, F.monotonically_increasing_id()), f"typed-{name}")
+    read = counted.get["rows"]
+    hot = {k: hot_of(counted.get[k], read) for k in shuffled}
     if strict:
         worst = typed.where(F.col(REJECT).isNotNull()).select(REJECT).head()
         if worst:
@@ -68,12 +81,12 @@ def _load(
     rows = typed
     if dimensions:
         sold = dimensions["products"].select("product_id", F.lit(True).alias("_sold"))
-        rows = look_up(typed, sold, "product_id", F.col(key))
+        rows = look_up(typed, sold, "product_id", F.col(key), hot.get("product_id"))
         unknown = F.when(F.col("_sold").isNull(), F.lit("product_id: unknown"))
     out = materialise(left_out(rows, key, unknown), f"out-{name}")
     kept = without(accepted(typed), out)
     if dimensions:
-        kept = repair(kept, dimensions["customers"], dimensions["stores"])
+        kept = repair(kept, dimensions["customers"], dimensions["stores"], hot)
     wrong = rejected(typed, name).unionByName(out.select(F.lit(name).alias("feed"), "row_key", "reason"))
     wrong = wrong.select([F.col(c).cast("string").alias(c) for c in REJECTS.names])
     lost = snapshots.write_folder(wrong, root)
@@ -82,28 +95,34 @@ def _load(
         parts = None
     else:
         parts = written(kept, root, name)
-    read = counted.get["rows"]
+    audited = {}
+    if audit:
+        # ids that come again are counted in the written rows: one narrow column
+        audited = {**found.get, **quality.repeated_ids(typed, name)}
 
     def recorded(state: snapshots.Manifest) -> snapshots.Manifest:
         new = placed(state, name, parts) if parts is not None else state
         new = new.with_table(rejects_table(name), lost)
-        return new.with_note(READ, {**new.notes.get(READ, {}), name: read})
+        new = new.with_note(READ, {**new.notes.get(READ, {}), name: read})
+        audits = {k: v for k, v in new.notes.get(AUDITS, {}).items() if k != name}
+        return new.with_note(AUDITS, {**audits, name: audited} if audit else audits)
 
     snapshots.change(spark, root, recorded)
 
 
 def load_star(
-    spark: SparkSession, raw_dir: str, root: str, strict: bool = False, multiline: bool = False
+    spark: SparkSession, raw_dir: str, root: str, strict: bool = False, multiline: bool = False, audit: bool = False
 ) -> dict[str, DataFrame]:
     """Load everything, dimensions before facts, over whatever an earlier load left.
 
     Lenient by default: rows that cannot be loaded are left out, see ``rejects`` and ``accounting``.
     ``strict`` fails on the first row with a bad cell, and on a product or store id that comes twice; a table
-    that fails keeps its old rows. ``multiline`` allows line breaks inside quoted cells.
+    that fails keeps its old rows. ``multiline`` allows line breaks inside quoted cells. ``audit`` measures the feeds
+    while they are typed, see ``audits``.
     """
     feeds = read_feeds(spark, raw_dir, multiline)
-    load_dimensions(feeds, root, strict)
-    load_transactions(feeds["transactions"], root, strict)
+    load_dimensions(feeds, root, strict, audit)
+    load_transactions(feeds["transactions"], root, strict, audit=audit)
     state = snapshots.current(spark, root)
     return {name: read_table(spark, root, name, state) for name in STAR}
 
@@ -130,8 +149,16 @@ def accounting(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def audits(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """What ``quality`` reports of the feeds, as the last whole load measured it: nothing is read again.
+
+    By name: ``missing_keys``, ``too_long``, ``too_large`` and ``defects``, for the feeds that were loaded with ``audit``.
+    """
+    return quality.reports(spark, snapshots.current(spark, root).notes.get(AUDITS, {}))
+
+
 def _refuse_duplicates(name: str, raw: DataFrame) -> None:
-    twice = duplicate_keys({name: raw}).limit(1).collect()
+    twice = quality.duplicate_keys({name: raw}).limit(1).collect()
     if twice:
         raise ValueError(f"{name}: {STAR[name].key} {twice[0].row_key} comes {twice[0].copies} times")
 

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from collections.abc import Iterator
+from functools import reduce
+from urllib.parse import unquote
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +23,9 @@ ORDINAL = "_ordinal"
 MALFORMED = "_malformed"
 _CORRUPT = "_corrupt_record"
 
+# Where a row was read: URI of the file, start of the split, number that grows within the split.
+FILE, SPLIT, NTH = "_feed_file", "_split_start", "_nth"
+
 # Quotes are doubled inside a quoted cell, as spreadsheets and pandas write them.
 CSV_OPTIONS = {
     "header": "true",
@@ -24,7 +34,7 @@ CSV_OPTIONS = {
     "escape": '"',
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": _CORRUPT,
-    # Every file's header must name the columns of the schema in its order.
+    # A file's header must name the columns of the schema in its order.
     "enforceSchema": "false",
     # Pruned columns are not parsed, and a row's cells would not be counted.
     "columnPruning": "false",
@@ -32,17 +42,70 @@ CSV_OPTIONS = {
 _PLAIN = {k: CSV_OPTIONS[k] for k in ("header", "encoding", "quote", "escape")}
 
 
-def csv_schema(spark: SparkSession, table: Table, path: str) -> T.StructType:
-    """The feed's columns in the order of its header, plus the one that receives the text of a malformed row.
+_LINES = 16  # of a file are looked at for its header
+_ALONE = 1 << 40  # bytes; files are not packed together below it
+
+
+def _first_lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The first line that is not blank; the rest of the file is not read."""
+    for frame in batches:
+        written = frame[frame["value"].str.strip() != ""]
+        if len(written):
+            yield written.head(1)
+            return
 
-    Columns are found by name; a missing or an unknown one is an error, as is a file whose header differs.
+
+def headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files under ``paths`` by the columns their headers name, as URIs. Files without any line are left out.
+
+    A task opens one file and stops at its first line. What the driver gets is the list of files, which it holds for
+    every scan anyway.
     """
-    found = spark.read.options(**_PLAIN).csv(path).columns
-    missing = [c for c in table.columns if c not in found]
-    unknown = [c for c in found if c not in table.columns]
+    # settings of a session of its own: one file to a task, a few lines to a batch
+    probe = spark.newSession()
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        probe.conf.set(f"spark.sql.files.{key}", str(_ALONE))
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_LINES))
+    lines = probe.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    lines = lines.where("file_block_start = 0").select("value", "file_path")
+    found: dict[tuple[str, ...], list[str]] = {}
+    for line, file in sorted(tuple(r) for r in lines.mapInPandas(_first_lines, "value string, file_path string").collect()):
+        found.setdefault(tuple(next(csv.reader([line]))), []).append(file)
+    return found
+
+
+def csv_schema(table: Table, header: tuple[str, ...]) -> T.StructType:
+    """The feed's columns in the order of a header, plus the one that receives the text of a malformed row.
+
+    Columns are found by name; a missing, an unknown or a repeated one is an error.
+    """
+    missing = [c for c in table.columns if c not in header]
+    unknown = [c for i, c in enumerate(header) if c not in table.columns or c in header[:i]]
     if missing or unknown:
         raise ValueError(f"{table.name}: missing columns {missing}, unknown columns {unknown}")
-    return T.StructType([T.StructField(c, T.StringType()) for c in [*found, _CORRUPT]])
+    return T.StructType([T.StructField(c, T.StringType()) for c in [*header, _CORRUPT]])
+
+
+def literal(path: str) -> str:
+    """``path`` with no character of it a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def scan(spark: SparkSession, feed: str, files: dict[tuple[str, ...], list[str]], multiline: bool = False) -> DataFrame:
+    """Rows of ``files`` (by header) as text columns, with malformed mark, file, split and number within the split.
+
+    Files of the same header are one scan, so there are as many scans as orders of columns.
+    """
+    table = STAR[feed]
+    scans = []
+    for header, uris in (files or {(): []}).items():
+        reader = spark.read.schema(csv_schema(table, header)).options(**CSV_OPTIONS)
+        raw = reader.option("multiLine", str(multiline).lower()).csv([literal(unquote(u)) for u in uris])
+        scans.append(raw.select(
+            *table.columns, is_malformed().alias(MALFORMED), F.col("_metadata.file_path").alias(FILE),
+            F.col("_metadata.file_block_start").alias(SPLIT), F.monotonically_increasing_id().alias(NTH),
+        ))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def is_malformed() -> Column:
@@ -80,21 +143,17 @@ def normalise(raw: DataFrame, table: Table) -> DataFrame:
 def read_feed(spark: SparkSession, feed: str, path: str, multiline: bool = False) -> DataFrame:
     """Read one feed (a file or a directory of files) as text columns, ordinal and malformed mark.
 
-    Columns are read by the names in the header. Rows are numbered by file name, position of the split in the file, and row within the split.
+    Columns are read by the names in the header of each file, so files may have them in different orders. Rows are
+    numbered by file name, position of the split in the file, and row within the split.
     ``monotonically_increasing_id`` alone would follow the scan's packing of splits into tasks,
     which goes by size. ``multiline`` allows line breaks inside quoted cells, at the price of one
     task per file.
     """
     table = STAR[feed]
-    reader = spark.read.schema(csv_schema(spark, table, path)).options(**CSV_OPTIONS)
-    raw = reader.option("multiLine", str(multiline).lower()).csv(path)
-    rows = raw.select(
-        *table.columns, is_malformed().alias(MALFORMED), F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.file_block_start").alias("_split"), F.monotonically_increasing_id().alias("_nth"),
-    )
-    files = spark.createDataFrame([(f,) for f in raw.inputFiles()], "path string")
-    rows = with_path_order(rows, F.col("_path"), path_orders(files), "_file")
-    ordinal = F.struct(F.col("_file").alias("file"), F.col("_split").alias("split"), F.col("_nth").alias("row"))
+    found = headers(spark, path)
+    names = spark.createDataFrame([(f,) for files in found.values() for f in files], "path string")
+    rows = with_path_order(scan(spark, feed, found, multiline), F.col(FILE), path_orders(names), "_order_of_file")
+    ordinal = F.struct(F.col("_order_of_file").alias("file"), F.col(SPLIT).alias("split"), F.col(NTH).alias("row"))
     return normalise(rows.select(*table.columns, ordinal.alias(ORDINAL), MALFORMED), table)
 
 

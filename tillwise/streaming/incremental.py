@@ -2,53 +2,59 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillwise.functions.dates import month_label
-from tillwise.functions.text import null_if_token
 from tillwise.operators.cleanse import REJECT, accepted, type_transactions
 from tillwise.operators.conform import repair
 from tillwise.operators.joins import look_up
 from tillwise.plans.load import DIMENSIONS, READ, rejects_table
 from tillwise.schemas import STAR
 from tillwise.sources import keyindex, snapshots
-from tillwise.sources.feeds import (
-    CSV_OPTIONS,
-    MALFORMED,
-    ORDINAL,
-    csv_schema,
-    is_malformed,
-    path_orders,
-    with_path_order,
-)
+from tillwise.sources.feeds import FILE, MALFORMED, NTH, ORDINAL, SPLIT, headers, literal, normalise, path_orders, scan, with_path_order
 from tillwise.sources.scratch import discard, materialise
 from tillwise.sources.warehouse import FACTS, MONTH, REJECTS, indexed, part_of, read_months, read_table, written
 
-_FILE, _START = "_feed_file", "_split_start"
 _KEY = STAR[FACTS].key
 
+# What Spark's source of whole files declares.
+_LISTED = "path string, modificationTime timestamp, length long, content binary"
+
 # Note of the store: the last batch of each stream that is in the tables.
 BATCHES = "batches"
 
 
-def _new_rows(spark: SparkSession, feed: str, raw_dir: str, files_per_batch: int, multiline: bool) -> DataFrame:
-    """Stream of a feed's rows as text, with the malformed mark, file and split."""
-    raw = (
-        spark.readStream.schema(csv_schema(spark, STAR[feed], raw_dir))
-        .options(**CSV_OPTIONS)
-        .option("multiLine", str(multiline).lower())
-        .option("maxFilesPerTrigger", files_per_batch)
-        .csv(raw_dir)
-    )
-    return raw.select(
-        *[null_if_token(F.col(c)).alias(c) for c in STAR[feed].columns],
-        is_malformed().alias(MALFORMED),
-        F.col("_metadata.file_path").alias(_FILE),
-        F.col("_metadata.file_block_start").alias(_START),
+def _new_files(spark: SparkSession, raw_dir: str, checkpoint: str, files_per_batch: int, take: Callable[[list[str], int], None]) -> None:
+    """Call ``take`` with the new files of a folder, batch by batch, then stop.
+
+    The stream has the names of files only: their content is not asked for, so nothing is read here, and each batch can
+    read its files by their own headers. A batch that did not end is run again with the same files.
+    """
+
+    def each(rows: DataFrame, batch: int) -> None:
+        # at most ``files_per_batch`` names
+        take([r.path for r in rows.collect()], batch)
+
+    names = spark.readStream.format("binaryFile").schema(_LISTED).option("maxFilesPerTrigger", files_per_batch)
+    found = names.load(raw_dir).select("path")
+    (
+        found.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+        .awaitTermination()
     )
 
 
+def _rows_of(spark: SparkSession, feed: str, paths: list[str], multiline: bool) -> DataFrame | None:
+    """Rows of files as text, with malformed mark, file, split and number; nothing if all are empty."""
+    found = headers(spark, [literal(p) for p in paths])
+    return normalise(scan(spark, feed, found, multiline), STAR[feed]) if found else None
+
+
 def load_new_files(
     spark: SparkSession,
     raw_dir: str,
@@ -71,24 +77,19 @@ def load_new_files(
     time. ``landing`` holds the typed rows of the batch under way.
     """
 
-    def take(rows: DataFrame, batch: int) -> None:
+    def take(paths: list[str], batch: int) -> None:
         state = snapshots.current(spark, root)
         done = state.notes.get(BATCHES, {})
         if done.get(checkpoint, -1) >= batch:
             return
-        place = F.struct(F.col(_FILE).alias("file"), F.col(_START).alias("split"), F.monotonically_increasing_id().alias("row"))
-        state = _taken(rows.withColumn(ORDINAL, place), root, f"{landing}/batch={batch}", state)
+        rows = _rows_of(spark, FACTS, paths, multiline)
+        if rows is not None:
+            place = F.struct(F.col(FILE).alias("file"), F.col(SPLIT).alias("split"), F.col(NTH).alias("row"))
+            state = _taken(rows.withColumn(ORDINAL, place).drop(NTH), root, f"{landing}/batch={batch}", state)
         snapshots.commit(spark, root, state.with_note(BATCHES, {**done, checkpoint: batch}))
         discard(spark, f"{landing}/batch={batch}")
 
-    rows = _new_rows(spark, FACTS, raw_dir, files_per_batch, multiline)
-    (
-        rows.writeStream.foreachBatch(take)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    _new_files(spark, raw_dir, checkpoint, files_per_batch, take)
 
 
 def _taken(raw: DataFrame, root: str, folder: str, state: snapshots.Manifest) -> snapshots.Manifest:
@@ -102,8 +103,8 @@ def _taken(raw: DataFrame, root: str, folder: str, state: snapshots.Manifest) ->
     landed = spark.read.schema(typed.schema).parquet(folder)
     # one row for each file of the batch
     files = path_orders(landed.select(F.col(f"{ORDINAL}.file").alias("path")).distinct())
-    landed = with_path_order(landed, F.col(f"{ORDINAL}.file"), files, _FILE)
-    landed = landed.withColumn(ORDINAL, F.col(ORDINAL).withField("file", F.col(_FILE))).drop(_FILE)
+    landed = with_path_order(landed, F.col(f"{ORDINAL}.file"), files, FILE)
+    landed = landed.withColumn(ORDINAL, F.col(ORDINAL).withField("file", F.col(FILE))).drop(FILE)
 
     # the verdict on each row, on few columns
     sold = dimensions["products"].select("product_id", F.lit(True).alias("_sold"))
@@ -162,36 +163,29 @@ def land_feed(
 ) -> None:
     """Append the rows of all files not yet seen to the landing table, then stop.
 
-    The query is a plain map, without state or shuffle, so each task writes its rows in file order.
-    File source and file sink keep their logs in ``checkpoint`` and ``landing``: a run that dies is
-    resumed by the next one without losing or repeating a file.
+    Each batch of files is a plain map, without shuffle, into a folder of its own. The landing table is a snapshot: the
+    folder and the number of its batch are committed together, so a run that dies is resumed by the next one without
+    losing or repeating a file.
     """
-    rows = _new_rows(spark, feed, raw_dir, files_per_batch, multiline)
-    (
-        rows.writeStream.format("parquet")
-        .option("path", landing)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
 
+    def take(paths: list[str], batch: int) -> None:
+        state = snapshots.current(spark, landing)
+        done = state.notes.get(BATCHES, {})
+        if done.get(checkpoint, -1) >= batch:
+            return
+        rows = _rows_of(spark, feed, paths, multiline)
+        if rows is not None:
+            parts = snapshots.added(state.tables.get(feed, {}), snapshots.write_folder(rows, landing))
+            state = state.with_table(feed, parts)
+        snapshots.commit(spark, landing, state.with_note(BATCHES, {**done, checkpoint: batch}))
 
-def landed(spark: SparkSession, feed: str, landing: str) -> DataFrame:
-    """Everything landed so far, like ``read_feed``: text columns, malformed mark, ordinal.
+    _new_files(spark, raw_dir, checkpoint, files_per_batch, take)
 
-    Rows of one split were written by one task in order, so their place in the parquet files is
-    their place in the split.
-    """
-    schema = STAR[feed].raw.add(MALFORMED, "boolean").add(_FILE, "string").add(_START, "long")
-    written = spark.read.schema(schema).parquet(landing)
-    rows = written.select(
-        *STAR[feed].columns, MALFORMED, _FILE, _START, F.col("_metadata.file_path").alias("_path"),
-        F.col("_metadata.row_index").alias("_nth"),
-    )
-    parts = spark.createDataFrame([(f,) for f in written.inputFiles()], "path string")
-    rows = with_path_order(rows, F.col("_path"), path_orders(parts), "_part")
-    rows = with_path_order(rows, F.col(_FILE), path_orders(written.select(F.col(_FILE).alias("path")).distinct()), "_of")
-    ordinal = F.struct("_of", _START, "_part", "_nth")
-    return rows.select(*STAR[feed].columns, MALFORMED, ordinal.alias(ORDINAL))
+
+def landed(spark: SparkSession, feed: str, landing: str) -> DataFrame:
+    """Everything landed so far, like ``read_feed``: text columns, malformed mark, ordinal."""
+    schema = STAR[feed].raw.add(MALFORMED, "boolean").add(FILE, "string").add(SPLIT, "long").add(NTH, "long")
+    written = snapshots.read(spark, landing, feed, schema)
+    orders = path_orders(written.select(F.col(FILE).alias("path")).distinct())
+    rows = with_path_order(written, F.col(FILE), orders, "_of")
+    return rows.select(*STAR[feed].columns, MALFORMED, F.struct("_of", SPLIT, NTH).alias(ORDINAL))
