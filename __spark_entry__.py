@@ -193,6 +193,12 @@ def _rank_quintiles(totals: DataFrame) -> DataFrame:
     return rfm.score(totals, rfm.fit(totals)).select("customer_id", "f_score", "m_score")
 
 
+def _selected_quintiles(totals: DataFrame) -> DataFrame:
+    """The quintiles with cuts bracketed by a sample much smaller than the table."""
+    cuts = rfm.fit(totals, sample=max(1, totals.count() // 4))
+    return rfm.score(totals, cuts).select("customer_id", "f_score", "m_score")
+
+
 def _frequency_ranks(totals: DataFrame) -> DataFrame:
     ranks = ranking.first_rank(totals, "customer_id", "frequency")
     return ranks.withColumnRenamed("rank", "first_rank")
@@ -504,6 +510,7 @@ def core_queries() -> dict[str, Query]:
         "recency_quintiles": _over_totals(_recency_quintiles),
         "frequency_ranks": _over_totals(_frequency_ranks),
         "rank_quintiles": _over_totals(_rank_quintiles),
+        "rank_quintiles_by_selection": _over_totals(_selected_quintiles),
         "rfm_scores": _over_totals(_scores),
         "rfm_segments": _over_scores(lambda df: df.select(
             "customer_id", "r_score", "f_score", "m_score", "segment")),

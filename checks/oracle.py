@@ -460,6 +460,7 @@ _STATEMENTS = {
     "recency_quintiles": "SELECT customer_id, recency, r_score FROM scored",
     "frequency_ranks": "SELECT customer_id, frequency, f_rank AS first_rank FROM ranked",
     "rank_quintiles": "SELECT customer_id, f_score, m_score FROM scored",
+    "rank_quintiles_by_selection": "SELECT customer_id, f_score, m_score FROM scored",
     "rfm_scores": """
         SELECT customer_id, recency, frequency, CAST(monetary AS DOUBLE) AS monetary, r_score, f_score, m_score,
             rfm_score FROM rfm""",

@@ -139,6 +139,46 @@ def test_rank_quintiles_are_those_of_qcut(spark, n):
     assert got == dict(zip(frame["k"], want))
 
 
+@pytest.fixture
+def measured(spark):
+    """20,000 rows: a measure of few values, one of them on half of the rows, and a spread one, some of it missing."""
+    few = F.when(F.col("id") % 2 == 0, 3).otherwise(F.col("id") % 7).cast("int").alias("few")
+    spread = F.when(F.col("id") % 11 != 0, F.pmod(F.xxhash64("id"), F.lit(10**6)) / 100).cast("decimal(12,2)").alias("spread")
+    return spark.range(20_000, numPartitions=4).select(F.format_string("c%05d", F.pmod(F.col("id") * 7919, F.lit(20_000))).alias("k"), few, spread)
+
+
+def whole_cuts(df):
+    frame = sorted((tuple(r) for r in df.collect()), key=lambda r: r[0])
+    out = {}
+    for at, name in ((1, "few"), (2, "spread")):
+        order = sorted(frame, key=lambda r: (r[at] is not None, r[at] or 0, r[0]))
+        out[name] = [(order[b * (len(order) - 1) // 5][at], order[b * (len(order) - 1) // 5][0]) for b in (1, 2, 3, 4)]
+    return out
+
+
+@pytest.mark.parametrize(("sample", "sigmas"), [(4000, 6), (500, 6), (40, 6), (1, 6), (4000, 0), (10**6, 6)])
+def test_selected_cuts_are_those_of_a_sort(measured, monkeypatch, sample, sigmas):
+    monkeypatch.setattr(ranking, "_SIGMAS", sigmas)
+    assert ranking.rank_cuts(measured, "k", ["few", "spread"], sample=sample) == whole_cuts(measured)
+
+
+def test_cuts_are_selected_without_sorting_all_rows(measured, monkeypatch):
+    sorted_rows, real = [], ranking._positions
+
+    def spied(long):
+        sorted_rows.append(long.count())
+        return real(long)
+
+    monkeypatch.setattr(ranking, "_positions", spied)
+    ranking.rank_cuts(measured, "k", ["few", "spread"], sample=4000)
+    # the sample, then what lies inside of eight brackets, ties or not
+    assert len(sorted_rows) == 2 and sorted_rows[0] < 2 * 4400 and sorted_rows[1] < 0.5 * 2 * 20_000
+
+
+def test_cuts_of_nothing(spark):
+    assert ranking.rank_cuts(spark.range(0).selectExpr("id AS k", "id AS v"), "k", ["v"], sample=1) == {"v": []}
+
+
 def test_first_rank_with_one_value_for_most(spark):
     df = spark.range(500).select(
         F.format_string("c%04d", "id").alias("k"),

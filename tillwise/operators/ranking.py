@@ -1,4 +1,4 @@
-"""Ranks and quintiles over whole tables without gathering them in one task.
+"""Ranks and quintiles over whole tables without gathering them in one task, cuts without sorting them.
 
 ``row_number`` over an unpartitioned window sorts everything in one task. Here the table is sorted
 by a range shuffle, each sorted task numbers its own rows, and the numbers before each task are
@@ -7,13 +7,20 @@ added from a table with one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwise.sources.scratch import materialise
 
 
+SAMPLE = 1 << 20  # rows that bracket the cuts
+_SIGMAS = 6
+
+
 def _common_type(kinds: list[T.DataType]) -> T.DataType:
     """A type that holds every value of each measure and orders it alike."""
     if len({k.simpleString() for k in kinds}) == 1:
@@ -37,10 +44,18 @@ def sorted_positions(df: DataFrame, id_col: str, measures: list[str]) -> DataFra
     The sort keys are unique, so ties in the measure, however many, are split between tasks. The
     result is a written table, because range boundaries are sampled anew on every run.
     """
+    return _positions(_long(df, id_col, measures))
+
+
+def _long(df: DataFrame, id_col: str, measures: list[str]) -> DataFrame:
+    """(measure, value, id): a row for each measure."""
     common = _common_type([df.schema[m].dataType for m in measures])
     pairs = ", ".join(f"'{m}', CAST({m} AS {common.simpleString()})" for m in measures)
-    long = df.selectExpr(f"{id_col} AS id", f"stack({len(measures)}, {pairs}) AS (measure, value)")
-    ordered = long.select("measure", "value", "id").orderBy("measure", "value", "id")
+    return df.selectExpr(f"{id_col} AS id", f"stack({len(measures)}, {pairs}) AS (measure, value)").select("measure", "value", "id")
+
+
+def _positions(long: DataFrame) -> DataFrame:
+    ordered = long.orderBy("measure", "value", "id")
     return materialise(ordered.withColumn("pos", F.monotonically_increasing_id()), "positions")
 
 
@@ -78,29 +93,93 @@ def first_rank(df: DataFrame, id_col: str, measure: str) -> DataFrame:
     )
 
 
-def rank_cuts(df: DataFrame, id_col: str, measures: list[str], buckets: int = 5) -> dict[str, list[tuple]]:
-    """For each measure the last (value, id) of every bucket but the highest.
-
-    Buckets split the ranks 1..n at the linear quantiles of the ranks, right-closed: bucket b ends
-    at rank 1 + floor(b * (n - 1) / buckets). That is not ``ntile``, which sizes buckets otherwise
-    unless n mod buckets is 0 or 1. Only (buckets - 1) rows per measure reach the driver.
-    """
-    positions = sorted_positions(df, id_col, measures)
-    last_rank = F.expr(f"1 + (b * (total - 1)) DIV {buckets}")
+def _rows_at(positions: DataFrame, wanted: dict[str, dict[int, int]]) -> dict[tuple[str, int], tuple]:
+    """(value, id) by measure and label, for the rank (from 1) that ``wanted`` names; ranks nobody has are left out."""
+    cells = [(m, label, rank) for m, ranks in wanted.items() for label, rank in ranks.items()]
+    if not cells:
+        return {}
+    asked = positions.sparkSession.createDataFrame(cells, "measure string, label long, rank long")
     ends = (
         _spans(positions)
-        .withColumn("b", F.explode(F.sequence(F.lit(1), F.lit(buckets - 1))))
-        .withColumn("rank", last_rank)
+        .join(F.broadcast(asked), "measure")
         .where((F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("n")))
-        .select("measure", "b", (F.col("first_pos") + F.col("rank") - F.col("before") - 1).alias("pos"))
+        .select("measure", "label", (F.col("first_pos") + F.col("rank") - F.col("before") - 1).alias("pos"))
         .collect()
     )
-    wanted = sorted({row.pos for row in ends})
-    rows = {r.pos: (r.value, r.id) for r in positions.where(F.col("pos").isin(wanted)).collect()}
-    cuts: dict[str, list[tuple]] = {m: [] for m in measures}
-    for row in sorted(ends, key=lambda r: (r.measure, r.b)):
-        cuts[row.measure].append(rows[row.pos])
-    return cuts
+    places = sorted({row.pos for row in ends})
+    rows = {r.pos: (r.value, r.id) for r in positions.where(F.col("pos").isin(places)).collect()}
+    return {(row.measure, row.label): rows[row.pos] for row in ends}
+
+
+def _within(value: Column, ident: Column, cut: tuple) -> Column:
+    """Whether a row stands at the cut or before it; rows without a value stand first."""
+    return F.coalesce((value < F.lit(cut[0])) | ((value == F.lit(cut[0])) & (ident <= F.lit(cut[1]))), F.lit(True))
+
+
+def _brackets(size: int, sampled: int, last_ranks: dict[int, int]) -> Iterator[tuple[int, int, int]]:
+    """(bucket, low, high): ranks in the sample that lie around each wanted rank.
+
+    A sample rank errs by the deviation of a draw without replacement; ``_SIGMAS`` of it on either side.
+    """
+    for b, rank in last_ranks.items():
+        share = rank / size
+        spread = _SIGMAS * math.sqrt(sampled * share * (1 - share) * (1 - sampled / size)) + 1
+        yield b, math.floor(share * sampled - spread), math.ceil(share * sampled + spread)
+
+
+def rank_cuts(df: DataFrame, id_col: str, measures: list[str], buckets: int = 5, sample: int = SAMPLE) -> dict[str, list[tuple]]:
+    """For each measure the last (value, id) of every bucket but the highest.
+
+    Buckets split the ranks 1..n at the linear quantiles of the ranks, right-closed: bucket b ends
+    at rank 1 + floor(b * (n - 1) / buckets). That is not ``ntile``, which sizes buckets otherwise
+    unless n mod buckets is 0 or 1.
+
+    The cuts are selected, not sorted out: about ``sample`` rows, chosen by the hash of their id, are ranked and bracket
+    each cut. One scan counts the rows before each bracket and keeps the few inside, and only these are ranked. Brackets
+    are of (value, id), so ties, however many, do not widen them. The counts prove each cut; should one lie outside its
+    bracket, the table is sorted whole. Ids must be unique. Only two rows for each cut reach the driver.
+    """
+    size = df.count()
+    last_ranks = {b: 1 + b * (size - 1) // buckets for b in range(1, buckets)} if size else {}
+    long = _long(df, id_col, measures)
+    if size > sample:
+        found = _selected(df, long, id_col, measures, size, last_ranks, sample)
+    else:
+        found = _rows_at(_positions(long), {m: last_ranks for m in measures})
+    if len(found) < len(measures) * len(last_ranks):
+        found = _rows_at(_positions(long), {m: last_ranks for m in measures})
+    return {m: [found[m, b] for b in last_ranks] for m in measures}
+
+
+def _selected(
+    df: DataFrame, long: DataFrame, id_col: str, measures: list[str], size: int, last_ranks: dict[int, int], sample: int
+) -> dict[tuple[str, int], tuple]:
+    """The cuts by measure and bucket, without those that lie outside their brackets."""
+    chosen = F.pmod(F.xxhash64("id", F.lit(19)), F.lit(1 << 40)) < math.ceil(sample / size * (1 << 40))
+    ranked = _positions(long.where(chosen))
+    sampled = ranked.count() // len(measures)
+    sides = {b: (low, high) for b, low, high in _brackets(size, sampled, last_ranks)}
+    # low ends under label 2b, high ends under 2b + 1; an end beyond the sample is open
+    asked = {2 * b + i: rank for b, ends in sides.items() for i, rank in enumerate(ends) if 1 <= rank <= sampled}
+    ends = _rows_at(ranked, {m: asked for m in measures})
+
+    common, ident = dict(long.dtypes)["value"], F.col(id_col)
+    before, inside = [], []
+    for m in measures:
+        value = F.col(m).cast(common)
+        for b in last_ranks:
+            low, high = (ends.get((m, 2 * b + i)) for i in (0, 1))
+            # an end without a value is open as well
+            under = F.lit(False) if low is None or low[0] is None else _within(value, ident, low)
+            upto = F.lit(True) if high is None or high[0] is None else _within(value, ident, high)
+            before.append(F.count_if(under).alias(f"{m}:{b}"))
+            cell = F.struct(F.lit(f"{m}:{b}").alias("measure"), value.alias("value"), ident.alias("id"))
+            inside.append(F.when(~under & upto, cell))
+    counted = Observation()
+    few = df.observe(counted, *before).select(F.inline(F.filter(F.array(*inside), lambda c: c.isNotNull())))
+    positions = _positions(materialise(few, "brackets"))
+    ranks = {f"{m}:{b}": {b: rank - counted.get[f"{m}:{b}"]} for m in measures for b, rank in last_ranks.items()}
+    return {(m.rsplit(":", 1)[0], b): row for (m, b), row in _rows_at(positions, ranks).items()}
 
 
 def bucket_by_cuts(measure: str, id_col: str, cuts: list[tuple]) -> Column:

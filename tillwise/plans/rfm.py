@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillwise.functions.lookups import action_for
 from tillwise.functions.numbers import round_half_even
 from tillwise.functions.segments import segment_of_scores
-from tillwise.operators.ranking import bucket_by_cuts, rank_cuts
+from tillwise.operators.ranking import SAMPLE, bucket_by_cuts, rank_cuts
 from tillwise.operators.shares import histogram
 from tillwise.plans.sales import sales
 from tillwise.schemas import CUSTOMER_RFM_COLUMNS
@@ -125,9 +125,11 @@ def summary(totals: DataFrame) -> DataFrame:
     )
 
 
-def fit(totals: DataFrame) -> Cuts:
+def fit(totals: DataFrame, sample: int = SAMPLE) -> Cuts:
     """Find the fifths. Raises where they are not defined, as quantile binning must.
 
+    Frequency and spend are cut at exact ranks; ``sample`` rows bracket them (see ``rank_cuts``).
+
     The quantiles of the last purchase day are exact: the aggregate keeps a count per distinct day,
     and there are only so many days. Recency counts the days the other way round.
     """
@@ -149,7 +151,7 @@ def fit(totals: DataFrame) -> Cuts:
     edges = [5, *fifths, 5 * (today - found.lo)]
     if any(upper <= lower for lower, upper in zip(edges, edges[1:])):
         raise ValueError("recency quintile edges must be unique")
-    ranked = rank_cuts(totals, "customer_id", ["frequency", "monetary"])
+    ranked = rank_cuts(totals, "customer_id", ["frequency", "monetary"], sample=sample)
     return Cuts(found.last + datetime.timedelta(days=1), fifths, ranked["frequency"], ranked["monetary"])
 
 
