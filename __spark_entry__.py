@@ -22,7 +22,7 @@ from tillwise.operators.dedupe import keep_first
 from tillwise.operators.joins import keep_known, null_unknown
 from tillwise.plans import dashboards, load, rfm, rollups, sales, sketches
 from tillwise.schemas import STAR
-from tillwise.sources import warehouse
+from tillwise.sources import buckets, warehouse
 from tillwise.sources.feeds import ORDINAL, write_feed
 from tillwise.sources.retail_views import CUSTOMER_EXTRACTS, raw_feed, untouched_feed, view
 from tillwise.sources.scratch import scratch_path
@@ -193,6 +193,15 @@ def _rank_quintiles(totals: DataFrame) -> DataFrame:
     return rfm.score(totals, rfm.fit(totals)).select("customer_id", "f_score", "m_score")
 
 
+def _over_buckets(function: Callable[..., DataFrame]) -> Query:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        facts, columns = view(spark, sf, "transactions"), ["transaction_date", "quantity", "total_value"]
+        target = scratch_path(spark, "by-customer")
+        return _plain(function(buckets.lay_out(facts, view(spark, sf, "customers"), target, 8, columns)))
+
+    return run
+
+
 def _selected_quintiles(totals: DataFrame) -> DataFrame:
     """The quintiles with cuts bracketed by a sample much smaller than the table."""
     cuts = rfm.fit(totals, sample=max(1, totals.count() // 4))
@@ -502,6 +511,8 @@ def core_queries() -> dict[str, Query]:
         "union_duplicate_customers": _stacked_customers,
         # recency, frequency, monetary
         "rfm_purchases": _over_views(rfm.purchases, "transactions", "customers"),
+        "bucketed_rfm_purchases": _over_buckets(rfm.purchases_by_customer),
+        "bucketed_rfm_base": _over_buckets(lambda layout: rfm.base(rfm.totals_by_customer(layout))),
         "rfm_coverage": _over_views(rfm.coverage, "transactions", "customers"),
         "customer_details": _over_views(rfm.customer_details, "transactions", "customers"),
         "rfm_reference_date": _over_totals(rfm.reference_date),

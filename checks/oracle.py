@@ -446,12 +446,16 @@ _STATEMENTS = {
     "rfm_purchases": """
         SELECT customer_id, transaction_date, CAST(total_value AS DOUBLE) AS total_value, full_name, region,
             age_group, loyalty_member FROM purchases""",
+    "bucketed_rfm_purchases": """
+        SELECT customer_id, transaction_date, CAST(total_value AS DOUBLE) AS total_value, full_name, region,
+            age_group, loyalty_member FROM purchases""",
     "rfm_coverage": """
         SELECT count(*) AS transactions, count(DISTINCT customer_id) AS customers FROM purchases""",
     "customer_details": """
         SELECT DISTINCT customer_id, full_name, region, age_group, loyalty_member FROM purchases""",
     "rfm_reference_date": "SELECT reference_date FROM today",
     "rfm_base": "SELECT customer_id, recency, frequency, CAST(monetary AS DOUBLE) AS monetary FROM base",
+    "bucketed_rfm_base": "SELECT customer_id, recency, frequency, CAST(monetary AS DOUBLE) AS monetary FROM base",
     "rfm_summary": f"""
         SELECT count(*) AS customers, {_even('avg(recency)', 0)} AS avg_recency,
             {_even('avg(frequency)', 1)} AS avg_frequency,

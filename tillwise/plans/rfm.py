@@ -20,6 +20,7 @@ from tillwise.operators.ranking import SAMPLE, bucket_by_cuts, rank_cuts
 from tillwise.operators.shares import histogram
 from tillwise.plans.sales import sales
 from tillwise.schemas import CUSTOMER_RFM_COLUMNS
+from tillwise.sources.buckets import ByCustomer
 from tillwise.sources.scratch import materialise
 
 DETAILS = ["full_name", "region", "age_group", "loyalty_member"]
@@ -47,6 +48,26 @@ def purchases(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
+def purchases_by_customer(layout: ByCustomer) -> DataFrame:
+    """``purchases`` from tables in buckets: no fact row is shuffled."""
+    rows = purchases(layout.facts, layout.customers)
+    return rows.unionByName(purchases(layout.aside, _hot(layout))) if layout.hot else rows
+
+
+def _hot(layout: ByCustomer) -> DataFrame:
+    """The customers whose facts are kept aside; as many as ``hot_keys`` gives at most."""
+    return F.broadcast(layout.customers.where(F.col("customer_id").isin(layout.hot)))
+
+
+def totals_by_customer(layout: ByCustomer, details: bool = False) -> DataFrame:
+    """``customer_totals`` from tables in buckets: summed where the rows are; of a hot customer, a row for each task moves."""
+    extra = DETAILS if details else []
+    rows = _per_customer(layout.facts).join(layout.customers.select("customer_id", *extra), "customer_id")
+    if layout.hot:
+        rows = rows.unionByName(_per_customer(layout.aside).join(_hot(layout).select("customer_id", *extra), "customer_id"))
+    return materialise(rows.drop("row_count"), "totals")
+
+
 def coverage(transactions: DataFrame, customers: DataFrame) -> DataFrame:
     """(transactions, customers) that RFM looks at."""
     per_customer = _per_customer(transactions).join(customers.select("customer_id"), "customer_id")
