@@ -562,3 +562,43 @@ def test_appending_an_id_of_another_month_adds_none(spark, raw_dir, tmp_path):
         assert spark.table("transactions").count() == 6 and spark.table("stores").count() == 3
     finally:
         warehouse.drop_tables(spark)
+
+
+def test_many_small_files_are_few_batches(spark, raw_dir, tmp_path, monkeypatch):
+    """Files that wait together are batches of 1, 2, 4, ... files; after a crash the rest of them is loaded, each file once."""
+    source = tmp_path / "raw" / "transactions"
+    for old in source.iterdir():
+        old.unlink()
+    lines = [f"T{i},2022-01-0{i % 5 + 1},C1,P1,S1,1,5.99,0,5.99,Card,In-Store\n" for i in range(9)]
+    for i, line in enumerate(lines):
+        (source / f"part-0000{i}.csv").write_text(HEAD + line)
+    root, landing, streams = (str(tmp_path / n) for n in ("star", "landing", "streams"))
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    commit, sizes, read = snapshots.commit, [], incremental._rows_of
+    monkeypatch.setattr(incremental, "_rows_of", lambda spark, feed, paths, m: sizes.append(len(paths)) or read(spark, feed, paths, m))
+
+    def dies_at_the_third(spark, root, new):
+        if len(sizes) == 3:
+            raise RuntimeError("killed before the commit")
+        return commit(spark, root, new)
+
+    monkeypatch.setattr(snapshots, "commit", dies_at_the_third)
+    for fill in (lambda: incremental.load_new_files(spark, str(source), root, f"{landing}-1", f"{streams}-1", files_per_batch=1),
+                 lambda: incremental.land_feed(spark, "transactions", str(source), landing, f"{streams}-2", files_per_batch=1)):
+        sizes.clear()
+        with pytest.raises(Exception, match="killed"):
+            fill()
+        fill()
+        fill()  # nothing new
+        assert sizes == [1, 2, 4, 1, 2, 3]
+    found = {r.cause: r.row_count for r in load.accounting(spark, root).where("feed = 'transactions'").collect()}
+    assert found == {"read": 9, "loaded": 9}
+    assert incremental.landed(spark, "transactions", landing).count() == 9
+
+
+def test_a_batch_of_large_files_stays_small(monkeypatch):
+    monkeypatch.setattr(incremental, "BATCH_BYTES", 100)
+    files = [(f"f{i}", size) for i, size in enumerate([500, 500, 20, 20, 70, 70, 20, 5, 5, 5])]
+    assert [[int(n[1:]) for n in some] for some in incremental._cut(files, 2)] == [[0, 1], [2, 3], [4, 5], [6, 7, 8, 9]]
+    assert incremental._behind(snapshots.Manifest(notes={incremental.BATCHES: {"s": 3}}), "s", 3) >= 10  # a note of before
+    assert list(incremental._cut([], 2)) == []
