@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from tillwise.operators import quality
+from tillwise.operators import cleanse, quality
 from tillwise.plans import load
 from tillwise.schemas import FOREIGN_KEYS, STAR
 from tillwise.sources import feeds, keyindex, snapshots, warehouse
@@ -602,3 +602,59 @@ def test_a_batch_of_large_files_stays_small(monkeypatch):
     assert [[int(n[1:]) for n in some] for some in incremental._cut(files, 2)] == [[0, 1], [2, 3], [4, 5], [6, 7, 8, 9]]
     assert incremental._behind(snapshots.Manifest(notes={incremental.BATCHES: {"s": 3}}), "s", 3) >= 10  # a note of before
     assert list(incremental._cut([], 2)) == []
+
+
+def test_whole_rows_are_shuffled_to_their_months_only(spark, raw_dir, tmp_path, no_broadcast, monkeypatch):
+    plans, real = {}, load.written
+    monkeypatch.setattr(load, "written", lambda df, root, name: plans.update({name: plan_of(df)}) or real(df, root, name))
+    loaded = load.load_star(spark, raw_dir, str(tmp_path / "star"))
+    assert rows(loaded["transactions"], *FACT_COLUMNS) == EXPECTED_FACTS
+    assert set(plans) == set(STAR)
+    for plan in plans.values():
+        assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    feed = read_feed(spark, "transactions", f"{raw_dir}/transactions")
+    # the names of files are looked up without a shuffle of the rows
+    assert "SortMergeJoin" not in plan_of(feed)
+    first = []
+    monkeypatch.setattr(warehouse, "written", lambda df, root, name: first.append(plan_of(df)) or real(df, root, name))
+    warehouse.write_table(loaded["transactions"], str(tmp_path / "new"), "transactions", mode="append")
+    assert "Join" not in first[0]
+
+
+def test_rows_are_marked_by_their_numbers(spark, monkeypatch):
+    ids = [0, 1, 62, 63, 64, 4095, 4096, 5000, 2**33 + 5, 2**33 + 63, 5 * 2**33 + 70_000]
+    some = [0, 63, 4095, 4096, 2**33 + 63, 5 * 2**33 + 70_000]
+    every = spark.createDataFrame([(i, f"r{i}") for i in ids], f"{cleanse.ROW} long, name string")
+    bits = cleanse.row_bits(spark.createDataFrame([(i,) for i in [*some, some[0]]], f"{cleanse.ROW} long"))
+    for most, join in ((100, "BroadcastHashJoin"), (5, "SortMergeJoin")):
+        monkeypatch.setattr(cleanse, "MARKED", most)
+        found = cleanse.marked(every, bits, "hit", len(ids))
+        assert found.columns == [*every.columns, "hit"]
+        assert sorted(r[0] for r in found.where("hit").collect()) == some and found.count() == len(ids)
+    none = cleanse.marked(every, cleanse.row_bits(every.limit(0)), "hit", len(ids))
+    assert none.where("NOT hit").count() == len(ids)
+
+
+def test_the_staged_feed_is_in_order(spark, tmp_path):
+    """Sorted as numbers, the rows of the feed are those of the statement, in the order of their ordinals."""
+    from tillwise.sources import retail_views
+
+    spark.createDataFrame(
+        [(o, 1 + o % 7, 50 - o % 9, 3, float(o), 10.5, 0.1, 0.0 if o % 3 else 0.02, "R", "F", datetime.date(1997, 1, 2))
+         for o in (11, 108, 108, 5, 3, 24, 40, 97, 113, 7)],
+        "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+        "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate date",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame(
+        [(o, o + 1, datetime.date(1997, 1, 1), "1-URGENT") for o in (11, 108, 5, 24, 97, 97)],
+        "o_orderkey long, o_custkey long, o_orderdate date, o_orderpriority string",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    whole = retail_views.untouched_feed(spark, str(tmp_path), "transactions").orderBy(ORDINAL)
+    found = retail_views.ordered_feed(spark, str(tmp_path), "transactions")
+    assert whole.schema == found.schema and whole.count() == 14  # two orders of 97, three late copies
+    assert whole.collect() == found.collect()
+    plan = plan_of(found.select("*"))
+    assert plan.count("FileScan") == 2 and "Union" not in plan
+    write_feed(found, str(tmp_path / "feed"))
+    assert all(p.name.endswith(".csv.gz") for p in (tmp_path / "feed").glob("part-*"))
+    assert read_feed(spark, "transactions", str(tmp_path / "feed")).count() == 14
