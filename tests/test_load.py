@@ -658,3 +658,22 @@ def test_the_staged_feed_is_in_order(spark, tmp_path):
     write_feed(found, str(tmp_path / "feed"))
     assert all(p.name.endswith(".csv.gz") for p in (tmp_path / "feed").glob("part-*"))
     assert read_feed(spark, "transactions", str(tmp_path / "feed")).count() == 14
+
+
+def test_facts_are_not_shuffled_to_their_months(spark, raw_dir, tmp_path, no_broadcast, monkeypatch):
+    plans, real = [], snapshots.write_folder
+
+    def seen(df, root, partition=None):
+        if partition == warehouse.MONTH:
+            plans.append(plan_of(df))
+        return real(df, root, partition)
+
+    monkeypatch.setattr(snapshots, "write_folder", seen)
+    loaded = load.load_star(spark, raw_dir, str(tmp_path / "star"))["transactions"]
+    copy = str(tmp_path / "copy")
+    warehouse.write_table(loaded, copy, "transactions")
+    warehouse.replace_months(loaded.where("transaction_date < DATE '2022-02-01'"), copy)
+    # mixed rows still are
+    warehouse.write_table(loaded.drop(warehouse.MONTH), str(tmp_path / "mixed"), "transactions")
+    assert ["REBALANCE" in p for p in plans] == [False, False, False, True]
+    assert rows(warehouse.read_table(spark, copy, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS

@@ -2,7 +2,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from tillwise.sources.scratch import materialise, scratch_root
+from tillwise.sources.scratch import materialise, materialise_by, scratch_root
 
 
 def session(master, setting):
@@ -31,3 +31,14 @@ def test_materialised_frame_is_a_table(spark):
     table = materialise(df, "test")
     assert table.dtypes == df.dtypes and table.count() == 100
     assert table.inputFiles()
+
+
+def test_no_task_meets_two_values(spark):
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 5 < 4 THEN CAST(id % 5 AS INT) END AS part", "'x' AS name")
+    table = materialise_by(df.repartition(6), "part", "test")
+    assert table.columns == ["id", "name"]
+    tasks = [{r[0] % 5 for r in rows} for rows in table.rdd.glom().collect()]
+    assert len(tasks) > 1 and all(len(values) < 2 for values in tasks)
+    assert sorted(r[0] for r in table.collect()) == list(range(1000))
+    none = materialise_by(df.limit(0), "part", "test")
+    assert none.count() == 0 and none.dtypes == table.dtypes
