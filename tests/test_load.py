@@ -677,3 +677,8 @@ def test_facts_are_not_shuffled_to_their_months(spark, raw_dir, tmp_path, no_bro
     warehouse.write_table(loaded.drop(warehouse.MONTH), str(tmp_path / "mixed"), "transactions")
     assert ["REBALANCE" in p for p in plans] == [False, False, False, True]
     assert rows(warehouse.read_table(spark, copy, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS
+
+
+def test_batches_grow_fast_after_the_first_few():
+    files = [(f"f{i:04}", 1) for i in range(600)]
+    assert [len(some) for some in incremental._cut(files, 2)] == [2, 4, 8, 64, 512, 10]
