@@ -121,3 +121,24 @@ def test_activation_waits_for_both_parts(spark, write_tables):
     # a cycle after the news, the pair has been counted in every shard
     later = collocations.Scan(4, 3, 4, scan.filters)
     assert not sum(b.num_rows for b in collocations.count_batch("en", b"a b c a b", 0, later))
+
+
+def test_rare_phrases_leave_with_their_last_scan(spark):
+    """A pair that only one shard has is dropped when the scans that count it are over, not kept for a shard it is not in."""
+    rows = lambda *found: spark.createDataFrame(found, collocations._HASHED)
+    bits = [1 << 0, 1 << 0 | 1 << 1]  # news of both words in scan 0, of one of them in scan 1
+    until = collocations.Scan(2, 2, 4, {}).until(np.array(bits, "uint64")).tolist()
+    assert until == [2, 3]
+    # seen in the shard of scan 2 only: the first was counted in scan 1 as well, where it did not occur
+    state = collocations._stepped(None, rows((1, 2, 4, until[0]), (2, 2, 4, until[1])), collocations.Scan(2, 2, 4, {}), 30)
+    assert [r.h for r in state.collect()] == [2]
+    # all it has comes together in its last scan
+    ended = collocations._stepped(state, rows((2, 2, 26, 3)), collocations.Scan(3, 2, 4, {}), 30).first()
+    assert (ended.h, ended.n, ended.shards, ended.reached) == (2, 30, 3, 3)
+
+
+def test_counts_are_dealt_before_they_are_added_up(spark):
+    """The rows of a task are nearly all different: adding them up before the shuffle costs time and saves nothing."""
+    counts = spark.range(10).selectExpr("id AS h", "2 AS g", "1L AS fresh", "5 AS until")
+    plan = collocations._stepped(None, counts, collocations.Scan(1, 2, 4, {}), 30)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("Exchange") and "HashAggregate" not in plan[plan.index("Exchange"):]

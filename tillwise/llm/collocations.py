@@ -12,11 +12,11 @@ How that is spread:
   Each scan's new ones are a Bloom filter per length, of at most ``FILTER_BITS`` bits whatever the corpus, sent to the
   executors once. A false hit only makes a task count a phrase that nobody asked for.
 - Tasks take the words of a batch as Arrow dictionary codes and count phrases of codes, so a phrase comes out once
-  per batch however often it occurs; Spark adds up per task before it shuffles. While it is open which phrases reach
-  the threshold, they travel as hashes of 93 bits and their length.
-- The state holds one row per hash in progress: its count, the shards in that count (a shard never counts twice), and
-  the scan in which it reached the threshold. It is written anew after each scan; a hash that has seen all shards
-  without reaching the threshold is dropped.
+  per batch however often it occurs. A task has few batches of a language, so Spark adds up after the shuffle only. While
+  it is open which phrases reach the threshold, they travel as hashes of 93 bits and their length.
+- The state holds one row per hash in progress: its count, the shards in that count (a shard never counts twice), the
+  last scan that counts it, and the scan in which it reached the threshold. It is written anew after each scan; a hash
+  whose scans are over without reaching the threshold is dropped, also if some shards did not have it.
 - What has reached the threshold is counted once more by its text, and these counts decide and are reported.
 
 The report scores each phrase by its weakest cut, leaves out what a longer phrase covers, and ranks by language in two
@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -57,9 +58,11 @@ _BATCH = 4 << 20
 _LONG = 1 << 20
 
 # A-Z become lower case, the ends of pieces a line feed, tabs a blank; all are single bytes in UTF-8.
+_BETWEEN = b"\n "
 _FOLD = bytes(range(256)).lower().translate(bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n "))
-_HASHED = "h long, g int, fresh long"
-_STATE = "h long, g int, n long, shards int, reached int, last int"
+_IN_WORD = bytes(byte not in _BETWEEN for byte in range(256))
+_HASHED = "h long, g int, fresh long, until int"
+_STATE = "h long, g int, n long, shards int, reached int, until int"
 _COUNTED = "lang string, phrase string, k int, n long"
 
 
@@ -111,11 +114,15 @@ class Scan:
         """The scans whose news start a cycle that is not over."""
         return np.uint64(sum(1 << j for j in range(max(0, self.number - self.shards), self.number)))
 
+    def until(self, masks: np.ndarray) -> np.ndarray:
+        """The last scan that counts a phrase, unless there is more news: its latest news is the highest bit."""
+        return np.frexp(masks.astype(np.float64))[1] - 1 + self.shards
 
-def _hashed(k: int, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+
+def _hashed(k: int, hashes: np.ndarray, counts: np.ndarray, until: np.ndarray) -> pa.RecordBatch:
     more = (hashes[:, 1] >> np.uint64(32)).astype(np.uint32) & np.uint32(0xFFFFFFF8) | np.uint32(k)
-    columns = [np.ascontiguousarray(hashes[:, 0]).view(np.int64), more.view(np.int32), counts.astype(np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "g", "fresh"])
+    columns = [np.ascontiguousarray(hashes[:, 0]).view(np.int64), more.view(np.int32), counts.astype(np.int64), until.astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["h", "g", "fresh", "until"])
 
 
 def _named(lang: str, k: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
@@ -126,28 +133,30 @@ def _named(lang: str, k: int, phrases: pa.Array, counts: np.ndarray) -> pa.Recor
 
 def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[pa.RecordBatch]:
     """Counts of words and phrases in texts of one language; the first ``carried`` words were counted before."""
-    text = np.frombuffer(folded, np.uint8)
-    ends = text == 10
-    inside = ~(ends | (text == 32))
-    edges = np.flatnonzero(np.diff(inside.view(np.int8), prepend=0, append=0))
+    folded = b"\n" + folded + b"\n"
+    inside = np.frombuffer(folded.translate(_IN_WORD), np.uint8)
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, lengths = edges[::2], edges[1::2] - edges[::2]
     if len(starts) <= carried:
         return
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(text[inside])]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(folded.translate(None, _BETWEEN))]
     encoded = pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
     codes, words = encoded.indices.to_numpy().astype(np.int64), encoded.dictionary
     seed = xxhash.xxh64_intdigest(lang.encode(), 42)
-    own = np.frombuffer(b"".join(xxhash.xxh3_128_digest(w, seed) for w in words.to_pylist()), np.uint64).reshape(-1, 2)
+    digests = map(xxhash.xxh3_128_digest, words.to_pylist(), repeat(seed))
+    own = np.frombuffer(b"".join(digests), np.uint64).reshape(-1, 2)
     masks, exact = scan.masks(1, own), scan.number is None
     if exact:
         yield _named(lang, 0, pa.array([b""]), np.array([len(codes) - carried]))
     if exact or scan.number < scan.shards:
         counts = np.bincount(codes[carried:], minlength=len(words))
         out = np.flatnonzero((counts > 0) & (masks[:-1] != 0) if exact else counts > 0)
-        yield _named(lang, 1, words.take(pa.array(out)), counts[out]) if exact else _hashed(1, own[out], counts[out])
-    piece = np.cumsum(ends)[starts]
-    same = piece[:-1] == piece[1:]
+        yield _named(lang, 1, words.take(pa.array(out)), counts[out]) if exact else _hashed(1, own[out], counts[out], np.full(len(out), scan.shards - 1))
+    # whether the next word is of the same piece
+    same = np.ones(len(starts) + 1, bool)
+    same[np.searchsorted(starts, np.flatnonzero(np.frombuffer(folded, np.uint8) == 10))] = False
+    same = same[1:-1]
     # the phrases of k - 1 words: a number at each position (-1: none that may be frequent), hashes and masks by number
     numbers, hashes = codes, own
     for k in range(2, scan.longest + 1):
@@ -168,8 +177,9 @@ def count_batch(lang: str, folded: bytes, carried: int, scan: Scan) -> Iterator[
             parts = [words.take(pa.array(codes[first[out] + j])) for j in range(k)]
             yield _named(lang, k, pc.binary_join_element_wise(*parts, b" "), counts[out])
         else:
-            out = np.flatnonzero((counts > 0) & ((masks[head] | masks[tail]) & scan.window() != 0))
-            yield _hashed(k, hashed[out], counts[out])
+            news = masks[head] | masks[tail]
+            out = np.flatnonzero((counts > 0) & (news & scan.window() != 0))
+            yield _hashed(k, hashed[out], counts[out], scan.until(news[out]))
         if k < scan.longest:
             numbers = np.full(len(numbers) - 1, -1, np.int64)
             numbers[at] = each
@@ -214,24 +224,22 @@ def _length() -> Column:
 def _stepped(state: DataFrame | None, counts: DataFrame, scan: Scan, least: int) -> DataFrame:
     """The state after a scan: counts of shards that were not in it are added."""
     bit = 1 << scan.number % scan.shards
-    new = counts.selectExpr("h", "g", "fresh", "0L AS n", "0 AS shards", "CAST(NULL AS INT) AS reached", "-1 AS last")
+    new = counts.selectExpr("h", "g", "fresh", "until", "0L AS n", "0 AS shards", "CAST(NULL AS INT) AS reached")
     if state is not None:
         new = new.unionByName(state.withColumn("fresh", F.lit(0).cast("long")))
-    merged = new.groupBy("h", "g").agg(
-        F.sum("fresh").alias("fresh"), F.max("n").alias("n"),
-        F.max("shards").alias("shards"), F.max("reached").alias("reached"), F.max("last").alias("last"),
+    # the rows of a task are nearly all different, so they are not added up before they are dealt
+    merged = new.repartition("h", "g").groupBy("h", "g").agg(
+        F.sum("fresh").alias("fresh"), F.max("until").alias("until"), F.max("n").alias("n"),
+        F.max("shards").alias("shards"), F.max("reached").alias("reached"),
     )
     adds = (F.col("fresh") > 0) & (F.col("shards").bitwiseAND(bit) == 0)
     merged = merged.select(
         "h", "g", (F.col("n") + F.when(adds, F.col("fresh")).otherwise(0)).alias("n"),
-        F.when(adds, F.col("shards") + bit).otherwise(F.col("shards")).alias("shards"), "reached",
-        F.when(F.col("fresh") > 0, scan.number).otherwise(F.col("last")).alias("last"),
+        F.when(adds, F.col("shards") + bit).otherwise(F.col("shards")).alias("shards"), "reached", "until",
     )
     merged = merged.withColumn("reached", F.coalesce("reached", F.when(F.col("n") >= least, scan.number)))
-    # in progress: not all shards are in the count, and it was seen within a cycle
-    going = (F.col("shards") != (1 << scan.shards) - 1) & (F.col("last") > scan.number - scan.shards)
-    if scan.number >= scan.shards - 1:
-        going &= _length() > 1
+    # in progress: not all shards are in the count, and it will be counted again
+    going = (F.col("shards") != (1 << scan.shards) - 1) & (F.col("until") > scan.number)
     return merged.where(F.col("reached").isNotNull() | going)
 
 
@@ -293,7 +301,7 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
             latest = number
     scan = Scan(None, shards, longest, filters)
     exact = dealt.select("lang", "text").mapInArrow(lambda batches: counted(batches, scan), _COUNTED)
-    exact = exact.groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
+    exact = exact.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.max("k").alias("k"), F.sum("n").alias("n"))
     exact = materialise(exact.where((F.col("k") == 0) | (F.col("n") >= least)), "phrase-counts")
     discard(spark, held)
     discard(spark, path)
