@@ -149,6 +149,18 @@ def test_incremental_load_equals_the_batch(spark, raw_dir, tmp_path):
     assert rows(warehouse.read_table(spark, root, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS
 
 
+def test_ordinal_is_narrow(spark, tmp_path):
+    """The place of a file among the others, not its padded name: rows are shuffled and sorted with it."""
+    for name in ("part-10.csv", "part-9.csv", "ärger 1.csv", "part-9-b.csv"):
+        (tmp_path / name).write_text(STORES.splitlines()[0] + f"\n{name},x,Wales,W,1,1,,2019-01-01,True\n", encoding="utf-8")
+    feed = read_feed(spark, "stores", str(tmp_path))
+    assert dict(feed.dtypes)[ORDINAL] == "struct<file:int,split:bigint,row:bigint>"
+    places = {r.store_id: r.file for r in feed.select("store_id", f"{ORDINAL}.file").collect()}
+    key = feeds.in_path_order(F.concat(F.lit(f"{tmp_path.name}/"), "name"))
+    by_name = spark.createDataFrame([(n,) for n in places], "name string").orderBy(key).collect()
+    assert [r.name for r in by_name] == sorted(places, key=places.get) and sorted(places.values()) == [0, 1, 2, 3]
+
+
 def test_ordinal_follows_files_and_lines(spark, tmp_path):
     folder = tmp_path / "stores"
     folder.mkdir()

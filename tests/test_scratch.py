@@ -2,7 +2,8 @@ from types import SimpleNamespace
 
 import pytest
 
-from tillwise.sources.scratch import materialise, materialise_by, scratch_root
+from tillwise.sources import scratch
+from tillwise.sources.scratch import materialise, materialise_by, open_files, scratch_root
 
 
 def session(master, setting):
@@ -42,3 +43,19 @@ def test_no_task_meets_two_values(spark):
     assert sorted(r[0] for r in table.collect()) == list(range(1000))
     none = materialise_by(df.limit(0), "part", "test")
     assert none.count() == 0 and none.dtypes == table.dtypes
+
+
+def test_rows_are_not_sorted_by_folder(spark, monkeypatch, tmp_path):
+    """A sort of whole rows would spill; with more folders than files may be open the rows are the same."""
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    before, writer, seen = spark.conf.get(setting), type(spark.range(1).write), []
+    real = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda *a, **b: seen.append(spark.conf.get(setting)) or real(*a, **b))
+    df = spark.range(600).selectExpr("id", "id % 9 AS part")
+    for most in (64, 2):
+        monkeypatch.setattr(scratch, "_OPEN", most)
+        assert sorted(r.id for r in materialise_by(df, "part", "test").collect()) == list(range(600))
+    assert seen == ["64", "2"] and spark.conf.get(setting) == before
+    with pytest.raises(ZeroDivisionError), open_files(spark):
+        1 / 0
+    assert spark.conf.get(setting) == before
