@@ -694,3 +694,17 @@ def test_facts_are_not_shuffled_to_their_months(spark, raw_dir, tmp_path, no_bro
 def test_batches_grow_fast_after_the_first_few():
     files = [(f"f{i:04}", 1) for i in range(600)]
     assert [len(some) for some in incremental._cut(files, 2)] == [2, 4, 8, 64, 512, 10]
+
+
+def test_a_batch_writes_its_facts_by_month(spark, raw_dir, tmp_path, monkeypatch):
+    """Rows of all months are shuffled to their months and for nothing else; the claims of a batch are not broadcast."""
+    root, landing, checkpoint = (str(tmp_path / n) for n in ("star", "landing", "checkpoint"))
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    plans, write, keep = {}, snapshots.write_folder, incremental.materialise
+    monkeypatch.setattr(snapshots, "write_folder", lambda df, *a: plans.update({a[1:]: plan_of(df)}) or write(df, *a))
+    monkeypatch.setattr(incremental, "materialise", lambda df, label: plans.update({label: plan_of(df)}) or keep(df, label))
+    incremental.load_new_files(spark, str(tmp_path / "raw" / "transactions"), root, landing, checkpoint)
+    facts = plans[(warehouse.MONTH,)]
+    assert "REBALANCE" in facts and facts.count("Exchange hashpartitioning") == 1
+    assert "SortMergeJoin" in plans["batch-ruled"] and "BroadcastHashJoin" not in plans["batch-ruled"]
+    assert rows(warehouse.read_table(spark, root, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS
