@@ -708,3 +708,27 @@ def test_a_batch_writes_its_facts_by_month(spark, raw_dir, tmp_path, monkeypatch
     assert "REBALANCE" in facts and facts.count("Exchange hashpartitioning") == 1
     assert "SortMergeJoin" in plans["batch-ruled"] and "BroadcastHashJoin" not in plans["batch-ruled"]
     assert rows(warehouse.read_table(spark, root, "transactions"), *FACT_COLUMNS) == EXPECTED_FACTS
+
+
+def test_bits_are_with_the_driver_for_a_range_of_rows_at_a_time(spark, raw_dir, tmp_path, no_broadcast, monkeypatch):
+    whole = load.load_star(spark, raw_dir, str(tmp_path / "whole"))
+    asked, real, root = [], load.marked, str(tmp_path / "star")
+    monkeypatch.setattr(load, "PASS", 2)
+    monkeypatch.setattr(load, "marked", lambda rows, bits, into, n: asked.append((into, n, bits.count())) or real(rows, bits, into, n))
+    loaded = load.load_star(spark, raw_dir, root)
+    # the answers about products are joined by row number before any row is left out
+    assert {n for into, n, _ in asked if into != "_unsold"} <= {1, 2} and len([a for a in asked if a[0] == "_no_store_id"]) > 3
+    for name, df in whole.items():
+        assert rows(loaded[name], *df.columns) == rows(df, *df.columns) != []
+    # one folder for each month, as the catalog needs
+    assert {len(own) for own in snapshots.current(spark, root).tables["transactions"].values()} == {1}
+    assert rows(load.rejects(spark, root), "feed", "row_key", "reason") == rows(load.rejects(spark, str(tmp_path / "whole")), "feed", "row_key", "reason")
+
+
+def test_ranges_of_row_numbers(spark):
+    ids = [*range(5), *range(2**33, 2**33 + 2), 3 * 2**33, *range(4 * 2**33, 4 * 2**33 + 3)]
+    every = spark.createDataFrame([(i,) for i in ids], f"{cleanse.ROW} long")
+    found = cleanse.row_ranges(every, 3)
+    assert found == [(0, 2, 3), (3, 4, 2), (2**33, 3 * 2**33, 3), (4 * 2**33, 4 * 2**33 + 2, 3)]
+    assert sum(every.where(F.col(cleanse.ROW).between(a, b)).count() == n for a, b, n in found) == 4
+    assert cleanse.row_ranges(every.limit(0), 3) == []
