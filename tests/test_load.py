@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import plan_of
-from tillwise.operators import cleanse, quality
+from tillwise.operators import cleanse, conform, narrow, quality
 from tillwise.plans import load
 from tillwise.schemas import FOREIGN_KEYS, STAR
 from tillwise.sources import feeds, keyindex, snapshots, warehouse
@@ -712,12 +712,13 @@ def test_a_batch_writes_its_facts_by_month(spark, raw_dir, tmp_path, monkeypatch
 
 def test_bits_are_with_the_driver_for_a_range_of_rows_at_a_time(spark, raw_dir, tmp_path, no_broadcast, monkeypatch):
     whole = load.load_star(spark, raw_dir, str(tmp_path / "whole"))
-    asked, real, root = [], load.marked, str(tmp_path / "star")
+    asked, real, root = [], cleanse.marked, str(tmp_path / "star")
     monkeypatch.setattr(load, "PASS", 2)
-    monkeypatch.setattr(load, "marked", lambda rows, bits, into, n: asked.append((into, n, bits.count())) or real(rows, bits, into, n))
+    for module in (load, narrow):
+        monkeypatch.setattr(module, "marked", lambda rows, bits, into, n: asked.append((into, n)) or real(rows, bits, into, n))
     loaded = load.load_star(spark, raw_dir, root)
     # the answers about products are joined by row number before any row is left out
-    assert {n for into, n, _ in asked if into != "_unsold"} <= {1, 2} and len([a for a in asked if a[0] == "_no_store_id"]) > 3
+    assert {n for into, n in asked if into != "_unsold"} <= {1, 2} and len([a for a in asked if a[0] == "_no_store_id"]) > 3
     for name, df in whole.items():
         assert rows(loaded[name], *df.columns) == rows(df, *df.columns) != []
     # one folder for each month, as the catalog needs
@@ -732,3 +733,17 @@ def test_ranges_of_row_numbers(spark):
     assert found == [(0, 2, 3), (3, 4, 2), (2**33, 3 * 2**33, 3), (4 * 2**33, 4 * 2**33 + 2, 3)]
     assert sum(every.where(F.col(cleanse.ROW).between(a, b)).count() == n for a, b, n in found) == 4
     assert cleanse.row_ranges(every.limit(0), 3) == []
+
+
+def test_cleaning_shuffles_no_whole_row(spark, raw_dir, tmp_path, no_broadcast, monkeypatch):
+    root, feed = str(tmp_path / "star"), read_feed(spark, "transactions", f"{raw_dir}/transactions")
+    load.load_dimensions({n: read_feed(spark, n, f"{raw_dir}/{n}") for n in load.DIMENSIONS}, root)
+    dimensions = {n: warehouse.read_table(spark, root, n) for n in load.DIMENSIONS}
+    twice = feed.unionAll(feed)  # rows with equal ordinals: one of them is kept
+    for most in (conform.PASS, 4):
+        monkeypatch.setattr(conform, "PASS", most)
+        found = conform.clean_transactions(twice, **dimensions)
+        assert rows(found, *FACT_COLUMNS) == EXPECTED_FACTS and found.columns == STAR["transactions"].columns
+        assert "Exchange hashpartitioning" not in plan_of(found) and "SortMergeJoin" not in plan_of(found)
+    want = conform.conform_typed(cleanse.type_transactions(twice), **dimensions)
+    assert found.dtypes == want.dtypes and rows(found, *found.columns) == rows(want, *want.columns)
